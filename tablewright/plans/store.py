@@ -1,0 +1,373 @@
+"""Versioned table sets: plain parquet folders and one manifest per version.
+
+A change stages new folders, checks the rules, and then adds one manifest file.
+Readers take the newest manifest, so they see all tables of a change or none.
+There is one writer per table set. Partitions are folders listed one by one in
+the manifest: a change rewrites only the partitions it touches, and attach,
+detach, exchange and drop move entries without moving data.
+"""
+
+from __future__ import annotations
+
+import copy
+import json
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tablewright.operators import partitions as parts_op
+from tablewright.operators.rules import RuleViolation, violations
+from tablewright.plans.tabledef import Part, TableDef
+from tablewright.session import hadoop_path
+
+ALL = ""  # entry of a table without partitions
+
+
+class Store:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    # -- manifests
+
+    def versions(self) -> list[int]:
+        fs, folder = hadoop_path(self.spark, f"{self.root}/manifests")
+        if not fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith((".", "_")))
+
+    def manifest(self, version: int | None = None) -> dict:
+        known = self.versions()
+        if version is None:
+            if not known:
+                return {"version": 0, "tables": {}, "batches": {}}
+            version = known[-1]
+        fs, path = hadoop_path(self.spark, f"{self.root}/manifests/{version:012d}.json")
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def _publish(self, manifest: dict) -> None:
+        name = f"{manifest['version']:012d}.json"
+        fs, target = hadoop_path(self.spark, f"{self.root}/manifests/{name}")
+        _, staged = hadoop_path(self.spark, f"{self.root}/manifests/_{uuid.uuid4().hex}")
+        if fs.exists(target):
+            raise RuleViolation(f"version {manifest['version']} exists: another writer was faster")
+        out = fs.create(staged, False)
+        out.write(bytearray(json.dumps(manifest, indent=1).encode()))
+        out.close()
+        if not fs.rename(staged, target):
+            raise RuleViolation(f"version {manifest['version']} was not published")
+
+    # -- reading
+
+    def tables(self, version: int | None = None) -> list[str]:
+        return sorted(self.manifest(version)["tables"])
+
+    def definition(self, name: str, version: int | None = None) -> TableDef:
+        return TableDef.from_dict(self.manifest(version)["tables"][name]["definition"])
+
+    def read(self, name: str, only: Sequence[str] | None = None, with_part: bool = False, version: int | None = None) -> DataFrame:
+        return self._frame(self.manifest(version)["tables"][name], only, with_part)
+
+    def _frame(self, entry: dict, only: Sequence[str] | None = None, with_part: bool = False) -> DataFrame:
+        definition = TableDef.from_dict(entry["definition"])
+        wanted = [p for p in entry["parts"] if only is None or p in only]
+        # Folders written by one job under their present names are one scan.
+        # A folder that was attached under another name is a scan of its own.
+        scans: dict[tuple, list[str]] = {}
+        for p in wanted:
+            for path in entry["parts"][p]:
+                root, _, written = path.rpartition(f"/{parts_op.PART}=")
+                scans.setdefault((root, None) if written == p and root else (path, p), []).append(path)
+        frames = []
+        for (root, label), paths in scans.items():
+            if label is None:
+                schema = StructType([*definition.schema.fields, StructField(parts_op.PART, StringType())])
+                frames.append(self.spark.read.schema(schema).option("basePath", root).parquet(*paths))
+            else:
+                frame = self.spark.read.schema(definition.schema).parquet(*paths)
+                frames.append(frame.withColumn(parts_op.PART, F.lit(label or None).cast("string")))
+        if not frames:
+            empty = self.spark.createDataFrame([], definition.schema)
+            frames = [empty.withColumn(parts_op.PART, F.lit(None).cast("string"))]
+        out = reduce(lambda a, b: a.unionByName(b), frames)
+        return out if with_part else out.drop(parts_op.PART)
+
+    def scan(self, name: str, low=None, high=None, closed: bool = True) -> DataFrame:
+        """Rows of a range-partitioned table with the key in ``low..high``.
+
+        Only the folders of partitions that can match are listed and read.
+        """
+        spec = self.definition(name).partition
+        only = parts_op.parts_between(spec, low, high, closed)
+        return parts_op.pruned(self.read(name, only, with_part=True), spec, low, high, closed).drop(parts_op.PART)
+
+    def partitions(self) -> DataFrame:
+        """Catalog of partitions: table, partition, bounds."""
+        rows = []
+        for name, entry in self.manifest()["tables"].items():
+            spec = TableDef.from_dict(entry["definition"]).partition
+            for p in spec.parts if spec else ():
+                if p.default:
+                    bound = "DEFAULT"
+                elif spec.kind == "range":
+                    bound = f"FROM {p.low} TO {p.high}"
+                elif spec.kind == "list":
+                    bound = f"IN {p.values}"
+                else:
+                    bound = f"MODULUS {spec.modulus} REMAINDER {p.remainder}"
+                rows.append((name, p.name, spec.kind, bound))
+        return self.spark.createDataFrame(rows, "table string, partition string, kind string, bound string")
+
+    # -- writing
+
+    def begin(self) -> Change:
+        return Change(self)
+
+    def create(self, definition: TableDef, rows: DataFrame | None = None, location: str | None = None) -> int:
+        change = self.begin()
+        change.create(definition, rows, location)
+        return change.commit()
+
+    def put(self, name: str, rows: DataFrame) -> int:
+        change = self.begin()
+        change.put(name, rows)
+        return change.commit()
+
+    def vacuum(self, keep: int = 1) -> list[str]:
+        """Remove folders that the newest ``keep`` manifests do not name."""
+        known = self.versions()
+        for version in known[:-keep]:
+            fs, path = hadoop_path(self.spark, f"{self.root}/manifests/{version:012d}.json")
+            fs.delete(path, False)
+        live = {p for v in known[-keep:] for t in self.manifest(v)["tables"].values() for ps in t["parts"].values() for p in ps}
+        fs, folder = hadoop_path(self.spark, f"{self.root}/data")
+        removed = []
+        if not fs.exists(folder):
+            return removed
+        for tables in fs.listStatus(folder):
+            for run in fs.listStatus(tables.getPath()):
+                path = f"{self.root}/data/{tables.getPath().getName()}/{run.getPath().getName()}"
+                if not any(p == path or p.startswith(path + "/") for p in live):
+                    fs.delete(run.getPath(), True)
+                    removed.append(path)
+        return removed
+
+
+class Change:
+    """All-or-nothing change of several tables."""
+
+    def __init__(self, store: Store):
+        self.store = store
+        self.manifest = copy.deepcopy(store.manifest())
+        self.touched: set[str] = set()
+        self.extra: dict[str, dict[str, Callable]] = {}
+
+    def _entry(self, name: str) -> dict:
+        return self.manifest["tables"][name]
+
+    def definition(self, name: str) -> TableDef:
+        return TableDef.from_dict(self._entry(name)["definition"])
+
+    def read(self, name: str, only: Sequence[str] | None = None) -> DataFrame:
+        """The table as this change sees it."""
+        return self.store._frame(self._entry(name), only)
+
+    # -- structure
+
+    def create(self, definition: TableDef, rows: DataFrame | None = None, location: str | None = None) -> None:
+        if definition.name in self.manifest["tables"]:
+            raise ValueError(f"table {definition.name} exists")
+        if definition.partition:
+            parts_op.check_spec(definition.partition)
+        self.manifest["tables"][definition.name] = {"definition": definition.to_dict(), "parts": {}, "location": location}
+        if rows is not None:
+            self.put(definition.name, rows)
+
+    def drop(self, name: str, cascade: bool = False) -> None:
+        """Drop a table; other tables' foreign keys on it block or go too."""
+        for other in list(self.manifest["tables"]):
+            d = self.definition(other)
+            links = [f for f in d.foreign_keys if f.table == name]
+            if other != name and links:
+                if not cascade:
+                    raise RuleViolation(f"{other} references {name}")
+                for f in links:
+                    d = d.drop_rule(f.label)
+                self.define(d)
+        del self.manifest["tables"][name]
+        self.touched.discard(name)
+
+    def drop_all(self) -> None:
+        self.manifest["tables"].clear()
+        self.touched.clear()
+
+    def rename(self, old: str, new: str) -> None:
+        if new in self.manifest["tables"]:
+            raise ValueError(f"table {new} exists")
+        entry = self.manifest["tables"].pop(old)
+        entry["definition"]["name"] = new
+        self.manifest["tables"][new] = entry
+        self.touched = {new if t == old else t for t in self.touched}
+
+    def define(self, definition: TableDef) -> None:
+        self._entry(definition.name)["definition"] = definition.to_dict()
+        self.touched.add(definition.name)
+
+    # -- rows
+
+    def _write(self, name: str, rows: DataFrame, location: str | None = None) -> dict[str, list[str]]:
+        definition = self.definition(name)
+        place = location or self._entry(name).get("location") or f"{self.store.root}/data"
+        root = f"{place.rstrip('/')}/{name}/{uuid.uuid4().hex[:16]}"
+        rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in definition.schema])
+        if definition.partition is None:
+            rows.write.parquet(root)
+            return {ALL: [root]}
+        routed = parts_op.route_checked(rows, definition.partition)
+        # Rebalance gathers each partition into few files and splits large ones.
+        routed.hint("rebalance", parts_op.PART).write.partitionBy(parts_op.PART).parquet(root)
+        fs, folder = hadoop_path(self.store.spark, root)
+        found = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+        return {n.split("=", 1)[1]: [f"{root}/{n}"] for n in found if n.startswith(parts_op.PART + "=")}
+
+    def put(self, name: str, rows: DataFrame) -> None:
+        """Replace all rows of a table."""
+        self._entry(name)["parts"] = self._write(name, rows)
+        self.touched.add(name)
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        """Add rows without rewriting the others."""
+        for part, paths in self._write(name, rows).items():
+            self._entry(name)["parts"].setdefault(part, []).extend(paths)
+        self.touched.add(name)
+
+    def put_parts(self, name: str, rows: DataFrame, rewritten: Sequence[str]) -> None:
+        """Replace some partitions. ``rows`` hold their whole new content; rows
+        that moved elsewhere are added to the partition they now belong to."""
+        parts = self._entry(name)["parts"]
+        for p in rewritten:
+            parts.pop(p, None)
+        for part, paths in self._write(name, rows).items():
+            parts.setdefault(part, []).extend(paths)
+        self.touched.add(name)
+
+    def truncate(self, *names: str) -> None:
+        """Empty tables; a table outside the list must not reference them."""
+        for other in self.manifest["tables"]:
+            for f in self.definition(other).foreign_keys:
+                if f.table in names and other not in names:
+                    raise RuleViolation(f"{other} references {f.table}")
+        for name in names:
+            self._entry(name)["parts"] = {}
+            self.touched.add(name)
+
+    def compact(self, name: str) -> None:
+        """Rewrite a table into files of the target size."""
+        rows = self.read(name)
+        self.put(name, rows.hint("rebalance") if self.definition(name).partition is None else rows)
+
+    def move_to(self, name: str, location: str) -> None:
+        """Copy a table to another location."""
+        rows = self.read(name)
+        self._entry(name)["location"] = location
+        self.put(name, rows)
+
+    # -- partitions
+
+    def add_part(self, name: str, part: Part) -> None:
+        definition = self.definition(name)
+        spec = definition.partition.with_part(part)
+        parts_op.check_spec(spec)
+        for p in definition.partition.parts:
+            if p.default and not parts_op.attach_overlap(self.read(name, [p.name]), part, definition.partition).isEmpty():
+                raise RuleViolation(f"the default partition holds rows of {part.name}")
+        self.define(replace(definition, partition=spec))
+
+    def drop_part(self, name: str, part: str) -> None:
+        definition = self.definition(name)
+        self._entry(name)["parts"].pop(part, None)
+        self.define(replace(definition, partition=definition.partition.without(part)))
+
+    def detach(self, name: str, part: str, to: str) -> None:
+        """Make a partition a table of its own, without touching its files."""
+        definition = self.definition(name)
+        paths = self._entry(name)["parts"].pop(part, [])
+        self.define(replace(definition, partition=definition.partition.without(part)))
+        alone = replace(definition, name=to, partition=None)
+        self.manifest["tables"][to] = {"definition": alone.to_dict(), "parts": {ALL: paths} if paths else {}, "location": None}
+
+    def attach(self, name: str, source: str, part: Part) -> None:
+        """Make a table a partition, after a check of columns and every row."""
+        definition = self.definition(name)
+        parts_op.check_attach(self.read(source), definition, part)
+        paths = [p for ps in self._entry(source)["parts"].values() for p in ps]
+        del self.manifest["tables"][source]
+        self.touched.discard(source)
+        self._entry(name)["parts"][part.name] = paths
+        self.define(replace(definition, partition=definition.partition.with_part(part)))
+
+    def exchange(self, name: str, part: str, table: str) -> None:
+        """Swap the rows of a partition with those of a plain table."""
+        bounds = self.definition(name).partition.part(part)
+        self.detach(name, part, f"_{part}_out")
+        self.attach(name, table, bounds)
+        self.rename(f"_{part}_out", table)
+
+    def rotate(self, name: str, archive: str, oldest: str, fresh: Part) -> None:
+        """Move the oldest partition to the archive table and open a new one."""
+        bounds = self.definition(name).partition.part(oldest)
+        self.detach(name, oldest, f"_{oldest}_out")
+        self.attach(archive, f"_{oldest}_out", bounds)
+        self.add_part(name, fresh)
+
+    def place_part(self, name: str, part: str, location: str) -> None:
+        """Move one partition to a location of its own."""
+        rows = self.read(name, [part])
+        self._entry(name)["parts"].pop(part, None)
+        for p, paths in self._write(name, rows, location).items():
+            self._entry(name)["parts"].setdefault(p, []).extend(paths)
+
+    # -- end
+
+    def also_check(self, name: str, rule: str, query: Callable[[DataFrame], DataFrame]) -> None:
+        """A rule that needs a query of its own."""
+        self.extra.setdefault(name, {})[rule] = query
+
+    def check(self, deferred: bool = True) -> None:
+        """Check the touched tables, and those that reference them.
+
+        With ``deferred`` false this is the check after one statement, which
+        leaves out the deferrable rules.
+        """
+        tables = self.manifest["tables"]
+        targets = set(self.touched)
+        for other in tables:
+            if any(f.table in self.touched for f in self.definition(other).foreign_keys):
+                targets.add(other)
+        report = []
+        for name in sorted(targets):
+            definition = self.definition(name)
+            others = {f.table: self.read(f.table) for f in definition.foreign_keys if f.table in tables}
+            found = violations(self.read(name), definition, others, self.extra.get(name), deferred)
+            report += [(name, r["rule"], r["n"]) for r in found.collect()]
+        if report:
+            raise RuleViolation("; ".join(f"{t}: {rule} ({n})" for t, rule, n in report))
+
+    def commit(self, batch: Mapping[str, int] | None = None, check: bool = True) -> int:
+        """Check, then publish. ``batch`` marks stream batches as applied."""
+        if check:
+            self.check()
+        self.manifest["version"] += 1
+        self.manifest["batches"].update(batch or {})
+        self.store._publish(self.manifest)
+        return self.manifest["version"]
