@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators.scale import cols, pg_order
+from tablewright.operators.scale import cols, pg_order, slots_for
 from tablewright.plans.store import Store
 
 
@@ -158,14 +158,19 @@ def nearest_each(
 
         part = df.select(key, vector).mapInPandas(best, f"query bigint, `{key}` {key_type}, distance double")
         out = part if out is None else out.unionByName(part)
-    ranked = out.groupBy("query").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct("distance", key))), 1, k).alias("_best")
-    )
+    # Two rounds: the lists of all tasks never meet in one group.
+    salted = out.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(slots_for(df))))
+    some = salted.groupBy("query", "_salt").agg(_first_k(F.collect_list(F.struct("distance", key)), k))
+    ranked = some.groupBy("query").agg(_first_k(F.flatten(F.collect_list("_best")), k))
     return ranked.select("query", F.posexplode("_best").alias("_rank", "_b")).select(
         "query", (F.col("_rank") + 1).alias("rank"), F.col(f"_b.{key}").alias(key), F.col("_b.distance").alias("distance")
     )
 
 
+def _first_k(rows: Column, k: int) -> Column:
+    return F.slice(F.sort_array(rows), 1, k).alias("_best")
+
+
 # -- upkeep -----------------------------------------------------------
 
 def rebuild(store: Store, names: Sequence[str] | None = None) -> list[str]:
