@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
-from .substring_dedup import op1_substring_dedup
+import corpus_pipeline
+
+from . import exact_dedup, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_codec, source_mixing, substring_dedup, toxicity
 
 QUERIES = {
-    "op1_substring_dedup": op1_substring_dedup,
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_fingerprints": fingerprints.op2_fingerprints,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_quality": quality.op7_quality,
+    "op8_source_mixing": source_mixing.op8_source_mixing,
+    "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
+}
+ORACLES = {
+    "op6_exact_dedup": exact_dedup.ORACLE,
+    "op8_source_mixing": source_mixing.ORACLE,
 }
-ORACLES: dict[str, str] = {}
