@@ -103,7 +103,7 @@ def digests(docs: DataFrame, old) -> DataFrame:
 def snapshot_filters(snapshot: DataFrame) -> DataFrame:
     """bucket, filter: one binary-fuse filter for each bucket of a frame of distinct digests with `bucket`."""
 
-    def task(key, table: pa.Table) -> pa.Table:
+    def task(key, table):
         return pa.table({"bucket": [key[0].as_py()], "filter": pa.array([build_filter(np.unique(_keys(table.column("digest"))))], pa.binary())})
 
     return snapshot.select("bucket", "digest").groupBy("bucket").applyInArrow(task, "bucket long, filter binary")
@@ -112,7 +112,7 @@ def snapshot_filters(snapshot: DataFrame) -> DataFrame:
 def screen(batch: DataFrame, filters: DataFrame) -> DataFrame:
     """Digests of a batch (distinct, with `bucket`) that the snapshot may hold."""
 
-    def task(left: pa.Table, right: pa.Table) -> pa.Table:
+    def task(left, right):
         if not left.num_rows or not right.num_rows:
             return left.select(["digest"]).slice(0, 0)
         return left.select(["digest"]).filter(pa.array(maybe_in(right.column("filter")[0].as_py(), _keys(left.column("digest")))))
