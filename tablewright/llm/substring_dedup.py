@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import text as T
 
 LENGTH = 35
@@ -171,7 +172,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     runs = texts.select("text", "_id", "_key").mapInArrow(_runs(length, anchor), _RUN)
     seeds = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("low"), F.max("seg").alias("high"))
     seeds = seeds.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
-    found = runs.join(seeds, "anchor")
+    # Written once: the branches below need different columns, and would each shuffle all runs again.
+    found = materialize(runs.join(seeds, "anchor"), "runs")
     mixed = found.where("mixed")
     alike = mixed.groupBy("anchor", "seg").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_key", "run")).alias("first"))
     mixed = mixed.join(alike, ["anchor", "seg"])
