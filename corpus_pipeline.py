@@ -23,14 +23,15 @@ SOURCE_WEIGHTS = {"lang": {"en": 4, "de": 2}}
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     vectors, network = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs, vectors, network, *docs.columns)
-    return scored.where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score(docs.select(T.boxed(docs), "text"), vectors, network, "row")
+    return scored.where(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat an earlier one; n_chars follows the text."""
     rows = line_dedup.without_repeated_lines(docs)
-    return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import materialize
 from . import text as T
@@ -112,7 +113,7 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """_row passes; text without the lines that are not in `kept`, n_lines, n_removed, kept_sha256."""
+    """row as it is, text without the lines with words that are not in `kept`, n_lines, n_removed, kept_sha256."""
     for batch in batches:
         out: dict[str, list] = {"text": [], "n_lines": [], "n_removed": [], "kept_sha256": []}
         for text, kept in zip(batch.column("text").to_pylist(), batch.column("kept").to_pylist(), strict=True):
@@ -125,8 +126,7 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["n_removed"].append(len(lines) - len(rest))
             out["kept_sha256"].append(hashlib.sha256((new or "").encode("utf-8", "surrogatepass")).hexdigest())
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
-        rest = [c for c in batch.schema.names if c not in ("text", "kept")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], names=[*rest, *out])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], names=["row", *out])
 
 
 def kept_lines(docs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -164,17 +164,14 @@ def kept_lines(docs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """All columns of docs, with the repeated lines gone from text, and n_lines, n_removed, kept_sha256."""
-    renamed = [f"_c{i}" for i in range(len(docs.columns))]
-    place = docs.columns.index("text")
-    rows = T.handled(docs, "text", *(F.col(f"`{c}`").alias(r) for i, (c, r) in enumerate(zip(docs.columns, renamed, strict=True)) if i != place))
+    """row (the other columns of docs), text without the repeated lines, n_lines, n_removed, kept_sha256."""
+    rows = T.handled(docs, "text", T.boxed(docs, but="text"))
     kept = kept_lines(docs, rows, percent)
     rows = rows.join(kept, ["_id", "_key"], "left").drop("_id", "_key")
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields if f.name not in ("text", "kept"))
-    rows = rows.mapInArrow(_without, f"{fields}text string, n_lines long, n_removed long, kept_sha256 string")
-    return rows.select(*(F.col("text" if i == place else r).alias(c) for i, (c, r) in enumerate(zip(docs.columns, renamed, strict=True))), F.col("n_lines").alias("_n_lines"), F.col("n_removed").alias("_n_removed"), F.col("kept_sha256").alias("_kept_sha256"))
+    schema = StructType([rows.schema["row"], StructField("text", StringType()), StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
+    return rows.select("row", "text", "kept").mapInArrow(_without, schema)
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     rows = without_repeated_lines(T.documents(spark, sf_dir))
-    return rows.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.col("_kept_sha256").alias("kept_sha256"))
+    return rows.select("row.doc_id", "n_lines", "n_removed", "kept_sha256")

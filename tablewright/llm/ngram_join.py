@@ -103,7 +103,7 @@ def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> D
 def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The rows of docs whose doc_id is the least of its component; all columns stay."""
     found = jaccard_components(docs, k, percent).where("doc_id is null or component_id = doc_id").select("_id", "_key").distinct()
-    return T.handled(docs, *(F.col(f"`{c}`") for c in docs.columns)).join(found, ["_id", "_key"], "left_semi").select(*docs.columns)
+    return T.handled(docs, T.boxed(docs)).join(found, ["_id", "_key"], "left_semi").select("row.*")
 
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import text as T
 
@@ -237,6 +238,7 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network, *columns: str)
     """`columns` of docs and score, 0 to 1, rounded to six places."""
     shared = docs.sparkSession.sparkContext.broadcast((vectors, network))
     rows = docs.select(*columns, F.col("text").alias("_text"))
+    schema = StructType([*rows.schema.fields[:-1], StructField("score", DoubleType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, network = shared.value
@@ -244,8 +246,7 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network, *columns: str)
             found = np.round(network.score(pooled(batch.column("_text"), vectors)), 6)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(found, pa.float64())], names=[*columns, "score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(task, f"{fields}, score double")
+    return rows.mapInArrow(task, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

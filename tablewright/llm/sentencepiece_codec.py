@@ -3,8 +3,8 @@
 The pieces and their scores come from a given model file, read once on the driver and
 broadcast (a vocabulary is bounded). Text is escaped as the model expects it: a leading
 space is added and spaces become U+2581. The search keeps the segmentation of greatest total
-score; among equal ones the earliest found, so the longer last piece. A character that is no
-piece, and a literal U+2581, is spelled in byte pieces, at a score below all pieces.
+score; among equal ones that of the shorter last piece, which lets paths meet early (runs of
+one character). A character that is no piece, and a literal U+2581, is spelled in byte pieces, at a score below all pieces.
 
 The search runs over a window: it relaxes every piece that starts at a reached position and
 commits ids as soon as all surviving back pointers pass through one boundary, either because
@@ -103,7 +103,7 @@ def committed(text: str, pieces: Pieces) -> Iterator[list[int]]:
                 while j >= len(best):
                     best.append(-np.inf)
                     back.append((0, -1))
-                if here + found[0] > best[j]:
+                if here + found[0] >= best[j]:
                     best[j], back[j] = here + found[0], (i, found[1])
                 far = max(far, j)
         i += 1

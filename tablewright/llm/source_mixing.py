@@ -101,8 +101,8 @@ def mix(docs: DataFrame, domain: Column, share: int = SHARE, epochs: int = EPOCH
 def mixed_documents(docs: DataFrame, domain: Column, **how) -> DataFrame:
     """The rows of docs that are chosen, each as often as it is chosen; all columns of docs stay."""
     chosen = mix(docs, domain, **how).where("copies > 0").groupBy("_id", "_key").agg(F.max("copies").alias("_copies"))
-    keyed = T.handled(docs, *(F.col(f"`{c}`") for c in docs.columns))
-    return keyed.join(chosen, ["_id", "_key"]).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
+    keyed = T.handled(docs, T.boxed(docs)).join(chosen, ["_id", "_key"])
+    return keyed.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select("row.*")
 
 
 def op8_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 U = np.uint64
@@ -148,10 +148,15 @@ def chars(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return heads[offsets[1:]] - heads[offsets[:-1]]
 
 
-def handled(docs: DataFrame, *columns: str) -> DataFrame:
+def handled(docs: DataFrame, *columns: Column | str) -> DataFrame:
     """docs with `_id`, `_key`: a handle without nulls that rows share only if id and text are equal."""
     return docs.select(*columns, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1)).alias("_id"), F.xxhash64(F.col("text")).alias("_key"))
 
 
+def boxed(docs: DataFrame, but: str | None = None) -> Column:
+    """All columns of docs (but one) as the struct `row`, so that no name of theirs clashes with an operator's."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != but)).alias("row")
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
