@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,21 +40,6 @@ def drop_function(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
 
 
-def run_block(spark: SparkSession, script: str) -> DataFrame:
-    """Run a BEGIN .. END block with variables, IF, CASE and loops.
-
-    For control flow only: a loop over rows is better stated as one query.
-    """
-    return spark.sql(script)
-
-
 def by_name(spark: SparkSession, query: str, **names: str) -> DataFrame:
     """Run a query whose tables and columns are given by name: IDENTIFIER(:t)."""
     return spark.sql(query, args=names)
-
-
-def call(procedure: Callable[..., Any], store, *args, **kwargs) -> int:
-    """Run a procedure that changes tables, as one all-or-nothing change."""
-    change = store.begin()
-    procedure(change, *args, **kwargs)
-    return change.commit()

@@ -35,17 +35,15 @@ def array_length(array: Column) -> Column:
 
 
 def size_pretty(size: Column) -> Column:
-    """Bytes in the largest unit that keeps two digits, rounded half up."""
-    out = F.when(F.abs(size) < 10 * 1024, F.concat(size.cast("string"), F.lit(" bytes")))
-    # One spare bit is kept while scaling, for the rounding.
-    half = F.shiftright(F.abs(size).cast("bigint"), 9)
-    sign = F.when(size < 0, F.lit("-")).otherwise(F.lit(""))
-    units = ["kB", "MB", "GB", "TB"]
-    for unit in units:
-        rounded = F.shiftright(half + 1, 1).cast("string")
-        out = out.when(half < 20 * 1024 - 1, F.concat(sign, rounded, F.lit(f" {unit}")))
-        half = F.shiftright(half, 10)
-    return out.when(size.isNotNull(), F.concat(sign, F.shiftright(half + 1, 1).cast("string"), F.lit(" PB")))
+    """Bytes in the largest unit of which there are ten or more, rounded half up."""
+    amount, sign = F.abs(size), F.when(size < 0, F.lit("-")).otherwise(F.lit(""))
+    out = F.when(amount < 10 << 10, F.concat(size.cast("string"), F.lit(" bytes")))
+    for step, unit in enumerate(["kB", "MB", "GB", "TB", "PB"], start=1):
+        # In half units, so that integers round exactly.
+        halves = F.shiftright(amount.cast("bigint"), 10 * step - 1)
+        text = F.concat(sign, F.shiftright(halves + 1, 1).cast("string"), F.lit(f" {unit}"))
+        out = out.when(halves < (20 << 10) - 1 if unit != "PB" else size.isNotNull(), text)
+    return out
 
 
 def position_number(text: Column) -> Column:
@@ -81,6 +79,11 @@ def quote_literal(value) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
+def quote_literal_column(value: Column) -> Column:
+    """A column as literals of a statement."""
+    return F.coalesce(F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("''")), F.lit("'")), F.lit("NULL"))
+
+
 def format_sql(template: str, *args) -> str:
     """``%I`` identifier, ``%L`` literal, ``%s`` text, ``%%`` percent sign."""
     import re

@@ -9,10 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators.relational import is_true
-from tablewright.operators.scale import cols, spread_join
-from tablewright.plans.store import Store
-from tablewright.plans.tabledef import TableDef
+from tablewright.operators.scale import cols, number_rows, spread_join
+from tablewright.session import materialize
 
 OPERATIONS = {"I": "INSERT", "U": "UPDATE", "D": "DELETE", "T": "TRUNCATE"}
 
@@ -26,30 +24,22 @@ def drop_view(spark: SparkSession, name: str) -> bool:
 
 
 class StoredView:
-    """A query result kept as a table; stale until it is refreshed."""
+    """A query result kept as Parquet; stale until it is refreshed.
 
-    def __init__(self, store: Store, name: str, query: Callable[[Store], DataFrame]):
-        self.store, self.name, self.query = store, name, query
+    Each refresh writes a folder of its own, so readers of the one before are
+    not disturbed.
+    """
 
-    def create(self, if_not_exists: bool = True) -> None:
-        if self.name in self.store.tables():
-            if not if_not_exists:
-                raise ValueError(f"{self.name} exists")
-            return
-        rows = self.query(self.store)
-        self.store.create(TableDef(self.name, rows.schema), rows)
+    def __init__(self, spark: SparkSession, query: Callable[[], DataFrame]):
+        self.spark, self.query, self.rows = spark, query, None
 
-    def refresh(self) -> int:
-        """Run the query again and swap the result in."""
-        return self.store.put(self.name, self.query(self.store))
+    def refresh(self) -> DataFrame:
+        """Run the query again and keep its result."""
+        self.rows = materialize(self.query(), "view")
+        return self.rows
 
     def read(self) -> DataFrame:
-        return self.store.read(self.name)
-
-    def drop(self) -> int:
-        change = self.store.begin()
-        change.drop(self.name)
-        return change.commit()
+        return self.refresh() if self.rows is None else self.rows
 
 
 # -- audit ----------------------------------------------------------------
@@ -67,19 +57,24 @@ def audit_rows(
     entry_date: Column,
     ops: Sequence[str] = ("I",),
     when: Callable[[Column, Column], Column] | None = None,
+    number: str | None = None,
+    last: int = 0,
 ) -> DataFrame:
     """One row per changed row: key, date, operation.
 
+    ``number`` names a serial column for them, after ``last``, in order of key.
+
     ``when`` takes the old and new row and says which changes count.
     """
     rows = changes.where(F.col("op").isin(list(ops)))
     if when is not None:
-        rows = rows.where(is_true(when(F.col("old"), F.col("new"))))
-    return rows.select(
+        rows = rows.where(when(F.col("old"), F.col("new")))
+    out = rows.select(
         F.coalesce(F.col(f"new.{key}"), F.col(f"old.{key}")).alias(key),
         entry_date.alias("entry_date"),
         operation_name(F.col("op")).alias("operation"),
     )
+    return out if number is None else number_rows(out, [key, "operation"], number, start=last + 1)
 
 
 def audit_images(changes: DataFrame, ops: Sequence[str] = ("I", "U", "D")) -> DataFrame:
@@ -124,25 +119,23 @@ class Rule:
     below_depth: int = 1
 
 
-def fire(
-    changes: Mapping[str, DataFrame], rules: Sequence[Rule], disabled: Sequence[str] = (), limit: int = 32
-) -> dict[str, list[DataFrame]]:
-    """All change rows of a user change, those of the rules included."""
+def fire(changes: Mapping[str, DataFrame], rules: Sequence[Rule], disabled: Sequence[str] = ()) -> dict[str, list[DataFrame]]:
+    """All change rows of a user change, those of the rules included.
+
+    A rule fires on changes above its depth only, so the levels end with the
+    greatest ``below_depth``; no job runs while the plan is built.
+    """
     done: dict[str, list[DataFrame]] = {t: [c] for t, c in changes.items()}
     pending, depth = {t: [c] for t, c in changes.items()}, 0
     active = [r for r in rules if r.name not in disabled and f"{r.table}.{r.name}" not in disabled]
     while pending:
-        if depth >= limit:
-            raise RecursionError(f"rules fired {limit} levels deep")
         produced: dict[str, list[DataFrame]] = {}
         for rule in active:
             if depth >= rule.below_depth or rule.table not in pending:
                 continue
             rows = reduce(DataFrame.unionByName, pending[rule.table]).where(F.col("op").isin(list(rule.ops)))
             if rule.when is not None:
-                rows = rows.where(is_true(rule.when(F.col("old"), F.col("new"))))
-            if rows.isEmpty():
-                continue
+                rows = rows.where(rule.when(F.col("old"), F.col("new")))
             for table, more in rule.action(rows).items():
                 produced.setdefault(table, []).append(more)
                 done.setdefault(table, []).append(more)

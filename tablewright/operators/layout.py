@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.scale import cols, pg_order, slots_for
-from tablewright.plans.store import Store
+from tablewright.operators.scale import FAN, cols, pg_order
 
 
 # -- sorted layout ------------------------------------------------------
@@ -26,29 +24,6 @@ def clustered(df: DataFrame, order: Sequence[str | Column], spread: Sequence[str
     return df.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
 
 
-def cluster(store: Store, name: str, order: Sequence[str] | None = None) -> int:
-    """Rewrite a table in key order; remembers the key for the next time."""
-    change = store.begin()
-    definition = change.definition(name)
-    order = tuple(order or definition.sort_key)
-    if not order:
-        raise ValueError(f"{name} was never clustered")
-    exprs = [F.expr(o) if not o.startswith("-") and "(" in o else o for o in order]
-    key = [k for k in definition.key if k not in order]
-    change.define(replace(definition, sort_key=order))
-    # The order must hold per written file; partitioned tables sort inside parts.
-    change.put(name, clustered(change.read(name), [e.asc_nulls_last() if isinstance(e, Column) else e for e in exprs], key))
-    return change.commit()
-
-
-def cluster_all(store: Store) -> list[str]:
-    """Cluster again every table that was clustered before."""
-    done = [t for t in store.tables() if store.definition(t).sort_key]
-    for t in done:
-        cluster(store, t)
-    return done
-
-
 # -- buckets, computed columns, subsets -----------------------------------
 
 def bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int, location: str) -> None:
@@ -159,7 +134,7 @@ def nearest_each(
         part = df.select(key, vector).mapInPandas(best, f"query bigint, `{key}` {key_type}, distance double")
         out = part if out is None else out.unionByName(part)
     # Two rounds: the lists of all tasks never meet in one group.
-    salted = out.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(slots_for(df))))
+    salted = out.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(FAN)))
     some = salted.groupBy("query", "_salt").agg(_first_k(F.collect_list(F.struct("distance", key)), k))
     ranked = some.groupBy("query").agg(_first_k(F.flatten(F.collect_list("_best")), k))
     return ranked.select("query", F.posexplode("_best").alias("_rank", "_b")).select(
@@ -169,29 +144,3 @@ def nearest_each(
 
 def _first_k(rows: Column, k: int) -> Column:
     return F.slice(F.sort_array(rows), 1, k).alias("_best")
-
-
-# -- upkeep -----------------------------------------------------------
-
-def rebuild(store: Store, names: Sequence[str] | None = None) -> list[str]:
-    """Rewrite tables: in key order where one is known, else into full files."""
-    names = list(names or store.tables())
-    for name in names:
-        if store.definition(name).sort_key:
-            cluster(store, name)
-        else:
-            change = store.begin()
-            change.compact(name)
-            change.commit()
-    return names
-
-
-def tier(store: Store, name: str, part: str, location: str) -> int:
-    """Move an old partition to other storage; reads still see it."""
-    change = store.begin()
-    change.place_part(name, part, location)
-    return change.commit()
-
-
-def use_catalog(spark: SparkSession, namespace: str) -> None:
-    spark.sql("CREATE NAMESPACE IF NOT EXISTS IDENTIFIER(:n)", args={"n": namespace})

@@ -109,13 +109,11 @@ def part_of(spec: PartitionSpec) -> Column:
     fallback = next((p.name for p in spec.parts if p.default), None)
     default = F.lit(fallback).cast("string")
     if spec.kind == "hash":
-        slot = hash_slot(F.col(spec.columns[0]), spec.modulus, spec.text_key)
+        # A null key hashes like zero, so it has a place.
+        slot = F.coalesce(hash_slot(F.col(spec.columns[0]), spec.modulus, spec.text_key), F.lit(0))
         names = {p.remainder: p.name for p in spec.parts}
-        out = F
-        for r, n in names.items():
-            out = out.when(slot == r, F.lit(n))
-        regular = all(n == f"p{r}" for r, n in names.items()) and len(names) == spec.modulus
-        return F.concat(F.lit("p"), slot.cast("string")) if regular else out.otherwise(default)
+        named = F.array(*[F.lit(names.get(r, fallback)).cast("string") for r in range(spec.modulus)])
+        return F.get(named, slot.cast("int"))
     if spec.kind == "list":
         key, out = F.col(spec.columns[0]), F
         for p in spec.parts:
@@ -231,15 +229,19 @@ def pruned(df: DataFrame, spec: PartitionSpec, low=None, high=None, closed: bool
 
 # -- splitting an existing table -----------------------------------------
 
-def equal_ranges(df: DataFrame, column: str, step: int, prefix: str = "p") -> PartitionSpec:
+def equal_ranges(df: DataFrame, column: str, step: int, prefix: str = "p", most: int = 10_000) -> PartitionSpec:
     """Ranges of equal width that cover a column, from its minimum up.
 
-    Bounds are half open, so a value on a bound is in the upper range.
+    Bounds are half open, so a value on a bound is in the upper range. A table
+    of more than ``most`` partitions is refused; ``split_equal`` numbers ranges
+    without making any.
     """
     low, high = df.agg(F.min(column), F.max(column)).first()
     if low is None:
         return PartitionSpec("range", (column,), ())
     count = int((high - low) // step) + 1
+    if count > most:
+        raise ValueError(f"{count} partitions")
     return by_range(column, {f"{prefix}{i + 1}": (low + i * step, low + (i + 1) * step) for i in range(count)})
 
 
@@ -284,6 +286,13 @@ def merged_columns(parents: Sequence[TableDef], name: str, extra_ddl: str = "")
     return TableDef(name, StructType(list(fields.values())), checks=tuple(c for p in parents for c in p.checks))
 
 
+def read_children(tables: Mapping[str, DataFrame], checks: Mapping[str, tuple], parent: str, column: str, low=None, high=None) -> DataFrame:
+    """Rows with the key in ``low..high``; children whose CHECK range rules them out are not read."""
+    kept = {n: t for n, t in tables.items() if n not in checks or not can_skip(*checks[n], low, high)}
+    rows = inherit_read(kept, parent)
+    return rows.where(F.col(column) >= low if high is None else F.col(column) <= high if low is None else F.col(column).between(low, high))
+
+
 def can_skip(check_low, check_high, low=None, high=None) -> bool:
     """Whether a child with CHECK ``[check_low, check_high)`` has no key in ``low..high``."""
     return (low is not None and check_high is not None and check_high <= low) or (
@@ -299,17 +308,21 @@ def attach_violations(rows: DataFrame, part: Part, spec: PartitionSpec) -> DataF
     return rows.where(part_of(alone).isNull())
 
 
-def check_attach(rows: DataFrame, definition: TableDef, part: Part) -> None:
-    have = [(f.name, f.dataType) for f in rows.schema]
-    want = [(f.name, f.dataType) for f in definition.schema]
-    if have != want:
-        raise RuleViolation(f"columns differ from {definition.name}")
-    check_spec(definition.partition.with_part(part))
-    if not attach_violations(rows, part, definition.partition).isEmpty():
+def check_rows(rows: DataFrame, part: Part, spec: PartitionSpec) -> None:
+    if not attach_violations(rows, part, spec).isEmpty():
         raise RuleViolation(f"rows outside the bounds of {part.name}")
-    fallback = [p for p in definition.partition.parts if p.default]
-    if fallback and part.default:
-        raise RuleViolation("there is a default partition already")
+
+
+def moved_rows(before: DataFrame, after: DataFrame, key: str, spec: PartitionSpec) -> DataFrame:
+    """``key, old_part, new_part`` of the rows that an update sends to another partition."""
+    old = before.select(key, part_of(spec).alias("old_part"))
+    new = after.select(key, part_of(spec).alias("new_part"))
+    return old.join(new, key).where(~F.col("old_part").eqNullSafe(F.col("new_part")))
+
+
+def gathered(sharded: DataFrame, by: Sequence[str], aggregates: Sequence[Column], final: Sequence[Column]) -> DataFrame:
+    """Scatter and gather: aggregate in each shard, then over the shards' results."""
+    return sharded.groupBy("_shard", *by).agg(*aggregates).groupBy(*by).agg(*final)
 
 
 def shards(df: DataFrame, key: str, count: int, text: bool = False) -> DataFrame:

@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.relational import is_true
-
 
 @dataclass(frozen=True)
 class Policy:
@@ -47,5 +45,5 @@ def secured(
     mine = groups_of(role, members or {})
     if role in bypass or (role == owner and not forced):
         return df
-    accepts = [is_true(p.predicate(role)) for p in policies if mine & set(p.roles) or "public" in p.roles]
+    accepts = [p.predicate(role) for p in policies if mine & set(p.roles) or "public" in p.roles]
     return df.where(reduce(lambda a, b: a | b, accepts)) if accepts else df.where(F.lit(False))

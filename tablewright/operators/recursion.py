@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.scale import hot_keys, is_hot, slots_for
+from tablewright.operators.scale import hot_keys, is_hot, slots_of
 from tablewright.session import materialize, scratch_path
 
 
@@ -15,47 +15,45 @@ def recurse(
     anchor: DataFrame,
     step: Callable[[DataFrame], DataFrame],
     distinct: bool = True,
-    max_depth: int = 10_000,
     identity: list[str] | None = None,
+    max_depth: int | None = None,
 ) -> DataFrame:
-    """WITH RECURSIVE: ``anchor UNION [ALL] step(last level)``.
+    """WITH RECURSIVE: ``anchor UNION [ALL] step(last level)``, until a level is empty.
 
     With ``distinct`` a row that any earlier level had is dropped, so cycles
     end; ``identity`` names the columns that make a row the same (default all).
     Each level is written to the shared folder, so the plan of a level never
-    contains the ones before it. Only an emptiness test reaches the driver.
+    contains the ones before it; of earlier levels only 16-byte hashes of the
+    identity are read again. Only an emptiness test reaches the driver.
     """
     spark = anchor.sparkSession
     keys = identity or anchor.columns
     schema = anchor.schema
     root = scratch_path(spark, "levels")
+    same = F.struct(F.xxhash64(*keys).alias("h1"), F.xxhash64(F.lit(1), *keys).alias("h2")).alias("_same")
 
     def write(df: DataFrame, level: int) -> DataFrame:
         path = f"{root}/level={level}"
         # Union types follow the anchor, and a level may not be narrower.
-        df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.parquet(path)
-        return spark.read.schema(schema).parquet(path)
+        rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+        rows.select("*", same).write.parquet(path)
+        return spark.read.parquet(path).select(*schema.names)
 
     def read_all(last: int) -> DataFrame:
-        paths = [f"{root}/level={n}" for n in range(last + 1)]
-        return spark.read.schema(schema).parquet(*paths)
+        return spark.read.parquet(*[f"{root}/level={n}" for n in range(last + 1)])
 
     frontier = write(anchor.dropDuplicates(keys) if distinct else anchor, 0)
     level = 0
     while not frontier.isEmpty():
-        if level >= max_depth:
+        if max_depth is not None and level >= max_depth:
             raise RecursionError(f"recursion passed {max_depth} levels")
         fresh = step(frontier).toDF(*anchor.columns)
         if distinct:
-            # Null-safe by struct: rows with nulls count as seen, too.
-            same = F.struct(*keys).alias("_same")
-            seen = read_all(level).select(same)
-            fresh = (
-                fresh.dropDuplicates(keys).withColumn("_same", F.struct(*keys)).join(seen, "_same", "left_anti").drop("_same")
-            )
+            seen = read_all(level).select("_same")
+            fresh = fresh.dropDuplicates(keys).select("*", same).join(seen, "_same", "left_anti").drop("_same")
         level += 1
         frontier = write(fresh, level)
-    return read_all(level)
+    return read_all(level).select(*schema.names)
 
 
 def hierarchy(
@@ -64,64 +62,40 @@ def hierarchy(
     parent: str,
     carry: list[str] | None = None,
     separator: str = "->",
+    path: str = "path",
+    depth: str = "depth",
+    root: str = "root",
 ) -> DataFrame:
     """Every row with its path to the root, its depth and its root key.
 
-    ``df`` must be free of cycles, as a path makes each row a new one. The
-    children are read once and kept partitioned by parent across the levels; a
-    parent with very many children is spread over salted groups.
+    ``df`` must be free of cycles, as a path makes each row a new one. A parent
+    with very many children is spread over salted groups.
     """
     carry = carry or []
-    spark = df.sparkSession
     hot = hot_keys(df.where(F.col(parent).isNotNull()), parent)
-    salts = slots_for(df)
+    salts = slots_of(hot)
     zero = F.lit(0).cast("bigint")
     spread = F.pmod(F.xxhash64("_key"), F.lit(salts))
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    children = (
+    children = materialize(
         df.where(F.col(parent).isNotNull())
         .select(F.col(key).alias("_key"), F.col(parent).alias("_up"), *carry)
-        .withColumn("_salt", F.when(is_hot("_up", hot), spread).otherwise(zero))
-        .repartition(width, "_up", "_salt")
-        .persist()
+        .withColumn("_salt", F.when(is_hot("_up", hot), spread).otherwise(zero)),
+        "children",
     )
     all_salts = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
 
     def step(last: DataFrame) -> DataFrame:
-        above = last.select(
-            F.col(key).alias("_up"),
-            F.col("hierarchy").alias("_path"),
-            F.col("depth").alias("_depth"),
-            F.col("super_root").alias("_root"),
-        )
-        if hot:
-            above = above.withColumn(
-                "_salt", F.explode(F.when(is_hot("_up", hot), all_salts).otherwise(F.array(zero)))
-            )
-        else:
-            above = above.withColumn("_salt", zero)
-        return children.join(above, ["_up", "_salt"]).select(
-            F.col("_key"),
-            F.concat(F.col("_key").cast("string"), F.lit(separator), F.col("_path")),
-            F.col("_depth") + 1,
-            F.col("_root"),
-            F.col("_up"),
-            *carry,
+        above = last.select(F.col(key).alias("_up"), F.col(path).alias("_path"), F.col(depth).alias("_depth"), F.col(root).alias("_root"))
+        salt = F.explode(F.when(is_hot("_up", hot), all_salts).otherwise(F.array(zero))) if hot else zero
+        return children.join(above.withColumn("_salt", salt), ["_up", "_salt"]).select(
+            F.col("_key"), F.concat(F.col("_key").cast("string"), F.lit(separator), F.col("_path")), F.col("_depth") + 1, F.col("_root"), F.col("_up"), *carry
         )
 
     anchor = df.where(F.col(parent).isNull()).select(
-        key,
-        F.col(key).cast("string").alias("hierarchy"),
-        F.lit(1).alias("depth"),
-        F.col(key).alias("super_root"),
-        parent,
-        *carry,
+        key, F.col(key).cast("string").alias(path), F.lit(1).alias(depth), F.col(key).alias(root), parent, *carry
     )
     # Without cycles a path is reached once, so the levels need no comparison.
-    try:
-        return recurse(anchor, step, distinct=False)
-    finally:
-        children.unpersist()
+    return recurse(anchor, step, distinct=False)
 
 
 def reachable(edges: DataFrame, start: DataFrame, src: str = "src", dst: str = "dst", node: str = "node") -> DataFrame:
@@ -132,3 +106,24 @@ def reachable(edges: DataFrame, start: DataFrame, src: str = "src", dst: str = "
         return links.join(last.withColumnRenamed(node, src), src).select(dst)
 
     return recurse(start.select(node), step)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node, root`` (the least node of the component) for the nodes of edges ``a, b``.
+
+    Each step renames every node to its least neighbour and keeps the edges that
+    still have two ends: a star is done after one step, a chain after a logarithm
+    of its length.
+    """
+    edges = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    roots = None
+    while not edges.isEmpty():
+        step = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("up")), "step")
+        if roots is None:
+            roots = step.withColumnRenamed("up", "root")
+        else:
+            roots = roots.join(step.select(F.col("node").alias("root"), "up"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+        roots = materialize(roots, "roots")
+        new = edges.join(step.select(F.col("node").alias("a"), F.col("up").alias("x")), "a").join(step.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
+        edges = materialize(new.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+    return roots if roots is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -40,7 +40,10 @@ def half_open(value: Column, low, high) -> Column:
 
 
 def is_true(predicate: Column) -> Column:
-    """A predicate as WHERE sees it: unknown counts as false."""
+    """A predicate with unknown as false, for use under a negation.
+
+    ``where`` drops unknown by itself, and only a bare predicate reaches the scan.
+    """
     return F.coalesce(predicate, F.lit(False))
 
 
@@ -63,12 +66,13 @@ def any_of(df: DataFrame, column: str, key_rows: DataFrame, key: str | None = No
 
 
 def exists(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(other, on, "left_semi")
+    """Rows of ``df`` with a match in ``other``."""
+    return spread_join(df, other.select(*cols(on)).distinct(), on, "left_semi")
 
 
 def missing(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` with no match in ``other``."""
-    return df.join(other, on, "left_anti")
+    return spread_join(df, other.select(*cols(on)).distinct(), on, "left_anti")
 
 
 # -- groups -------------------------------------------------------------
@@ -79,10 +83,9 @@ def group_count(df: DataFrame, by: str | Sequence[str], column: str, name: str =
     return out if more_than is None else out.where(F.col(name) > more_than)
 
 
-def bounds(df: DataFrame, column: str) -> tuple:
+def least_and_greatest(df: DataFrame, column: str) -> DataFrame:
     """Smallest and largest value of a column given by name."""
-    row = df.agg(F.min(column), F.max(column)).first()
-    return row[0], row[1]
+    return df.agg(F.min(column).alias("least"), F.max(column).alias("greatest"))
 
 
 # -- order and pages ----------------------------------------------------

@@ -72,13 +72,14 @@ def violations(
     holds rules that need a query of their own.
     """
     others = others or {}
+    off = set(definition.disabled_rules)
     flags = {}
     required = dict.fromkeys((*definition.not_null, *[c for u in definition.uniques if u.primary for c in u.columns]))
     for c in required:
         flags[f"not_null({c})"] = F.col(c).isNull()
     for c, n in definition.lengths.items():
         flags[f"length({c})"] = F.coalesce(F.length(c) > n, F.lit(False))
-    for check in definition.checks:
+    for check in (c for c in definition.checks if c.name not in off):
         flags[check.name] = ~F.coalesce(F.expr(check.expression), F.lit(True))
     found = []
     if flags:
@@ -87,15 +88,15 @@ def violations(
         counted = df.agg(*[F.count_if(flags[r]).alias(f"r{i}") for i, r in enumerate(order)])
         pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"r{i}").alias("n")) for i, r in enumerate(order)]))
         found.append(counted.select(pairs.alias("x")).select("x.rule", "x.n").where("n > 0"))
-    for u in definition.uniques:
+    for u in (u for u in definition.uniques if u.label not in off):
         if deferred or not u.deferrable:
             bad = unique_violations(df, u.columns, u.primary)
             found.append(bad.agg(F.lit(u.label).alias("rule"), F.count("*").alias("n")).where("n > 0"))
-    for fk in definition.foreign_keys:
+    for fk in (f for f in definition.foreign_keys if f.label not in off):
         if (deferred or not fk.deferrable) and fk.table in others:
             bad = foreign_key_violations(df, others[fk.table], fk.columns, fk.references)
             found.append(bad.agg(F.lit(fk.label).alias("rule"), F.count("*").alias("n")).where("n > 0"))
-    for name, rule in (extra or {}).items():
+    for name, rule in ((n, r) for n, r in (extra or {}).items() if n not in off):
         found.append(rule(df).agg(F.lit(name).alias("rule"), F.count("*").alias("n")).where("n > 0"))
     if not found:
         return df.sparkSession.createDataFrame([], "rule string, n bigint")

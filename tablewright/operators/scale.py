@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.session import materialize
 
-# A key with more than this share of all rows is split. The list of such keys
-# has at most 1 / HOT_SHARE entries, whatever the data, so it may be held as
-# literals.
-HOT_SHARE = 1 / 1000
-SKETCH_ITEMS = 65536
-# Inputs below this estimated size are not searched for hot keys: one task can
-# hold any group of them.
-SMALL_BYTES = 64 << 20
-SMALL_BYTES_CONF = "spark.tablewright.smallBytes"
+# Rows of one key that one task should hold; a key with more is cut into slots.
+ROWS_PER_TASK = 1_000_000
+# The sketch follows this many items exactly enough to name the largest keys.
+SKETCH_KEYS = 4096
+SKETCH_ITEMS = 262144
+# First-round groups where partial results of all tasks are merged in two rounds.
+FAN = 64
 
 
 def cols(names: str | Sequence[str]) -> list[str]:
@@ -29,32 +27,24 @@ def key_hash(keys: str | Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in cols(keys)])
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame, which is high rather than low."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def hot_keys(df: DataFrame, keys: str | Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows.
+def hot_keys(df: DataFrame, keys: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> dict[int, int]:
+    """Hashes of the keys with more than ``rows_per_task`` rows, and their number of slots.
 
     One pass with a mergeable frequent-items sketch: the tasks send sketches,
     never the distinct keys. The answer only steers the work, so its error
     cannot change a result.
     """
-    small = int(df.sparkSession.conf.get(SMALL_BYTES_CONF, str(SMALL_BYTES)))
-    if estimated_bytes(df) < small:
-        return []
-    top = int(1 / share)
-    row = (
-        df.select(key_hash(keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {top}, {SKETCH_ITEMS})").alias("top"), F.count("*").alias("n"))
-        .first()
-    )
-    return sorted(t["item"] for t in row["top"] if t["count"] > row["n"] * share)
+    top = df.select(key_hash(keys).alias("h")).agg(F.expr(f"approx_top_k(h, {SKETCH_KEYS}, {SKETCH_ITEMS})")).first()[0]
+    return {t["item"]: -(-t["count"] // rows_per_task) for t in top or () if t["count"] > rows_per_task}
+
+
+def is_hot(keys: str | Sequence[str], hot: Mapping[int, int]) -> Column:
+    return key_hash(keys).isin(list(hot)) if hot else F.lit(False)
 
 
-def is_hot(keys: str | Sequence[str], hot: list[int]) -> Column:
-    return key_hash(keys).isin(hot) if hot else F.lit(False)
+def slots_of(hot: Mapping[int, int]) -> int:
+    """Slots that serve each of the hot keys."""
+    return max(hot.values(), default=1)
 
 
 def slot_of(value: Column, bounds: Sequence) -> Column:
@@ -81,12 +71,6 @@ def quantile_bounds(df: DataFrame, order: str, slots: int) -> list:
     return sorted(set(points))
 
 
-def slots_for(df: DataFrame) -> int:
-    """Slots to cut a hot key into; follows the shuffle width, bounded."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4, min(width, 512))
-
-
 def previous_value(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -94,7 +78,7 @@ def previous_value(
     value: Column,
     name: str,
     when: Column | None = None,
-    hot: list[int] | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Add the ``value`` of the last earlier row of the same key.
 
@@ -117,7 +101,7 @@ def previous_value(
         return out.drop("_mark")
 
     flag = is_hot(keys, hot)
-    bounds = quantile_bounds(df.where(flag), order, slots_for(df))
+    bounds = quantile_bounds(df.where(flag), order, slots_of(hot))
     # A struct key compares null keys as equal, and lets the join and the window
     # below share one shuffle.
     full = full.withColumn("_key", F.struct(*keys)).withColumn(
@@ -146,14 +130,13 @@ def spread_join(
     keyed: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    hot: list[int] | None = None,
-    salts: int | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Join a side with repeated keys to a side with unique keys.
 
-    Rows of hot keys are spread over ``salts`` groups, and only the hot rows of
-    the keyed side are repeated, once per group. ``how`` keeps the left side:
-    inner, left, left_semi or left_anti.
+    Rows of hot keys are spread over groups of about ROWS_PER_TASK, and only the
+    hot rows of the keyed side are repeated, once per group. ``how`` keeps the
+    left side: inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"{how} does not keep the repeated side")
@@ -161,12 +144,10 @@ def spread_join(
     hot = hot_keys(big, on) if hot is None else hot
     if not hot:
         return big.join(keyed, on, how)
-    salts = salts or slots_for(big)
+    salts = slots_of(hot)
     flag = is_hot(on, hot)
-    # The salt must not depend on the key only, and must come out the same when
-    # a lost task runs again: a hash of the whole row does both.
-    simple = [f.name for f in big.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    salt = F.when(flag, F.pmod(F.xxhash64(*simple), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
+    # The input partition is the same when a task runs again, and spreads equal rows, too.
+    salt = F.when(flag, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0)).cast("bigint")
     left = big.withColumn("_salt", salt)
     copies = F.when(flag, F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(
         F.array(F.lit(0).cast("bigint"))
@@ -183,28 +164,18 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "rn",
     the partition sizes reach the driver. Nulls come last when rising and first
     when falling, as in the rest of the package.
     """
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [pg_order(o) for o in order]
     placed = materialize(
-        df.repartitionByRange(width, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id()),
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()),
         "numbered",
     )
-    part = F.shiftright(F.col("_at"), 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()
-    offsets, total = [], start
-    for row in sizes:
-        offsets.append((row["_part"], total))
-        total += row["n"]
-    first = df.sparkSession.createDataFrame(offsets, "_part bigint, _first bigint")
+    part = F.shiftright(F.col("_at"), 33).cast("int")
+    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    # One literal number per partition: no join, so the numbered rows are not shuffled again.
+    before = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)), initial=start))
+    first = F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), part)
     place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(first, "_part")
-        .withColumn(name, F.col("_first") + place)
-        .select(*df.columns, name)
-    )
+    return placed.withColumn(name, first + place).select(*df.columns, name)
 
 
 def pg_order(item: str | Column) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,7 @@ from tablewright.operators.relational import batches, is_true
 from tablewright.operators.rules import RuleViolation
 from tablewright.operators.scale import cols, number_rows, spread_join
 from tablewright.plans.tabledef import Serial, TableDef
+from tablewright.session import materialize
 
 
 class Outcome(NamedTuple):
@@ -82,7 +84,7 @@ def insert(
 
 def update(state: DataFrame, assign: Mapping[str, Column], where: Column | None = None) -> Outcome:
     """Set columns in the rows that satisfy ``where``, or in all rows."""
-    hit = is_true(where) if where is not None else F.lit(True)
+    hit = where if where is not None else F.lit(True)
     types = {f.name: f.dataType for f in state.schema}
     # All right-hand sides see the old row.
     fresh = [(assign[c].cast(types[c]) if c in assign else F.col(c)).alias(c) for c in state.columns]
@@ -96,9 +98,8 @@ def update(state: DataFrame, assign: Mapping[str, Column], where: Column | None
 
 def delete(state: DataFrame, where: Column) -> Outcome:
     """Remove rows; ``removed`` of the outcome is RETURNING."""
-    hit = is_true(where)
-    changes = state.where(hit).select(F.lit("D").alias("op"), row(state).alias("old"), _null_of(state).alias("new"))
-    return Outcome(state.where(~hit), changes)
+    changes = state.where(where).select(F.lit("D").alias("op"), row(state).alias("old"), _null_of(state).alias("new"))
+    return Outcome(state.where(~is_true(where)), changes)
 
 
 def delete_keys(state: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> Outcome:
@@ -165,13 +166,18 @@ def _first_branch(branches: Sequence[When]) -> Column:
     return out.otherwise(F.lit(-1)) if branches else F.lit(-1)
 
 
-def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str], branches: Sequence[When]) -> Outcome:
+def merge(
+    target: DataFrame, source: DataFrame, on: Mapping[str, str], branches: Sequence[When], definition: TableDef | None = None
+) -> Outcome:
     """MERGE: the first true branch decides for each row.
 
     The target is joined to the source, not the other way round, so a source
     that Spark can broadcast leaves the target unshuffled. The unmatched source
     rows come from a second join that reads only the key columns of the target.
+    Both matches are written once, for the new state and the change rows alike.
+    Columns that an insert branch leaves out take the default of ``definition``.
     """
+    target = target.withColumn("_row", F.monotonically_increasing_id())
     on_match = [b for b in branches if b.action in ("update", "delete", "keep")]
     on_miss = [b for b in branches if b.action in ("insert", "skip")]
     acting = [i for i, b in enumerate(on_match) if b.action != "keep"]
@@ -180,20 +186,9 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str], branches:
         condition = condition & (F.col(f"t.{left}") == F.col(f"s.{right}"))
     pick = F.when(F.col("s._hit").isNotNull(), _first_branch(on_match)).otherwise(F.lit(-1))
 
-    def match(rows: DataFrame) -> DataFrame:
-        hits = rows.withColumn("_hit", F.lit(True)).alias("s")
-        return target.alias("t").join(hits, condition, "left").withColumn("_pick", pick)
-
-    joined = match(source)
-    repeated = source.dropna(subset=list(on.values())).groupBy(*on.values()).count().where("count > 1")
-    if not repeated.isEmpty():
-        acts = joined.where(F.col("_pick").isin(acting))
-        if not acts.groupBy(*[F.col(f"t.{k}") for k in on]).count().where("count > 1").isEmpty():
-            raise CardinalityViolation("a target row matches more than one source row")
-        # The other repeats change nothing and must not repeat the target row.
-        joined = match(acts.select(*[F.col(f"s.{c}").alias(c) for c in source.columns]))
-
+    columns = [c for c in target.columns if c != "_row"]
     types = {f.name: f.dataType for f in target.schema}
+    defaults = {c: F.expr(definition.defaults.get(c, "null") if definition else "null").cast(types[c]) for c in columns}
 
     def new_value(c: str) -> Column:
         out, some = F, False
@@ -202,16 +197,28 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str], branches:
                 out, some = out.when(F.col("_pick") == i, b.values[c].cast(types[c])), True
         return (out.otherwise(F.col(f"t.{c}")) if some else F.col(f"t.{c}")).alias(c)
 
-    new_values = [new_value(c) for c in target.columns]
+    old_row = F.struct(*[F.col(f"t.{c}").alias(c) for c in columns])
+    new_row = F.struct(*[new_value(c) for c in columns])
+    hits = source.withColumn("_hit", F.lit(True)).alias("s")
+    matched = target.alias("t").join(hits, condition, "left").withColumn("_pick", pick)
+    joined = materialize(matched.select(F.col("t._row").alias("_row"), "_pick", old_row.alias("old"), new_row.alias("new")), "merge")
+    repeated = source.dropna(subset=list(on.values())).groupBy(*on.values()).count().where("count > 1")
+    if not repeated.isEmpty():
+        acts = joined.where(F.col("_pick").isin(acting))
+        if not acts.groupBy("_row").count().where("count > 1").isEmpty():
+            raise CardinalityViolation("a target row matches more than one source row")
+        # The other repeats change nothing and must not repeat the target row.
+        idle = joined.join(acts.select("_row"), "_row", "left_anti").dropDuplicates(["_row"])
+        joined = acts.unionByName(idle)
+
     dropped = [i for i, b in enumerate(on_match) if b.action == "delete"]
     updated = [i for i, b in enumerate(on_match) if b.action == "update"]
     kept = joined.where(~F.col("_pick").isin(dropped)) if dropped else joined
-    state = kept.select(*new_values)
-    old_row = F.struct(*[F.col(f"t.{c}").alias(c) for c in target.columns])
+    state = kept.select("new.*")
     changes = joined.where(F.col("_pick").isin(dropped + updated)).select(
         F.when(F.col("_pick").isin(dropped), "D").otherwise("U").alias("op"),
-        old_row.alias("old"),
-        F.when(F.col("_pick").isin(updated), F.struct(*new_values)).alias("new"),
+        "old",
+        F.when(F.col("_pick").isin(updated), F.col("new")).alias("new"),
     )
 
     if on_miss:
@@ -225,10 +232,10 @@ def merge(target: DataFrame, source: DataFrame, on: Mapping[str, str], branches:
             for i, b in enumerate(on_miss):
                 if b.action == "insert" and c in b.values:
                     out, some = out.when(F.col("_pick") == i, b.values[c].cast(types[c])), True
-            return (out.otherwise(F.lit(None).cast(types[c])) if some else F.lit(None).cast(types[c])).alias(c)
+            return (out.otherwise(defaults[c]) if some else defaults[c]).alias(c)
 
         adding = [i for i, b in enumerate(on_miss) if b.action == "insert"]
-        added = fresh.where(F.col("_pick").isin(adding)).select(*[inserted(c) for c in target.columns])
+        added = materialize(fresh.where(F.col("_pick").isin(adding)).select(*[inserted(c) for c in columns]), "merge")
         state = state.unionByName(added)
         changes = changes.unionByName(
             added.select(F.lit("I").alias("op"), _null_of(added).alias("old"), row(added).alias("new"))
@@ -242,21 +249,27 @@ def upsert(
     key: str | Sequence[str],
     assign: Mapping[str, Column] | None = None,
     remote: bool = False,
+    definition: TableDef | None = None,
 ) -> Outcome:
     """INSERT ON CONFLICT. Without ``assign`` a conflict does nothing; with it
-    the row is updated, ``s.x`` being EXCLUDED."""
+    the row is updated, ``s.x`` being EXCLUDED. A key with a null never
+    conflicts. Of rows with one new key the least is inserted."""
     key = cols(key)
+    if definition is not None:
+        rows = conform(rows, definition)
     if assign is None:
+        open_ = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
         taken = state.select(*key).join(rows.select(*key).distinct(), key, "left_semi")
-        fresh = rows.join(taken, key, "left_anti").dropDuplicates(key)
+        first = rows.where(~open_).groupBy(*key).agg(F.min(F.struct(*rows.columns)).alias("_r")).select("_r.*")
+        fresh = first.join(taken, key, "left_anti").select(*rows.columns).unionByName(rows.where(open_))
         changes = fresh.select(F.lit("I").alias("op"), _null_of(fresh).alias("old"), row(fresh).alias("new"))
         return Outcome(state.unionByName(fresh), changes)
     if remote:
         raise ValueError("a remote table takes no ON CONFLICT DO UPDATE")
-    if not rows.groupBy(*key).count().where("count > 1").isEmpty():
+    if not rows.dropna(subset=key).groupBy(*key).count().where("count > 1").isEmpty():
         raise CardinalityViolation("the rows hold a key twice")
     values = {c: F.col(f"s.{c}") for c in rows.columns}
-    return merge(state, rows, {k: k for k in key}, [matched_update(assign), unmatched_insert(values)])
+    return merge(state, rows, {k: k for k in key}, [matched_update(assign), unmatched_insert(values)], definition)
 
 
 # -- archive jobs -------------------------------------------------------
@@ -278,13 +291,12 @@ def archive(
     child_key: str | None = None,
 ) -> Archive:
     """Move marked parents and their children to the archive, as one change."""
-    hit = is_true(marked)
     child_key = child_key or key
-    ids = parents.where(hit).select(F.col(key).alias(child_key))
+    ids = parents.where(marked).select(F.col(key).alias(child_key))
     return Archive(
-        parents.where(~hit),
+        parents.where(~is_true(marked)),
         spread_join(children, ids, child_key, "left_anti"),
-        parents.where(hit).withColumn(stamp, archived_on),
+        parents.where(marked).withColumn(stamp, archived_on),
         spread_join(children, ids, child_key, "left_semi"),
     )
 
@@ -299,7 +311,7 @@ def archive_rounds(
     keys; the loop of the caller may run them one by one.
     """
     child_key = child_key or key
-    rounds = batches(parents.where(is_true(marked)).select(F.col(key).alias(child_key)), [child_key], size, "round")
+    rounds = batches(parents.where(marked).select(F.col(key).alias(child_key)), [child_key], size, "round")
     per_parent = children.groupBy(child_key).agg(F.count("*").alias("_n"))
     counted = (
         rounds.join(per_parent, child_key, "left")
@@ -349,7 +361,7 @@ def update_through_view(
     """
     there = {b: v for v, b in columns.items()}
     seen = base.withColumnsRenamed(there)
-    out = update(seen, assign, where if view_filter is None else is_true(where) & is_true(view_filter))
+    out = update(seen, assign, where if view_filter is None else where & view_filter)
     state = out.state.withColumnsRenamed(dict(columns))
 
     def back(side: str) -> Column:
@@ -363,7 +375,7 @@ def delete_through_view(base: DataFrame, columns: Mapping[str, str], view_filter
     """Delete base rows through a one-table view."""
     there = {b: v for v, b in columns.items()}
     seen = base.withColumnsRenamed(there)
-    out = delete(seen, where if view_filter is None else is_true(where) & is_true(view_filter))
+    out = delete(seen, where if view_filter is None else where & view_filter)
     old = F.struct(*[F.col(f"old.{there.get(c, c)}").alias(c) for c in base.columns])
     changes = out.changes.select("op", old.alias("old"), F.when(F.lit(False), old).alias("new"))
     return Outcome(out.state.withColumnsRenamed(dict(columns)), changes)

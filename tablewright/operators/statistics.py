@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.scale import cols, pg_order
@@ -50,7 +50,7 @@ def dependency(df: DataFrame, left: str | Sequence[str], right: str | Sequence[s
     )
 
 
-def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
+def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """One row per column: rows, nulls, least, greatest, distinct values."""
     columns = list(columns or df.columns)
     aggs = [F.count("*").alias("_rows")]
@@ -76,38 +76,6 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = F
     return df.agg(*aggs).select(F.explode(F.array(*lines)).alias("x")).select("x.*")
 
 
-def analyze(spark: SparkSession, table: str) -> None:
-    """Collect statistics that Spark's own optimizer uses."""
-    spark.sql("ANALYZE TABLE IDENTIFIER(:t) COMPUTE STATISTICS FOR ALL COLUMNS", args={"t": table})
-
-
-def file_sizes(spark: SparkSession, places: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Bytes and files per name; lists folders without reading contents."""
-    from tablewright.functions.scalars import size_pretty
-
-    frames = []
-    for name, paths in places.items():
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-        frames.append(files.select(F.lit(name).alias("name"), "length"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.groupBy("name").agg(
-        F.sum("length").alias("bytes"), F.count("*").alias("files")
-    ).withColumn("pretty", size_pretty(F.col("bytes")))
-
-
-def store_sizes(store, tables: Sequence[str] | None = None) -> DataFrame:
-    """Size of each table of a store and of the whole."""
-    entries = store.manifest()["tables"]
-    names = [t for t in (tables or sorted(entries)) if entries[t]["parts"]]
-    sizes = file_sizes(store.spark, {t: [p for ps in entries[t]["parts"].values() for p in ps] for t in names})
-    total = sizes.agg(F.lit("(all)").alias("name"), F.sum("bytes").alias("bytes"), F.sum("files").alias("files"))
-    from tablewright.functions.scalars import size_pretty
-
-    return sizes.unionByName(total.withColumn("pretty", size_pretty(F.col("bytes"))))
-
-
 def concurrency(df: DataFrame, time: str, latency: str, bucket: str = "hour", seconds: int = 3600) -> DataFrame:
     """Little's law per time bucket: requests in flight = rate x latency."""
     return (

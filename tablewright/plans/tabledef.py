@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import json
-from dataclasses import asdict, dataclass, field, replace
+import re
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
@@ -140,6 +140,7 @@ class TableDef:
             schema=StructType([StructField(new if f.name == old else f.name, f.dataType, f.nullable) for f in self.schema]),
             uniques=tuple(replace(u, columns=swap(u.columns)) for u in self.uniques),
             foreign_keys=tuple(replace(f, columns=swap(f.columns)) for f in self.foreign_keys),
+            checks=tuple(replace(c, expression=re.sub(rf"(?<![\w`]){re.escape(old)}(?![\w`])", f"`{new}`", c.expression)) for c in self.checks),
             not_null=swap(self.not_null),
             lengths={new if k == old else k: v for k, v in self.lengths.items()},
             defaults={new if k == old else k: v for k, v in self.defaults.items()},
@@ -154,43 +155,6 @@ class TableDef:
     def disable(self, *rules: str) -> TableDef:
         return replace(self, disabled_rules=tuple(dict.fromkeys((*self.disabled_rules, *rules))))
 
-    # -- storage form
-
-    def to_dict(self) -> dict:
-        out = asdict(replace(self, schema=None))
-        out["schema"] = json.loads(self.schema.json())
-        return out
-
-    @staticmethod
-    def from_dict(raw: dict) -> TableDef:
-        def tup(v):
-            return tuple(v) if v is not None else None
-
-        spec = raw["partition"]
-        if spec:
-            parts = tuple(
-                Part(**{**p, "low": tup(p["low"]), "high": tup(p["high"]), "values": tup(p["values"])})
-                for p in spec["parts"]
-            )
-            spec = PartitionSpec(**{**spec, "columns": tuple(spec["columns"]), "parts": parts})
-        return TableDef(
-            name=raw["name"],
-            schema=StructType.fromJson(raw["schema"]),
-            uniques=tuple(Unique(**{**u, "columns": tuple(u["columns"])}) for u in raw["uniques"]),
-            foreign_keys=tuple(
-                ForeignKey(**{**f, "columns": tuple(f["columns"]), "references": tuple(f["references"])})
-                for f in raw["foreign_keys"]
-            ),
-            checks=tuple(Check(**c) for c in raw["checks"]),
-            not_null=tuple(raw["not_null"]),
-            lengths=raw["lengths"],
-            defaults=raw["defaults"],
-            serial=Serial(**raw["serial"]) if raw["serial"] else None,
-            partition=spec or None,
-            sort_key=tuple(raw["sort_key"]),
-            disabled_rules=tuple(raw["disabled_rules"]),
-        )
-
 
 def table(name: str, ddl: str, **rules) -> TableDef:
     """Shorthand: ``table("t", "id int, name string", uniques=(...))``."""

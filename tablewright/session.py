@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -44,21 +46,36 @@ def hadoop_path(spark: SparkSession, path: str):
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage, as the cluster names it.
 
-    A session without one gets a temporary folder, which is only right while
-    the driver and the executors are one process.
+    Only where the driver and the executors are one process may it be unset;
+    then it is a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tablewright-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+_left_behind: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/tablewright/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in this application's part of the shared folder, which goes when the driver ends."""
+    own = f"{scratch_dir(spark)}/tablewright-{spark.sparkContext.applicationId}"
+    if own not in _left_behind:
+        _left_behind.add(own)
+        atexit.register(_remove, *hadoop_path(spark, own))
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove(fs, path) -> None:
+    try:
+        fs.delete(path, True)
+    except Exception:  # the JVM is gone already; the folder is named after the application
+        pass
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:

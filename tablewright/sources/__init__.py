@@ -1 +1 @@
-"""Readers and writers."""
+"""Readers and writers: partitioned Parquet, COPY text, exports, change streams."""

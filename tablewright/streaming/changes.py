@@ -12,12 +12,16 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tablewright.operators.recursion import components
 from tablewright.operators.relational import is_true
 from tablewright.operators.scale import cols, hot_keys, previous_value, spread_join
+from tablewright.session import materialize
 
 ALL_OPS = ("I", "U", "D", "T")
 Predicate = Callable[[Column], Column]
@@ -56,9 +60,9 @@ def row_filter(changes: DataFrame, where: Predicate) -> DataFrame:
     An update into the filter becomes an insert, one out of it a delete.
     Truncates pass.
     """
-    # Fields of a null struct are null, so the filter is unknown, hence false.
-    was, now = is_true(where(F.col("old"))), is_true(where(F.col("new")))
-    had_old = F.col("old").isNotNull()
+    had_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+    # A filter may be true of a row of nulls, but not of a missing row.
+    was, now = had_old & is_true(where(F.col("old"))), has_new & is_true(where(F.col("new")))
     op = (
         F.when(F.col("op") == "T", F.lit("T"))
         .when((F.col("op") == "I") & now, F.lit("I"))
@@ -104,28 +108,25 @@ def publish(changes: DataFrame, publications: Sequence[Publication], table: str)
     rows = changes.where(F.col("table") == table) if "table" in changes.columns else changes
     if not mine:
         return rows.limit(0)
-    frames = []
-    for ops in {p.ops for p in mine} if len({p.ops for p in mine}) == 1 else [(o,) for o in ALL_OPS]:
-        able = [p for p in mine if set(ops) & set(p.ops)]
-        if not able:
-            continue
-        part = rows.where(F.col("op").isin([o for o in ops if any(o in p.ops for p in able)]))
-        filters = [p.tables[table] for p in able]
-        if all(f is not None for f in filters):
-            part = row_filter(part, lambda r, fs=filters: reduce(lambda a, b: a | b, [is_true(f(r)) for f in fs]))
-        frames.append(part)
-    out = reduce(DataFrame.unionByName, frames)
+    rows = rows.where(F.col("op").isin([o for o in ALL_OPS if any(o in p.ops for p in mine)]))
+
+    def accepts(r: Column) -> Column:
+        """Whether any publication of the row's operation accepts it, in one pass over the log."""
+        out = F
+        for op in ALL_OPS:
+            filters = [p.tables[table] for p in mine if op in p.ops]
+            free = not filters or any(f is None for f in filters)
+            one = F.lit(bool(filters)) if free else reduce(lambda a, b: a | b, [is_true(f(r)) for f in filters])
+            out = out.when(F.col("op") == op, one)
+        return out
+
+    out = rows if all(p.tables[table] is None for p in mine) else row_filter(rows, accepts)
     lists = [p.columns.get(table) for p in mine]
     if all(lists):
         out = column_list(out, list(dict.fromkeys(c for cs in lists for c in cs)))
     return out
 
 
-def root_or_leaf(root: Predicate | None, leaf: Predicate | None, via_root: bool) -> Predicate | None:
-    """Filter of a partitioned table: the parent's or the partition's own."""
-    return root if via_root else leaf
-
-
 def check_overlap(subscriptions: Mapping[str, Sequence[Publication]]) -> None:
     """Refuse two subscriptions of one pair of servers that share a table."""
     seen: dict[str, str] = {}
@@ -156,6 +157,12 @@ class SchemaDrift(ValueError):
     """The source has columns the target cannot take; the stream stops."""
 
 
+def check_drift(changes: DataFrame, target: StructType) -> None:
+    drifted = schema_drift(changes, target)
+    if drifted:
+        raise SchemaDrift(f"the target cannot take {drifted}")
+
+
 # -- apply ------------------------------------------------------------------
 
 def split_key_changes(changes: DataFrame, key: str | Sequence[str], order: str = "lsn") -> DataFrame:
@@ -224,7 +231,9 @@ def apply_changes(
     Columns match by name. Columns of the table that the log lacks keep their
     value in updates and take ``defaults`` in inserts. Updates and deletes of
     missing rows are skipped. The table is only joined to the net change per
-    key: if Spark can broadcast that, the table is not shuffled.
+    key: if Spark can broadcast that, the table is not shuffled. Keys that an
+    update moves depend on each other; they are replayed row by row, each set of
+    keys that moves connect by itself.
     """
     key = cols(key)
     defaults = defaults or {}
@@ -235,7 +244,12 @@ def apply_changes(
         cut = changes.where("op = 'T'").agg(F.max(order)).scalar()
         base = base.where(cut.isNull())
         changes = changes.where(cut.isNull() | (F.col(order) > cut))
-    net = net_changes(changes, key, order)
+    moved = changes.where(_moves(key)).select(_key_hash(key, "old").alias("a"), _key_hash(key, "new").alias("b"))
+    moved = materialize(moved, "moves")
+    replayed = None
+    if not moved.isEmpty():
+        replayed, base, changes = _replayed(base, changes, key, order, defaults, sent, components(moved))
+    net = materialize(net_changes(changes, key, order), "net")
     untouched = base.join(net.select(*key), key, "left_anti").select(*base.columns)
     types = {f.name: f.dataType for f in base.schema}
 
@@ -254,7 +268,75 @@ def apply_changes(
             for c in base.columns
         ]
     )
-    return untouched.unionByName(updated).unionByName(born)
+    out = untouched.unionByName(updated).unionByName(born)
+    return out if replayed is None else out.unionByName(replayed)
+
+
+def _moves(key: Sequence[str]) -> Column:
+    """Whether a change is an update that changes the key."""
+    other = reduce(lambda a, b: a | b, [~F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in key])
+    return (F.col("op") == "U") & F.col("old").isNotNull() & F.col("new").isNotNull() & other
+
+
+def _key_hash(key: Sequence[str], side: str | None = None) -> Column:
+    return F.xxhash64(*[F.col(f"{side}.{k}" if side else k) for k in key])
+
+
+def _replayed(
+    base: DataFrame,
+    changes: DataFrame,
+    key: list[str],
+    order: str,
+    defaults: Mapping[str, Column],
+    sent: list[str],
+    roots: DataFrame,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows that the connected keys end with, and the table and the log of the other keys.
+
+    A task holds the present rows of one set of connected keys at a time.
+    """
+    types = {f.name: f.dataType for f in base.schema}
+    empty = F.struct(*[(defaults.get(c, F.lit(None))).cast(types[c]).alias(c) for c in base.columns])
+    held = F.struct(*[F.col(c) for c in base.columns])
+
+    def image(side: str) -> Column:
+        cut = F.struct(*[(F.col(f"{side}.{c}") if c in sent else F.lit(None)).cast(types[c]).alias(c) for c in base.columns])
+        return F.when(F.col(side).isNotNull(), cut)
+
+    at_key = F.xxhash64(*[F.when(F.col("op") == "I", F.col(f"new.{k}")).otherwise(F.coalesce(F.col(f"old.{k}"), F.col(f"new.{k}"))) for k in key])
+    log = changes.where("op != 'T'").withColumn("node", at_key).join(roots, "node", "left")
+    rows = base.withColumn("node", _key_hash(key)).join(roots, "node", "left")
+    own = rows.where("root is not null").select("root", F.lit(None).cast("bigint").alias("pos"), F.lit("B").alias("op"), F.when(F.lit(False), held).alias("old"), held.alias("new"), empty.alias("empty"))
+    steps = log.where("root is not null").select("root", F.col(order).cast("bigint").alias("pos"), "op", image("old").alias("old"), image("new").alias("new"), empty.alias("empty"))
+    both = own.unionByName(steps).repartition("root").sortWithinPartitions("root", F.asc_nulls_first("pos"))
+    target = to_arrow_schema(base.schema)
+
+    def task(batches):
+        now, root = {}, None
+
+        def name(row: dict) -> tuple:
+            return tuple(row[k] for k in key)
+
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if r["root"] != root:
+                    out += now.values()
+                    now, root = {}, r["root"]
+                old, new = r["old"], r["new"]
+                if r["op"] == "B":
+                    now[name(new)] = new
+                elif r["op"] == "I":
+                    now[name(new)] = {**r["empty"], **{c: new[c] for c in sent}}
+                elif r["op"] == "D":
+                    now.pop(name(old), None)
+                elif name(old or new) in now:
+                    row = {**now.pop(name(old or new)), **{c: new[c] for c in sent}}
+                    now[name(row)] = row
+            yield from pa.Table.from_pylist(out, schema=target).to_batches()
+        yield from pa.Table.from_pylist(list(now.values()), schema=target).to_batches()
+
+    return both.mapInArrow(task, base.schema), rows.where("root is null").select(*base.columns), log.where("root is null").select(*changes.columns)
 
 
 def diff(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -273,10 +355,8 @@ def diff(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataF
 
 def initial_copy(source: DataFrame, where: Predicate | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows a new subscriber starts with: filtered rows, listed columns."""
-    out = source
-    if where is not None:
-        out = out.withColumn("_r", F.struct(*source.columns))
-        out = out.where(is_true(where(F.col("_r")))).drop("_r")
+    # A field of a struct of plain columns is that column to the optimizer, so the filter reaches the scan.
+    out = source if where is None else source.where(where(F.struct(*source.columns)))
     return out.select(*columns) if columns else out
 
 
@@ -287,6 +367,7 @@ def follow(changes: DataFrame, after: int, order: str = "lsn") -> DataFrame:
 
 # -- conflicts ----------------------------------------------------------------
 
+# The names of the conflict classes.
 STOPPING = ("insert_exists", "update_exists", "multiple_unique_conflicts")
 SKIPPED = ("update_missing", "delete_missing")
 APPLIED = ("update_origin_differs", "delete_origin_differs")
@@ -299,7 +380,7 @@ def conflicts(
     order: str = "lsn",
     base_origin: str | None = None,
     uniques: Sequence[Sequence[str]] = (),
-    hot: list[int] | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Class of each change that meets a conflict in the target, else null.
 
@@ -310,7 +391,28 @@ def conflicts(
     keys of the table, which need old images in the log.
     """
     key = cols(key)
-    steps = split_key_changes(changes.where(F.col("op") != "T"), key, order)
+    log = changes.where(F.col("op") != "T")
+    moves = materialize(log.where(_moves(key)).select(order), "moves")
+    lost = None
+    if not moves.isEmpty():
+        # A move of a missing row makes no row; without it later moves may miss theirs.
+        while True:
+            rest = log if lost is None else log.join(lost, order, "left_anti")
+            found = _classified(base, rest, key, order, base_origin, uniques, hot)
+            gone = materialize(found.where("conflict = 'delete_missing' and _moved").select(order).distinct(), "lost")
+            if gone.isEmpty():
+                break
+            lost = gone if lost is None else materialize(lost.union(gone), "lost")
+    rest = log if lost is None else log.join(lost, order, "left_anti")
+    out = _classified(base, rest, key, order, base_origin, uniques, hot).drop("_moved")
+    if lost is None:
+        return out
+    skipped = log.join(lost, order, "left_semi").select(*changes.columns, *[F.col(f"old.{k}").alias(f"key_{k}") for k in key], F.lit("update_missing").alias("conflict"))
+    return out.unionByName(skipped)
+
+
+def _classified(base, changes, key, order, base_origin, uniques, hot) -> DataFrame:
+    steps = split_key_changes(changes.withColumn("_moved", _moves(key)), key, order)
     has_origin = "origin" in steps.columns
     origin = F.col("origin") if has_origin else F.lit(None).cast("string")
     steps = steps.withColumn("_pos", F.col(order) * 2 + F.col("_seq")).withColumns(
@@ -361,7 +463,7 @@ def conflicts(
         .when((F.col("op") == "U") & F.col("_differs"), "update_origin_differs")
         .when((F.col("op") == "D") & F.col("_differs"), "delete_origin_differs")
     )
-    return steps.select(*changes.columns, *[F.col(n).alias(f"key_{k}") for n, k in zip(names, key)], kind.alias("conflict"))
+    return steps.select(*changes.columns, *[F.col(n).alias(f"key_{k}") for n, k in zip(names, key)], kind.alias("conflict"), "_moved")
 
 
 def _unique_clashes(base: DataFrame, changes: DataFrame, key: list[str], unique: list[str], order: str) -> DataFrame:
@@ -430,7 +532,8 @@ def until(
 ) -> DataFrame:
     """Changes up to a recovery target: time, position, transaction or name.
 
-    A named target is a log row with op ``R`` and that name in ``table``.
+    A named target is a log row with op ``R`` and that name in ``table``. A
+    transaction or name that the log does not have is an error.
     """
     targets = [t for t in (commit_ts, lsn, tx, name) if t is not None]
     if len(targets) != 1:
@@ -445,17 +548,19 @@ def until(
         stop = cut(F.col("lsn"), F.lit(lsn))
     elif tx is not None:
         # Transactions count in commit order: that of their last change.
-        bounds = changes.where(F.col("tx") == tx)
-        if inclusive:
-            stop = F.col("lsn") <= bounds.agg(F.max("lsn")).scalar()
-        else:
-            stop = F.col("lsn") < bounds.agg(F.min("lsn")).scalar()
+        found = changes.where(F.col("tx") == tx)
+        end = _known(F.max("lsn") if inclusive else F.min("lsn"), f"no transaction {tx} in the log")
+        stop = cut(F.col("lsn"), found.agg(end).scalar())
     else:
-        mark = changes.where((F.col("op") == "R") & (F.col("table") == name))
-        stop = F.col("lsn") <= mark.agg(F.max("lsn")).scalar()
+        found = changes.where((F.col("op") == "R") & (F.col("table") == name))
+        stop = F.col("lsn") <= found.agg(_known(F.max("lsn"), f"no target {name} in the log")).scalar()
     return changes.where(stop & (F.col("op") != "R"))
 
 
+def _known(position: Column, message: str) -> Column:
+    return F.coalesce(position, F.raise_error(F.lit(message)).cast("bigint"))
+
+
 def recover(base: DataFrame, changes: DataFrame, key: str | Sequence[str], **target) -> DataFrame:
     """The table at a recovery target: base copy plus the log up to it."""
     return apply_changes(base, until(changes, **target), key)
@@ -464,52 +569,3 @@ def recover(base: DataFrame, changes: DataFrame, key: str | Sequence[str], **tar
 def delayed(changes: DataFrame, now: Column, delay: str) -> DataFrame:
     """Changes old enough for a replica that stays behind by ``delay``."""
     return changes.where(F.col("commit_ts") <= now - F.expr(f"INTERVAL {delay}"))
-
-
-def branch(changes: DataFrame, timelines: DataFrame, target: int | None = None) -> DataFrame:
-    """Log of one history branch: its own changes and its ancestors' up to the
-    forks. ``timelines`` has ``child, parent, fork_lsn``; default is the newest."""
-    from tablewright.operators.recursion import recurse
-
-    spark = changes.sparkSession
-    if target is None:
-        top = timelines.agg(F.max("child")).first()[0]
-        target = top if top is not None else changes.agg(F.max("timeline")).first()[0]
-    forks = timelines.select(
-        F.col("child").cast("int"), F.col("parent").cast("int").alias("_parent"), F.col("fork_lsn").cast("bigint")
-    )
-    no_limit = F.lit((1 << 63) - 1)
-    anchor = spark.range(1).select(F.lit(target).cast("int").alias("timeline"), no_limit.alias("limit_lsn"))
-
-    def step(last: DataFrame) -> DataFrame:
-        return last.join(forks, last["timeline"] == forks["child"]).select(
-            "_parent", F.least("limit_lsn", "fork_lsn")
-        )
-
-    allowed = recurse(anchor, step)
-    return changes.join(allowed, "timeline").where(F.col("lsn") <= F.col("limit_lsn")).drop("limit_lsn")
-
-
-def lag_report(positions: DataFrame) -> DataFrame:
-    """How far each standby is behind, and in which stage.
-
-    Input: ``standby, current, sent, received, replayed`` as ``hi/lo`` text.
-    """
-    from tablewright.functions.scalars import position_number
-
-    at = {c: position_number(F.col(c)) for c in ("current", "sent", "received", "replayed")}
-    out = positions.select(
-        "standby",
-        (at["current"] - at["sent"]).alias("send_lag"),
-        (at["sent"] - at["received"]).alias("network_lag"),
-        (at["received"] - at["replayed"]).alias("replay_lag"),
-        (at["current"] - at["replayed"]).alias("total_lag"),
-    )
-    worst = F.greatest("send_lag", "network_lag", "replay_lag")
-    stage = (
-        F.when(F.col("total_lag") == 0, "none")
-        .when(F.col("send_lag") == worst, "primary")
-        .when(F.col("network_lag") == worst, "network")
-        .otherwise("replay")
-    )
-    return out.withColumn("behind", stage)
