@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.recursion import components
 from ..session import materialize
 from . import text as T
 
@@ -69,26 +70,6 @@ def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
     return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node long, keys array<long>")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root (the least node of the component) for the nodes of edges (a, b).
-
-    Each step renames every node to its least neighbour and keeps the edges that still have
-    two ends; a star is done after one step, a chain after a logarithm of its length.
-    """
-    edges = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    roots = None
-    while not edges.isEmpty():
-        step = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("up")), "step")
-        if roots is None:
-            roots = step.withColumnRenamed("up", "root")
-        else:
-            roots = roots.join(step.select(F.col("node").alias("root"), "up"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        roots = materialize(roots, "roots")
-        new = edges.join(step.select(F.col("node").alias("a"), F.col("up").alias("x")), "a").join(step.select(F.col("node").alias("b"), F.col("up").alias("y")), "b")
-        edges = materialize(new.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
-    return roots if roots is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
 def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int, agree: Callable | None = None) -> DataFrame:
     """pairs (a, b) with `linked` and `distance` (Jaccard, null where a filter ruled the pair out)."""
 

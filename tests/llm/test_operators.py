@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import exact_dedup, fingerprints, line_dedup, linking, ngram_join, quality, queries, secret_scan, sentencepiece_codec, source_mixing, substring_dedup, toxicity
 from tablewright.llm import text as T
+from tablewright.operators.recursion import components
 
 from .cases import SCHEMA, corpus, frame
 
@@ -210,9 +211,9 @@ def test_components_close_without_pivots(spark, monkeypatch):
 
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 3)]
-    got = {r.node: r.root for r in linking.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
-    assert linking.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_one_of_each_keeps_what_has_no_words(spark):
