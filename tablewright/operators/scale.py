@@ -142,8 +142,9 @@ def spread_join(
         raise ValueError(f"{how} does not keep the repeated side")
     on = cols(on)
     hot = hot_keys(big, on) if hot is None else hot
+    kept = big.columns if how in ("left_semi", "left_anti") else ["*"]
     if not hot:
-        return big.join(keyed, on, how)
+        return big.join(keyed, on, how).select(*kept)
     salts = slots_of(hot)
     flag = is_hot(on, hot)
     # The input partition is the same when a task runs again, and spreads equal rows, too.
@@ -153,7 +154,7 @@ def spread_join(
         F.array(F.lit(0).cast("bigint"))
     )
     right = keyed.withColumn("_salt", F.explode(copies))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return left.join(right, [*on, "_salt"], how).drop("_salt").select(*kept)
 
 
 def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "rn", start: int = 1) -> DataFrame:
