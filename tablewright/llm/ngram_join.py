@@ -108,3 +108,17 @@ def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(T.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE = f"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+w as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i, len(ws) as n from d),
+g as (select doc_id, i, n, string_agg(word, ' ') over (partition by doc_id order by i rows between current row and {K - 1} following) as g from w),
+s as (select distinct doc_id, g from g where i + {K - 1} <= n or i = 1),
+z as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b using (g) where a.doc_id < b.doc_id group by all),
+l as (select x, y from p join z a on a.doc_id = x join z b on b.doc_id = y where 100 * c >= {PERCENT} * (a.n + b.n - c)),
+e as (select x, y from l union all select y, x from l),
+r as (select x as doc_id, y as other from e union select r.doc_id, e.y from r join e on r.other = e.x)
+select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, (select min(other) from r where r.doc_id = d.doc_id)) as component_id from d left join z using (doc_id)
+"""

@@ -20,6 +20,10 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
+    "op1_substring_dedup": substring_dedup.ORACLE,
+    "op4_ngram_join": ngram_join.ORACLE,
+    "op5_line_dedup": line_dedup.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_source_mixing": source_mixing.ORACLE,
+    "op10_secret_scan": secret_scan.ORACLE,
 }

@@ -189,3 +189,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     cut = remove_repeats(T.documents(spark, sf_dir), with_text=False)
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("repeats").cast("long").alias("n_repeats"))
+
+
+ORACLE = f"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents),
+w as (select rid, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i, len(ws) as n from d),
+h as (select rid, i, n, word, md5(string_agg(word, ' ') over (partition by rid order by i rows between current row and {LENGTH - 1} following)) as h from w),
+r as (select rid, i, word, i + {LENGTH - 1} <= n and count(*) filter (i + {LENGTH - 1} <= n) over (partition by h) > 1 as again from h),
+c as (select rid, i, word, again, bool_or(again) over (partition by rid order by i rows between {LENGTH - 1} preceding and current row) as gone from r),
+b as (select *, gone and not coalesce(lag(gone) over (partition by rid order by i), false) as head from c),
+k as (select rid, string_agg(word, ' ' order by i) filter (not gone) as kept, count(*) filter (gone) as n_removed, count(*) filter (head) as n_repeats from b group by rid)
+select doc_id, len(ws) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256, coalesce(n_repeats, 0) as n_repeats from d left join k using (rid)
+"""
