@@ -186,8 +186,8 @@ f as (select word, count(*) as c from t group by 1),
 k as (select lid, n, word, row_number() over (partition by lid order by c, word) as k from t join f using (word)),
 p as (select lid, n, word from k where k <= n - ({PERCENT} * n + 99) // 100 + 1),
 c as (select distinct a.lid as a, b.lid as b, a.n as na, b.n as nb from p a join p b using (word) where a.lid < b.lid and least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {PERCENT}),
-x as (select c.a, c.b, any_value(na + nb) as n, count(*) as both from c join t ta on ta.lid = c.a join t tb on tb.lid = c.b and tb.word = ta.word group by c.a, c.b),
-g as (select distinct b as lid from x where 100 * both >= {PERCENT} * (n - both)),
+x as (select c.a, c.b, any_value(na + nb) as n, count(*) as common from c join t ta on ta.lid = c.a join t tb on tb.lid = c.b and tb.word = ta.word group by c.a, c.b),
+g as (select distinct b as lid from x where 100 * common >= {PERCENT} * (n - common)),
 e as (select doc_id, count(*) as n_lines, count(g.lid) as n_removed, string_agg(line, chr(10) order by i) filter (g.lid is null) as kept from l left join g using (lid) group by doc_id)
 select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join e using (doc_id)
 """

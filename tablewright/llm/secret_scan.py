@@ -112,7 +112,7 @@ ORACLE = f"""
 with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t, source, concat_ws('/', source, lang) as repository from documents),
 m as ({_matches_sql()}),
 p as (select rid, rank, value, hit, cast(sum(length(part) + length(hit)) over (partition by rid, rank order by i) as bigint) as stop from m),
-s as (select rid, rank, stop - length(hit) as start, stop, sha256(value) as v, ({", ".join(f"'{k}'" for k in KINDS)})[rank + 1] as kind from p where rank > 0 or length(value) >= {ASSIGN_LEAST}),
+s as (select rid, rank, stop - length(hit) as start, stop, sha256(value) as v, {KINDS}[rank + 1] as kind from p where rank > 0 or length(value) >= {ASSIGN_LEAST}),
 o as (select v, count(distinct coalesce(source, '?')) as owners from s join d using (rid) group by v),
 g as (select rid, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
   string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) filter (rank < {len(BASE)}) as base,
@@ -120,4 +120,4 @@ g as (select rid, count(*) filter (kind = 'assign') as n_assign, count(*) filter
   count(distinct v) filter (owners < {EXAMPLE_OWNERS}) as n_live, count(distinct v) filter (owners >= {EXAMPLE_OWNERS}) as n_example from s join o using (v) group by rid)
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
   coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_example, 0) as n_example from d left join g using (rid)
-""".replace("(" + ", ".join(f"'{k}'" for k in KINDS) + ")[", "[" + ", ".join(f"'{k}'" for k in KINDS) + "][")
+"""
