@@ -5,7 +5,8 @@ VOCABULARY rows. Every row has a fixed sparse random index vector. The word vect
 sums, over all documents, of the index vectors of the words up to two places away (counted
 in Spark, one VOCABULARY x SIZE matrix of integers per task, added up by row block). A
 document is the mean and the deviation of its word vectors, weighted down for frequent
-words, with the length and the mean vector of the words' shapes.
+words, with the mean vector of the words' shapes, the length, and how often a word comes
+again one or two places later.
 
 The network (one hidden layer) is trained in numpy on at most SAMPLE labelled documents,
 taken by the least hash of doc_id; the bound is the parameter `sample`. A tenth of them is
@@ -40,7 +41,7 @@ EPOCHS = 40
 #: The last rows of the vocabulary stand for shapes: lower case, Capital, UPPER, mixed, digits, other.
 SHAPES = 8
 CHUNK = 1 << 15
-FEATURES = 3 * SIZE + 2
+FEATURES = 3 * SIZE + 4
 
 _draw = np.random.Generator(np.random.PCG64(11))
 PLACES = _draw.integers(0, SIZE, (VOCABULARY, NONZERO))
@@ -148,6 +149,8 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     for a, b in T.blocks(offsets):
         row, shape, first = units(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         n = np.diff(first).astype(float)
+        doc = np.repeat(np.arange(b - a), np.diff(first))
+        again = [np.bincount(doc[k:][(row[k:] == row[:-k]) & (doc[k:] == doc[:-k])], minlength=b - a) / np.maximum(n, 1) for k in (1, 2)]
         sums = np.zeros((b - a, 3 * SIZE + 1))
         for p in range(0, len(row), CHUNK):
             q = min(p + CHUNK, len(row))
@@ -161,7 +164,7 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
         mass, number = np.maximum(sums[:, -1:], 1e-9), np.maximum(n, 1)[:, None]
         mean = sums[:, :SIZE] / mass
         spread = np.sqrt(np.maximum(sums[:, SIZE : 2 * SIZE] / mass - mean * mean, 0))
-        out[a:b] = np.column_stack([mean, spread, sums[:, 2 * SIZE : 3 * SIZE] / number, np.log1p(n), np.log1p(np.diff(offsets[a : b + 1]))])
+        out[a:b] = np.column_stack([mean, spread, sums[:, 2 * SIZE : 3 * SIZE] / number, np.log1p(n), np.log1p(np.diff(offsets[a : b + 1])), *again])
     return out
 
 

@@ -60,13 +60,15 @@ def handed_down(parents: list[str], children: DataFrame) -> DataFrame:
 def budgets(leaves: DataFrame, share: int, epochs: int, weights: dict[str, dict[str, int]]) -> DataFrame:
     """leaves (LEVELS, tokens) with `budget`; share is the percentage of all tokens to hand out."""
     leaves = leaves.withColumn("capacity", F.col("tokens") * epochs)
-    given = leaves.agg((F.sum("tokens") * share).alias("t")).select(F.expr("t div 100").alias("given"))
     above = None
     for k, level in enumerate(LEVELS):
         path = LEVELS[: k + 1]
         children = leaves.groupBy(*path).agg(F.sum("capacity").alias("capacity"))
         children = children.withColumns({"name": F.col(level), "weight": _weight(level, weights.get(level, {}))})
-        children = children.join(above, path[:-1]) if above is not None else children.join(F.broadcast(given))  # one row
+        if above is None:
+            children = children.withColumn("given", F.expr(f"sum(capacity) over (partition by 0) div {epochs} * {share} div 100"))
+        else:
+            children = children.join(above, path[:-1])
         above = handed_down(path[:-1], children).select(*path, F.col("budget").alias("given"))
     return leaves.join(above.withColumnRenamed("given", "budget"), LEVELS).drop("capacity")
 

@@ -6,9 +6,10 @@ models that have not seen the document), so a later model learns how far to trus
 scoring they come from the models trained on all folds. The last category is `toxic`.
 
 The labels are `labels.toxic`; the earlier categories are weak labels, toxic documents with
-a word of a short public list each. Words are lower-cased runs of letters. The models know
-the VOCABULARY words of greatest chi-square (toxic or not, by documents) in the training
-sample, counted in Spark. The sample has at most `sample` labelled documents, by the least
+a word of a short public list each. Words are lower-cased runs of letters; a document also
+has the beginnings of its words (of PREFIXES bytes), which many inflected words share. The
+models know the VOCABULARY words and beginnings of greatest chi-square (toxic or not, by
+documents) in the training sample, counted in Spark. The sample has at most `sample` labelled documents, by the least
 hash of doc_id; documents whose crc32(doc_id) is 0 modulo 5 are held out.
 
 Null text is empty. With under MIN_LABELS labels or one class only, a category's score is
@@ -31,13 +32,14 @@ from .quality import KIND, MIN_LABELS, held_out, sampled_labels
 CATEGORIES = {"insult": ("clown", "idiot", "loser", "moron", "scum"), "contempt": ("disgusting", "pathetic", "stupid", "trash", "worthless")}
 SAMPLE = 20_000
 VOCABULARY = 1 << 13
+PREFIXES = (4, 5, 6, 7, 8, 10)
 FOLDS = 5
 STEPS = 120
-THRESHOLD = 0.5
+THRESHOLD = 0.2
 
 
 def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
-    """Distinct hashes of the words (runs of letters, lower-cased A-Z) of each text."""
+    """Distinct hashes of the words (runs of letters, lower-cased A-Z) of each text and of their beginnings."""
     data, offsets = T.buffers(texts)
     for a, b in T.blocks(offsets):
         part, at = T.LOWER[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a]
@@ -46,13 +48,20 @@ def word_hashes(texts: pa.Array) -> Iterator[np.ndarray]:
         edge[at] = True
         start = np.flatnonzero(letter[1:-1] & (~letter[:-2] | edge[:-1]))
         end = np.flatnonzero(letter[1:-1] & (~letter[2:] | edge[1:])) + 1
-        hashes, first = T.spans(part, start, end), np.searchsorted(start, at).tolist()
-        for p, q in zip(first[:-1], first[1:], strict=True):
-            yield np.unique(hashes[p:q])
+        first = np.searchsorted(start, at)
+        found = [(T.spans(part, start, end), first)]
+        for k in PREFIXES:
+            long = end - start > k
+            before = np.concatenate(([0], np.cumsum(long)))
+            found.append((T.mix(T.spans(part, start[long], start[long] + k) + T.U(k)), before[first]))
+        for i in range(b - a):
+            yield np.unique(np.concatenate([h[f[i] : f[i + 1]] for h, f in found]))
 
 
 def known_words(word: str) -> int:
-    return int(next(word_hashes(pa.array([word])))[0])
+    """The hash of a word as a whole."""
+    data = np.frombuffer(word.encode(), dtype=np.uint8)
+    return int(T.spans(data, np.array([0]), np.array([len(data)]))[0])
 
 
 def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
