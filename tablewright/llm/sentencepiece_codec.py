@@ -11,7 +11,7 @@ commits ids as soon as all surviving back pointers pass through one boundary, ei
 the position is the only one still open or because the paths from all open ones (at most
 one longest piece ahead) meet. Memory follows the distance between such boundaries, not the
 text. Since no piece has U+2581 after another character, words are cut there beforehand and
-short ones remembered, in a memo of at most MEMO entries per task.
+short ones remembered, in two generations of at most MEMO words per task.
 
 Decoding is exact: decode(encode(text)) == text for every text. Null text encodes as the
 empty one, which has no ids.
@@ -20,6 +20,7 @@ empty one, which has no ids.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,17 @@ SHORT = 48
 LITERAL = "\ud800"
 
 
+def trie(scores: dict[str, tuple[float, int]]) -> dict:
+    """Pieces by character; "" at a node has the score and id of the piece that ends there."""
+    root: dict = {}
+    for piece, found in scores.items():
+        node = root
+        for char in piece:
+            node = node.setdefault(char, {})
+        node[""] = found
+    return root
+
+
 class Pieces:
     """Pieces of a model by text, and the bytes of each id."""
 
@@ -52,9 +64,7 @@ class Pieces:
         self.scores = {p.id_to_piece(i): (p.get_score(i), i) for i in plain}
         self.longest = max(map(len, self.scores))
         self.unknown = min(s for s, _ in self.scores.values()) - 10
-        self.reach: dict[str, int] = {}
-        for piece in self.scores:
-            self.reach[piece[:2]] = max(self.reach.get(piece[:2], 1), len(piece))
+        self.trie = trie(self.scores)
         self.words = not any(re.search(f"[^{SPACE}]{SPACE}", x) for x in self.scores)
         self.bytes = [b""] * size
         for i in plain:
@@ -65,82 +75,117 @@ class Pieces:
 
 def committed(text: str, pieces: Pieces) -> Iterator[list[int]]:
     """Ids of an escaped text, a list for each boundary that all surviving paths share."""
-    scores, reach, unknown = pieces.scores, pieces.reach, pieces.unknown
+    trie, unknown, n = pieces.trie, pieces.unknown, len(text)
     base, i, far = 0, 0, 0  # of the window: its start in the text, the position in it, the last open one
-    best: list[float] = [0.0]
-    back: list[tuple[int, int]] = [(0, -1)]  # for each position: where its last piece starts, and its id
-    n = len(text)
-
-    def trace(end: int) -> list[int]:
-        out = []
-        while end:
-            start, piece = back[end]
-            if piece < 0:
-                out += reversed([pieces.spelled[b] for b in (SPACE if text[base + start] == LITERAL else text[base + start]).encode("utf-8", "surrogatepass")])
-            else:
-                out.append(piece)
-            end = start
-        return out[::-1]
+    best, back, ids = [0.0], [0], [-1]  # for each position: its score, where its last piece starts, and that piece
 
     while base + i < n:
         boundary = i if i == far else 0
         if not boundary and i >= 4 * pieces.longest and i % pieces.longest == 0:
             boundary = _meeting(back, [p for p in range(i, far + 1) if best[p] > -np.inf])
         if boundary:
-            yield trace(boundary)
-            best, back = best[boundary:], [(s - boundary, p) for s, p in back[boundary:]]
+            yield _path(text, base, boundary, back, ids, pieces)
+            best, ids, back = best[boundary:], ids[boundary:], [p - boundary for p in back[boundary:]]
             base, i, far = base + boundary, i - boundary, far - boundary
         here = best[i]
         if here > -np.inf:
-            at = base + i
-            for end in range(at + 1, min(n, at + reach.get(text[at : at + 2], 1)) + 1):
-                found = scores.get(text[at:end])
-                if found is None:
-                    if end > at + 1:
-                        continue
-                    found = (unknown, -1)
-                j = end - base
+            node, j = trie, i
+            while True:
+                node = node.get(text[base + j]) if base + j < n else None
+                if node is None and j > i:
+                    break
+                j += 1
+                found = node and node.get("")
+                if j == i + 1 and not found:
+                    score, piece = here + unknown, -1
+                elif found:
+                    score, piece = here + found[0], found[1]
+                else:
+                    continue
                 while j >= len(best):
                     best.append(-np.inf)
-                    back.append((0, -1))
-                if here + found[0] >= best[j]:
-                    best[j], back[j] = here + found[0], (i, found[1])
+                    back.append(0)
+                    ids.append(-1)
+                if score >= best[j]:
+                    best[j], back[j], ids[j] = score, i, piece
                 far = max(far, j)
+                if node is None:
+                    break
         i += 1
     if n > base:
-        yield trace(n - base)
-
-
-def _meeting(back: list[tuple[int, int]], open_: list[int]) -> int:
+        yield _path(text, base, n - base, back, ids, pieces)
+
+
+def _path(text: str, base: int, end: int, back: list[int], ids: list[int], pieces: Pieces) -> list[int]:
+    """The ids that lead to a position of the window; -1 stands for a character in byte pieces."""
+    out = []
+    while end:
+        if ids[end] >= 0:
+            out.append(ids[end])
+        else:
+            char = text[base + back[end]]
+            out += reversed([pieces.spelled[b] for b in (SPACE if char == LITERAL else char).encode("utf-8", "surrogatepass")])
+        end = back[end]
+    return out[::-1]
+
+
+def of_word(word: str, pieces: Pieces) -> list[int]:
+    """The same search for a short text, of which the window holds all."""
+    trie, unknown, n = pieces.trie, pieces.unknown, len(word)
+    best, back, ids = [0.0] + [-np.inf] * n, [0] * (n + 1), [-1] * (n + 1)
+    for i in range(n):
+        here, node, j = best[i], trie, i
+        if here == -np.inf:
+            continue
+        alone = trie.get(word[i])
+        if alone is None or "" not in alone:
+            if here + unknown >= best[i + 1]:
+                best[i + 1], back[i + 1], ids[i + 1] = here + unknown, i, -1
+        while j < n:
+            node = node.get(word[j])
+            if node is None:
+                break
+            j += 1
+            found = node.get("")
+            if found is not None and here + found[0] >= best[j]:
+                best[j], back[j], ids[j] = here + found[0], i, found[1]
+    return _path(word, 0, n, back, ids, pieces)
+
+
+def _meeting(back: list[int], open_: list[int]) -> int:
     """The last boundary on the paths of all open positions."""
     paths = set(open_)
     while len(paths) > 1:
         last = max(paths)
         paths.remove(last)
-        paths.add(back[last][0])
+        paths.add(back[last])
     return paths.pop()
 
 
 class Codec(dict):
-    """A memo of words' ids, as little-endian 32-bit bytes."""
+    """A memo of words' ids, as 32-bit bytes, in two generations of MEMO words each."""
 
     def __init__(self, pieces: Pieces):
-        self.pieces = pieces
+        self.pieces, self.older = pieces, {}
         self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall if pieces.words else lambda text: [text]
 
     def __missing__(self, word: str) -> bytes:
-        out = b"".join(np.array(ids, dtype="<i4").tobytes() for ids in committed(word, self.pieces))
-        if len(word) <= SHORT:
-            if len(self) >= MEMO:
-                self.clear()
-            self[word] = out
+        if len(word) > SHORT:
+            return b"".join(array("i", ids).tobytes() for ids in committed(word, self.pieces))
+        out = self.older.get(word)
+        if out is None:
+            out = array("i", of_word(word, self.pieces)).tobytes()
+        if len(self) >= MEMO:
+            self.older = dict(self)
+            self.clear()
+        self[word] = out
         return out
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
-            return np.zeros(0, dtype="<i4")
+            return np.zeros(0, dtype=np.int32)
         escaped = SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)
-        return np.frombuffer(b"".join(map(self.__getitem__, self.cut(escaped))), dtype="<i4")
+        return np.frombuffer(b"".join(map(self.__getitem__, self.cut(escaped))), dtype=np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.pieces.bytes.__getitem__, ids.tolist()))[1:].decode("utf-8", "surrogatepass")

@@ -451,9 +451,7 @@ class Few:
         self.scores = {p: (s, i + 256) for i, (p, s) in enumerate(scores.items())}
         self.longest = max(map(len, scores))
         self.unknown = min(scores.values()) - 10
-        self.reach = {}
-        for p in scores:
-            self.reach[p[:2]] = max(self.reach.get(p[:2], 1), len(p))
+        self.trie = sentencepiece_codec.trie(self.scores)
         self.spelled = list(range(256))
         self.words = False
         self.bytes = [bytes([b]) for b in range(256)] + [p.replace(sentencepiece_codec.SPACE, " ").encode() for p in scores]
@@ -483,10 +481,11 @@ def test_streaming_viterbi_is_optimal_and_exact():
         assert spelled.decode() == text
         lost = sum(1 for i in ids if i < 128 or 0xC0 <= i < 256)
         assert abs(total + lost * pieces.unknown - brute_score(text, pieces)) < 1e-6
+        assert sentencepiece_codec.of_word(text, pieces) == ids
 
 
 def test_viterbi_commits_before_the_end():
-    pieces = Few({"a": -1.0, "aa": -1.5, "aaa": -1.9})
+    pieces = Few({"a": -10.0, "aa": -15.0, "aaa": -19.0})
     parts = list(sentencepiece_codec.committed("a" * 5000, pieces))
     assert len(parts) > 100 and max(map(len, parts)) < 100
 
