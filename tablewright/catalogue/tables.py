@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from tablewright.catalogue.registry import Tables, query
 from tablewright.operators import relational, rules, state
-from tablewright.plans.tabledef import Check, ForeignKey, Serial, Unique, table
+from tablewright.plans.tabledef import Check, ForeignKey, Serial, TableDef, Unique, table
 
-NATION = table("nation", "n_nationkey int, n_name string, n_regionkey int", defaults={"n_regionkey": "4"}, uniques=(Unique(("n_nationkey",), primary=True),))
+
+def nation() -> TableDef:
+    return table("nation", "n_nationkey int, n_name string, n_regionkey int", defaults={"n_regionkey": "4"}, uniques=(Unique(("n_nationkey",), primary=True),))
 
 
 @query("select * from nation union all select n_nationkey + 100, 'new ' || n_name, 4 from nation where n_nationkey < 5")
 def insert_defaults(t: Tables) -> DataFrame:
     rows = t.nation.where("n_nationkey < 5").select((F.col("n_nationkey") + 100).alias("n_nationkey"), F.concat(F.lit("new "), "n_name").alias("n_name"))
-    return state.insert(t.nation, rows, NATION).state
+    return state.insert(t.nation, rows, nation()).state
 
 
 @query("select * from nation union all select r_regionkey + 200, r_name, r_regionkey from region")
@@ -26,7 +28,7 @@ def insert_from_query(t: Tables) -> DataFrame:
 
 @query("select * from nation union all select r_regionkey + 300, r_name, 4 from region")
 def insert_positional(t: Tables) -> DataFrame:
-    return state.insert(t.nation, t.region.select(F.col("r_regionkey") + 300, "r_name"), NATION, ["n_nationkey", "n_name"]).state
+    return state.insert(t.nation, t.region.select(F.col("r_regionkey") + 300, "r_name"), nation(), ["n_nationkey", "n_name"]).state
 
 
 @query("select o_orderkey, o_custkey, case when o_orderstatus = 'P' then 'Q' else o_orderstatus end as o_orderstatus, case when o_orderstatus = 'P' then o_custkey * 1.0 else o_totalprice end as o_totalprice from orders")
@@ -131,7 +133,7 @@ def archive_batched(t: Tables) -> DataFrame:
 def key_swap(t: Tables) -> DataFrame:
     """Two keys change places; the unique rule is checked once, after both."""
     swapped = state.update(t.nation, {"n_nationkey": F.when(F.col("n_nationkey") == 3, 7).otherwise(3)}, F.col("n_nationkey").isin(3, 7)).state
-    return rules.enforce(swapped, NATION)
+    return rules.enforce(swapped, nation())
 
 
 @query("select 1000 + 2 * row_number() over (order by n_name) as id, n_name, n_regionkey from nation")
@@ -142,7 +144,7 @@ def serial_assign(t: Tables) -> DataFrame:
 @query("select n_nationkey, n_name as title, n_regionkey, 5 as level from nation where n_name <> 'NATION_1'")
 def alter_table(t: Tables) -> DataFrame:
     """A column is added with a default, another renamed; the checks follow the name."""
-    defined = NATION.add(Check("no_one", "n_name <> 'NATION_1'")).add_column("level", "int", "5").rename_column("n_name", "title")
+    defined = nation().add(Check("no_one", "n_name <> 'NATION_1'")).add_column("level", "int", "5").rename_column("n_name", "title")
     rows = state.rename_column(state.add_column(t.nation, "level", "int", "5"), "n_name", "title")
     return state.delete(rows, ~F.expr(defined.checks[0].expression)).state
 
@@ -189,26 +191,27 @@ def check_length(t: Tables) -> DataFrame:
     return rules.length_violations(t.part, {"p_name": 11}).select("p_partkey", "p_name")
 
 
-_LINES = table(
-    "lineitem",
-    "l_orderkey bigint, l_linenumber int, l_quantity double",
-    uniques=(Unique(("l_orderkey", "l_linenumber"), name="line_key", deferrable=True),),
-    checks=(Check("few", "l_quantity < 45"), Check("some", "l_quantity > 2")),
-    foreign_keys=(ForeignKey(("l_orderkey",), "orders", ("o_orderkey",), name="order_fk"),),
-)
+def lines() -> TableDef:
+    return table(
+        "lineitem",
+        "l_orderkey bigint, l_linenumber int, l_quantity double",
+        uniques=(Unique(("l_orderkey", "l_linenumber"), name="line_key", deferrable=True),),
+        checks=(Check("few", "l_quantity < 45"), Check("some", "l_quantity > 2")),
+        foreign_keys=(ForeignKey(("l_orderkey",), "orders", ("o_orderkey",), name="order_fk"),),
+    )
 
 
 @query("""select 'few' as rule, count(*) as n from lineitem where not l_quantity < 45 having count(*) > 0
 union all select 'some', count(*) from lineitem where not l_quantity > 2 having count(*) > 0""")
 def rule_timing(t: Tables) -> DataFrame:
     """At the statement the deferrable rule is not checked yet."""
-    return rules.violations(t.lineitem, _LINES, {"orders": t.orders}, deferred=False)
+    return rules.violations(t.lineitem, lines(), {"orders": t.orders}, deferred=False)
 
 
 @query("""select 'some' as rule, count(*) as n from lineitem where not l_quantity > 2 having count(*) > 0
 union all select 'line_key', count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1) having count(*) > 0""")
 def rules_disabled(t: Tables) -> DataFrame:
-    return rules.violations(t.lineitem, _LINES.disable("few"), {"orders": t.orders})
+    return rules.violations(t.lineitem, lines().disable("few"), {"orders": t.orders})
 
 
 @query("""select 'balance covers orders' as rule, count(*) as n from
