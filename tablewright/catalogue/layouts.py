@@ -83,3 +83,11 @@ def incremental_combine(t: Tables) -> DataFrame:
     third = state.delete(second, F.col("s_suppkey") % 10 == 1).state
     steps = [export.increment(a, b, "s_suppkey", i) for i, (a, b) in enumerate([(first, second), (second, third)])]
     return export.combine(first, steps, "s_suppkey")
+
+
+@query("select 'all' as copy, count(*) as n from orders union all select 'filtered', count(*) from orders where o_orderstatus = 'F' union all select 'structure', 0")
+def create_as(t: Tables) -> DataFrame:
+    """Copies of a table: whole, filtered, and its columns alone."""
+    copies = {"all": t.orders, "filtered": t.orders.where("o_orderstatus = 'F'"), "structure": t.orders.limit(0)}
+    kept = [materialize(rows, f"copy-{name}").agg(F.lit(name).alias("copy"), F.count("*").alias("n")) for name, rows in copies.items()]
+    return kept[0].union(kept[1]).union(kept[2])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.catalogue.registry import Tables, query
-from tablewright.operators import state
+from tablewright.operators import derived, state
 from tablewright.session import scratch_path
 from tablewright.streaming import changes as logs
 from tablewright.streaming.jobs import Subscriber
@@ -178,3 +178,22 @@ def drifted_columns(t: Tables) -> DataFrame:
     log = t.nation.where("n_nationkey < 10").select(F.col("n_nationkey").cast("bigint").alias("lsn"), F.lit("I").alias("op"), F.when(F.lit(False), new).alias("old"), new.alias("new"))
     logs.check_drift(log, t.nation.schema)
     return logs.apply_changes(state.truncate(t.nation).state, log, "n_nationkey", defaults={"n_regionkey": F.lit(0)}, truncates=False)
+
+
+@query("select c_custkey as k, c_acctbal as value from customer where c_custkey < 100")
+def resync(t: Tables) -> DataFrame:
+    """A subscriber out of step takes only the differences from its source."""
+    behind = state.delete(state.update(_base(t), {"value": F.lit(0.0)}, F.col("k") % 3 == 0).state, F.col("k") % 5 == 0).state
+    steps = logs.diff(behind, _base(t), "k").withColumn("lsn", F.lit(0).cast("bigint"))
+    return logs.apply_changes(behind, steps, "k", truncates=False)
+
+
+@query("select s_suppkey, s_name, case when s_acctbal < 0 then 0 else s_acctbal end as s_acctbal from supplier where s_nationkey <> 3")
+def offload_copy(t: Tables) -> DataFrame:
+    """A rule copies each change of a table to a second one, which follows it."""
+    rows = t.supplier.select("s_suppkey", "s_name", "s_acctbal", "s_nationkey")
+    first = state.update(rows, {"s_acctbal": F.lit(0.0)}, F.col("s_acctbal") < 0)
+    second = state.delete(first.state, F.col("s_nationkey") == 3)
+    steps = first.changes.withColumn("lsn", F.lit(1).cast("bigint")).unionByName(second.changes.withColumn("lsn", F.lit(2).cast("bigint")))
+    copied = derived.fire({"supplier": steps}, [derived.Rule("copy", "supplier", lambda changed: {"second": changed})])["second"][0]
+    return logs.apply_changes(rows, copied, "s_suppkey", truncates=False).drop("s_nationkey")
