@@ -6,10 +6,12 @@ share a key. Texts with equal sets are one node, so copies cost one row each.
 1. Count the keys; join the keys of each node with those that occur more than once.
 2. In rounds, each key with nodes of more than one component elects a pivot, and the other
    components' nodes are verified against it. Links found join components, so a dense group
-   of near copies closes after pivots instead of all its pairs.
+   of near copies closes after pivots instead of all its pairs. Keys of two nodes are done
+   after the first round.
 3. Keys that are still open after the rounds: nodes outside a key's largest component are
    verified against the rest of the key, save pairs that the triangle inequality of the
-   Jaccard distance (to the first pivot) or the sizes rule out. So no link is lost.
+   Jaccard distance (to the first pivot) or the sizes rule out. So no link is lost. Two nodes
+   that share many keys meet where their keys before the shared one differ, not at each.
 
 Pairs meet by pivot, and the nodes of a pivot are spread over as many tasks as they need.
 Node identity is a 64-bit hash of the set of 64-bit shingle hashes.
@@ -21,14 +23,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.recursion import components
 from ..session import materialize
 from . import text as T
 
-ROUNDS = 3
+ROUNDS = 2
 #: Nodes compared with one copy of a pivot.
 PER_PIVOT = 256
 
@@ -115,7 +117,7 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
     # One row for each node of a key; keys of one node only are done.
     held = posted.join(again, "key").groupBy("key", "node").agg(F.first("n_shingles").alias("n"))
     held = materialize(held, "postings")
-    shared = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key", F.col("low").alias("pivot"))
+    shared = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low <> high").select("key", F.col("low").alias("pivot"), "size")
     held = materialize(held.join(shared, "key"), "postings")
     rows = materialize(rows.drop("keys"), "nodes")
     first = rows.join(held.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("_id", "_key")).alias("at")).select("node", "at._id", "at._key")
@@ -124,7 +126,7 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
 
     tested, roots = None, None
     for turn in range(ROUNDS + 1):
-        now = held if roots is None else held.join(roots, "node", "left")
+        now = held if roots is None else held.where("size > 2").join(roots, "node", "left")
         now = now.withColumn("root", F.coalesce("root", "node") if roots is not None else F.col("node"))
         if turn:
             still = now.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.min_by(F.struct("node", "root", "n"), F.xxhash64("node", F.lit(turn))).alias("p")).where("l <> h")
@@ -159,7 +161,10 @@ def _rest(now: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     far = tested.select(F.explode(F.array(F.struct(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance"), F.struct(F.col("b").alias("pivot"), F.col("a").alias("node"), "distance"))).alias("t")).select("t.*")
     now = now.join(far, ["pivot", "node"], "left").withColumn("distance", F.when(F.col("pivot") == F.col("node"), F.lit(0.0)).otherwise(F.col("distance")))
     sizes = now.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    now = materialize(now.join(sizes, "key").select("key", "node", "root", "n", "distance", "main"), "open")
-    outer = now.where("root <> main").select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"), F.col("n").alias("lead_n"), F.col("distance").alias("lead_distance"))
-    pairs = now.join(outer, "key").where("root <> lead_root and (root = main or node < lead)").where(_alike("n", "lead_n", percent))
+    # Two nodes that share the key before this one, too, meet there or earlier.
+    before = F.lag("key").over(Window.partitionBy("node").orderBy("key"))
+    now = materialize(now.join(sizes, "key").select("key", "node", "root", "n", "distance", "main", before.alias("before")), "open")
+    outer = now.where("root <> main").select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"), F.col("n").alias("lead_n"), F.col("distance").alias("lead_distance"), F.col("before").alias("lead_before"))
+    meets = F.coalesce(F.col("before") != F.col("lead_before"), F.lit(True))
+    pairs = now.join(outer, "key").where(meets).where("root <> lead_root and (root = main or node < lead)").where(_alike("n", "lead_n", percent))
     return pairs.where(F.coalesce(F.abs(F.col("distance") - F.col("lead_distance")) <= (100 - percent) / 100 + 1e-9, F.lit(True)))
