@@ -5,11 +5,13 @@ earlier line (by doc_id, then by place in the document) has a Jaccard similarity
 `percent`; the earliest line of each kind stays, and so do lines without words.
 
 1. Lines with equal sets are one class, at the place of its earliest line; the others go.
-2. The words of a class are ordered by rarity: words not known to be frequent by a hash,
-   then frequent ones by count (counted over all documents, see ngram_join). Two sets alike
-   enough share a word among the first |x| - ceil(t |x|) + 1 of each, so classes meet by
-   these prefix words if a word occurs in more than one prefix. Classes of so few words
-   that only equal sets are alike (under 9 at 90 percent) need not meet.
+2. The words of a class are ordered by rarity: by the number of lines they occur in, then by
+   a hash; the most frequent ones last (see ngram_join). The numbers come from a sketch over
+   all lines: CELLS counters up to 255, which words may share, so a number may be too high
+   but never too low. Any order gives the same result. Two sets alike enough share a word
+   among the first |x| - ceil(t |x|) + 1 of each, so classes meet by these prefix words if a
+   word occurs in more than one prefix; words of one line only cannot. Classes of so few
+   words that only equal sets are alike (under 9 at 90 percent) need not meet.
 3. Every class is compared with the earliest class of each of its words; one that is alike
    is removed. The classes that are left over in a word are compared with all earlier ones
    of the word. Pairs whose sizes, or whose words after the shared one (positions), cannot
@@ -24,6 +26,7 @@ a whole keep and lose the same lines. Word and set identity are 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +37,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import materialize
 from . import text as T
-from .ngram_join import Orders, frequent_tokens
+from .ngram_join import FREQUENT_BIT, Orders, frequent_tokens
 
 PERCENT = 90
+#: Counters of the sketch, one byte each; broadcast.
+CELLS = 1 << 24
+SKETCH_BLOCKS = 64
 
 
 def line_sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -71,6 +77,69 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(_node(sets)), pa.array(ids[row]), pa.array(keys[row]), pa.array(line)], names=["node", "_id", "_key", "line"])
 
 
+def _cell(words: np.ndarray) -> np.ndarray:
+    return (words >> T.U(64 - CELLS.bit_length() + 1)).astype(np.int64)
+
+
+def _add(total: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return np.minimum(total.astype(np.uint16) + more, 255).astype(np.uint8)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block, cells: the sketch of a task, compressed."""
+    total = np.zeros(CELLS, dtype=np.uint8)
+    for batch in batches:
+        for _, _, sets in line_sets(batch.column("text")):
+            if sets:
+                cell, n = np.unique(_cell(np.concatenate(sets)), return_counts=True)
+                total[cell] = _add(total[cell], np.minimum(n, 255).astype(np.uint16))
+    if total.any():
+        parts = total.reshape(SKETCH_BLOCKS, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=["block", "cells"])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each block of rows sorted by block."""
+    block, total = None, None
+    out = lambda: pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], names=["block", "cells"])
+    for batch in batches:
+        for b, cells in zip(batch.column("block").to_pylist(), batch.column("cells"), strict=True):
+            part = np.frombuffer(zlib.decompress(cells.as_buffer()), dtype=np.uint8)
+            if b != block and block is not None:
+                yield out()
+            block, total = b, part if b != block else _add(total, part)
+    if block is not None:
+        yield out()
+
+
+def rarity(docs: DataFrame) -> np.ndarray:
+    """The sketch: for each cell in how many lines its words occur, up to 255."""
+    parts = docs.select("text").mapInArrow(_counted, "block int, cells binary")
+    for spread in (F.expr("pmod(hash(cells), 16)"), F.lit(0)):  # the parts of many tasks never meet in one
+        parts = parts.withColumn("_s", spread).repartition("block", "_s").sortWithinPartitions("block", "_s").drop("_s").mapInArrow(_merged, "block int, cells binary")
+    total = np.zeros((SKETCH_BLOCKS, CELLS // SKETCH_BLOCKS), dtype=np.uint8)
+    for row in parts.collect():  # SKETCH_BLOCKS rows, CELLS bytes
+        total[row.block] = _add(total[row.block], np.frombuffer(zlib.decompress(row.cells), dtype=np.uint8))
+    return total.ravel()
+
+
+class LineOrders(Orders):
+    """Words by the number of their lines, then by hash; known frequent ones last."""
+
+    def __init__(self, frequent: np.ndarray, percent: int, sketch: np.ndarray):
+        super().__init__(frequent, percent)
+        self.sketch = sketch
+
+    def lines(self, words: np.ndarray) -> np.ndarray:
+        return self.sketch[_cell(words)]
+
+    def ranks(self, words: np.ndarray, order: int) -> np.ndarray:
+        plain = super().ranks(words, order)
+        rare = plain < FREQUENT_BIT
+        plain[rare] = (self.lines(words[rare]).astype(T.U) << T.U(54)) | (plain[rare] >> T.U(10))
+        return plain
+
+
 def _prefixes(orders):
     """node, word, size and place of the word, for the prefix of each class in a batch."""
 
@@ -96,6 +165,8 @@ def _prefixes(orders):
                 at = np.concatenate(out)
                 number = np.repeat(np.arange(len(sets)), length)
                 place = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
+                more = order.lines(flat[at]) > 1  # a word of one line meets none
+                at, number, place = at[more], number[more], place[more]
                 yield pa.RecordBatch.from_arrays([pa.array(node[number]), pa.array(T.signed(flat[at])), pa.array(sizes[number].astype(np.int32)), pa.array(place.astype(np.int32))], names=["node", "word", "size", "place"])
 
     return task
@@ -130,8 +201,12 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def kept_lines(docs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Handle and `kept`, the places of the lines with words that stay."""
-    orders = docs.sparkSession.sparkContext.broadcast(Orders(frequent_tokens(docs, 1, lower=False), percent))
+    """Handle and `kept`, the places of the lines with words that stay.
+
+    `texts` (handle, row, text) is joined with the same columns each time and nothing is
+    written in between, so that Spark shuffles the texts once for all of the plan.
+    """
+    orders = docs.sparkSession.sparkContext.broadcast(LineOrders(frequent_tokens(docs, 1, lower=False), percent, rarity(docs)))
     plain = T.handled(docs, "text")
     classes = plain.mapInArrow(_lines, "node long, _id long, _key long, line long")
     classes = materialize(classes.groupBy("node").agg(F.min(F.struct("_id", "_key", "line")).alias("at")), "classes")
@@ -142,23 +217,26 @@ def kept_lines(docs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     first = held.groupBy("word").agg(F.min(F.struct("at", "node", "size", "place")).alias("lead"), F.count("*").alias("n")).where("n > 1")
     held = held.join(first, "word")
 
-    wanted = held.select("at").distinct().groupBy("at._id", "at._key").agg(F.collect_set("at.line").alias("lines"))
-    sets = texts.join(wanted, ["_id", "_key"]).select("text", "lines").mapInArrow(_wanted, "node long, words array<long>").groupBy("node").agg(F.first("words").alias("words"))
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Pairs (lead, node) with sizes and places of a shared word, as verified."""
+    def fitting(pairs: DataFrame) -> DataFrame:
+        """Pairs (node, lead) of classes whose sizes and places of a shared word allow the threshold."""
         both = F.least(F.col("size") - F.col("place"), F.col("lead_size") - F.col("lead_place")) + F.least("place", "lead_place")
         fits = (F.least("size", "lead_size") * 100 >= F.greatest("size", "lead_size") * percent) & (both * (100 + percent) >= (F.col("size") + F.col("lead_size")) * percent)
-        pairs = pairs.where(fits).select("node", "lead").distinct()
-        pairs = pairs.join(sets, "node").join(sets.withColumnsRenamed({"node": "lead", "words": "lead_words"}), "lead")
+        return pairs.where(fits).select("node", "at", "lead", "lead_at").distinct()
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The nodes of the pairs that are alike; their words come from their lines."""
+        lines = pairs.select("at").union(pairs.select("lead_at")).distinct()
+        wanted = lines.groupBy("at._id", "at._key").agg(F.collect_set("at.line").alias("lines"))
+        sets = texts.join(wanted, ["_id", "_key"]).select("row", "text", "lines").mapInArrow(_wanted, "node long, words array<long>").groupBy("node").agg(F.first("words").alias("words"))
+        pairs = pairs.select("node", "lead").join(sets, "node").join(sets.withColumnsRenamed({"node": "lead", "words": "lead_words"}), "lead")
         common = F.size(F.array_intersect("words", "lead_words"))
         return pairs.where(common * 100 >= (F.size("words") + F.size("lead_words") - common) * percent).select("node").distinct()
 
-    one = alike(held.where("node <> lead.node").select("node", "size", "place", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"), F.col("lead.place").alias("lead_place")))
-    one = materialize(one, "removed")
-    left = held.where("n > 2 and node <> lead.node").join(one, "node", "left_anti").select("word", "node", "size", "place", "at")
-    earlier = held.where("n > 2 and node <> lead.node").select("word", F.col("node").alias("lead"), F.col("size").alias("lead_size"), F.col("place").alias("lead_place"), F.col("at").alias("lead_at"))
-    two = alike(left.join(earlier, "word").where("lead_at < at"))
+    one = held.where("node <> lead.node").select("node", "size", "place", "at", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"), F.col("lead.place").alias("lead_place"), F.col("lead.at").alias("lead_at"))
+    one = alike(fitting(one))
+    left = held.where("n > 2 and node <> lead.node").select("word", "node", "size", "place", "at")
+    earlier = left.withColumnsRenamed({"node": "lead", "size": "lead_size", "place": "lead_place", "at": "lead_at"})
+    two = alike(fitting(left.join(one, "node", "left_anti").join(earlier, "word").where("lead_at < at")))
     gone = one.union(two)
     return classes.join(gone, "node", "left_anti").groupBy("at._id", "at._key").agg(F.collect_list("at.line").alias("kept"))
 

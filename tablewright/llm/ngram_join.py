@@ -34,7 +34,7 @@ ORDERS = 3
 FREQUENT = 1 << 17
 LOCAL = 4
 PART = 1 << 22
-_FREQUENT_BIT = T.U(1 << 63)
+FREQUENT_BIT = T.U(1 << 63)
 
 
 def frequent_tokens(docs: DataFrame, k: int, lower: bool = True) -> np.ndarray:
@@ -74,7 +74,7 @@ class Orders:
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
             known = self.frequent[at] == tokens
-            rank[known] = _FREQUENT_BIT | self.by_hash[at[known]].astype(T.U)
+            rank[known] = FREQUENT_BIT | self.by_hash[at[known]].astype(T.U)
         return rank
 
     def prefix(self, tokens: np.ndarray, order: int, ranks: np.ndarray | None = None) -> np.ndarray:
