@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import text as T
 
 KEYS_PER_BUCKET = 1 << 15
@@ -140,7 +141,8 @@ def dedup(docs: DataFrame, old) -> DataFrame:
     equal = texts.groupBy("digest").agg((F.min("plain") == F.max("plain")).alias("same")).where("same").select("digest")
     same = both.join(equal, "digest").select("digest", F.greatest("keep_a", "keep_b").alias("keep_ab"), (F.col("n_a") + F.col("n_b")).alias("n_ab"))
     final = groups.join(same, "digest", "left").select("old", "digest", F.coalesce("keep_ab", "keep_id").alias("keep_id"), F.coalesce("n_ab", "n").alias("group_size"))
-    return rows.select("doc_id", "old", "digest").join(final, ["old", "digest"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), F.col("old").alias("in_snapshot"))
+    # Written before the join, whose hot digests Spark then splits.
+    return rows.select("doc_id", "old", "digest").join(materialize(final, "groups"), ["old", "digest"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), F.col("old").alias("in_snapshot"))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -51,10 +51,14 @@ def shingle_sets(texts: pa.Array, k: int, lower: bool) -> list[np.ndarray]:
 
 
 def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
-    """doc_id, handle, n_shingles, node (null without shingles) and candidate keys of each row."""
+    """doc_id, handle, n_shingles, node (null without shingles) and candidate keys of each row.
+
+    Of equal sets in one task only the first has its keys, so copies are few where keys meet.
+    """
     names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for whole in batches:
             for p in range(0, whole.num_rows, 1024):
                 batch = whole.slice(p, 1024)
@@ -64,6 +68,9 @@ def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
                 flat = np.concatenate(sets) if sets else np.zeros(0, dtype=T.U)
                 node = T.signed(T.ranges(flat, begin[:-1], begin[1:], T.WORDS_1))
                 found, cut = keys(batch.column("text"), sets)
+                new = np.array([n not in seen and not seen.add(n) for n in node.tolist()], dtype=bool)
+                length = np.diff(cut)
+                found, cut = found[np.repeat(new, length)], np.concatenate(([0], np.cumsum(length * new)))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), pa.array(node, mask=sizes == 0), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(np.ascontiguousarray(found))))], names=names
                 )

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import text as T
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -87,7 +88,8 @@ def secret_owners(docs: DataFrame, repository: Column, owner: Column, example_ow
 def scan_documents(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
     """One row per document: counts of base kinds, digest of base spans, all spans, live and example values."""
     found, values = secret_owners(docs, repository, owner)
-    judged = found.join(values.select("value_sha256", "live"), "value_sha256")
+    # Written before the join, whose hot values Spark then splits.
+    judged = found.join(materialize(values.select("value_sha256", "live"), "values"), "value_sha256")
     judged = judged.groupBy("_id", "_key").agg(*(F.count_distinct(F.when(c, F.col("value_sha256"))).alias(n) for n, c in (("n_live", F.col("live")), ("n_example", ~F.col("live")))))
     rows = scan(docs, F.col("doc_id").cast("long").alias("doc_id")).select(
         "doc_id", "_id", "_key", *(F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in BASE), F.sha2(_joined(*BASE), 256).alias("base_sha256"), _joined(*KINDS).alias("spans")

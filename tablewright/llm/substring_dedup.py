@@ -171,12 +171,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     texts = T.handled(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
     runs = texts.select("text", "_id", "_key").mapInArrow(_runs(length, anchor), _RUN)
     seeds = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("low"), F.max("seg").alias("high"))
-    seeds = seeds.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed"))
+    # Written before the join: Spark splits hot keys only where a join reads plain shuffles on both sides.
+    seeds = materialize(seeds.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "seeds")
     # Written once: the branches below need different columns, and would each shuffle all runs again.
     found = materialize(runs.join(seeds, "anchor"), "runs")
     mixed = found.where("mixed")
     alike = mixed.groupBy("anchor", "seg").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_key", "run")).alias("first"))
-    mixed = mixed.join(alike, ["anchor", "seg"])
+    mixed = mixed.join(materialize(alike, "alike"), ["anchor", "seg"])
     full = found.where("not mixed").unionByName(mixed.where("n > 1"), allowMissingColumns=True).select("_id", "_key", "run")
     probes = mixed.where("n = 1 or first = struct(_id, _key, run)").groupBy("_id", "_key").agg(F.collect_set("run").alias("runs"))
     windows = texts.join(probes, ["_id", "_key"]).mapInArrow(_windows(length), _WINDOW)
