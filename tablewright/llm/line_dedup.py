@@ -6,8 +6,8 @@ earlier line (by doc_id, then by place in the document) has a Jaccard similarity
 
 1. Lines with equal sets are one class, at the place of its earliest line; the others go.
 2. The words of a class are ordered by rarity: by the number of lines they occur in, then by
-   a hash; the most frequent ones last (see ngram_join). The numbers come from a sketch over
-   all lines: CELLS counters up to 255, which words may share, so a number may be too high
+   a hash. The numbers come from a sketch over all lines: CELLS one-byte counters, exact up
+   to 16 and in steps of nine percent beyond, which words may share, so a number may be too high
    but never too low. Any order gives the same result. Two sets alike enough share a word
    among the first |x| - ceil(t |x|) + 1 of each, so classes meet by these prefix words if a
    word occurs in more than one prefix; words of one line only cannot. Classes of so few
@@ -18,16 +18,18 @@ earlier line (by doc_id, then by place in the document) has a Jaccard similarity
    reach the threshold are not compared. Large groups of variants so need about one
    comparison per class.
 
-Lines come from the texts again, shuffled once by document, where pairs are verified and
-where lines are removed. A null text stays null. A null doc_id sorts as -1. Rows repeated as
-a whole keep and lose the same lines. Word and set identity are 64-bit hashes.
+Texts are shuffled once, where lines are removed. The lines to compare are found by a second
+scan, screened by a sketch of their hashes (lines let through by chance are not used).
+
+A null text stays null. A null doc_id sorts as -1. Rows repeated as a whole keep and lose the
+same lines. Word and set identity are 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,14 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import materialize
 from . import text as T
-from .ngram_join import FREQUENT_BIT, Orders, frequent_tokens
+from .linking import verified
 
 PERCENT = 90
-#: Counters of the sketch, one byte each; broadcast.
+#: Counters of a sketch, one byte each; broadcast.
 CELLS = 1 << 24
 SKETCH_BLOCKS = 64
+#: The number that each value of a counter stands for.
+HELD = np.concatenate([np.arange(16.0), 2 ** (4 + np.arange(240) / 8)])
 
 
 def line_sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -69,33 +73,29 @@ def _node(sets: list[np.ndarray]) -> np.ndarray:
     return T.signed(T.ranges(np.concatenate(sets) if sets else np.zeros(0, dtype=T.U), begin[:-1], begin[1:], T.WORDS_1))
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, size, handle and place of each line."""
-    for batch in batches:
-        ids, keys = (batch.column(c).to_numpy() for c in ("_id", "_key"))
-        for row, line, sets in line_sets(batch.column("text")):
-            yield pa.RecordBatch.from_arrays([pa.array(_node(sets)), pa.array(ids[row]), pa.array(keys[row]), pa.array(line)], names=["node", "_id", "_key", "line"])
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> T.U(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
 
-def _cell(words: np.ndarray) -> np.ndarray:
-    return (words >> T.U(64 - CELLS.bit_length() + 1)).astype(np.int64)
+def _add(total: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Counters plus numbers, rounded up to what a counter can hold."""
+    return np.minimum(np.searchsorted(HELD, HELD[total] + more), 255).astype(np.uint8)
 
 
-def _add(total: np.ndarray, more: np.ndarray) -> np.ndarray:
-    return np.minimum(total.astype(np.uint16) + more, 255).astype(np.uint8)
+def _sketched(hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]]):
+    """block, cells: the sketch of the hashes that a task sees, compressed."""
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, dtype=np.uint8)
+        for batch in batches:
+            for some in hashes(batch):
+                cell, n = np.unique(_cell(some), return_counts=True)
+                total[cell] = _add(total[cell], n)
+        if total.any():
+            parts = total.reshape(SKETCH_BLOCKS, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=["block", "cells"])
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """block, cells: the sketch of a task, compressed."""
-    total = np.zeros(CELLS, dtype=np.uint8)
-    for batch in batches:
-        for _, _, sets in line_sets(batch.column("text")):
-            if sets:
-                cell, n = np.unique(_cell(np.concatenate(sets)), return_counts=True)
-                total[cell] = _add(total[cell], np.minimum(n, 255).astype(np.uint16))
-    if total.any():
-        parts = total.reshape(SKETCH_BLOCKS, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=["block", "cells"])
+    return task
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,80 +107,86 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = np.frombuffer(zlib.decompress(cells.as_buffer()), dtype=np.uint8)
             if b != block and block is not None:
                 yield out()
-            block, total = b, part if b != block else _add(total, part)
+            block, total = b, part if b != block else _add(total, HELD[part])
     if block is not None:
         yield out()
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """The sketch: for each cell in how many lines its words occur, up to 255."""
-    parts = docs.select("text").mapInArrow(_counted, "block int, cells binary")
+def sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> np.ndarray:
+    """CELLS counters of the hashes in rows, on the driver: CELLS bytes whatever the rows."""
+    parts = rows.mapInArrow(_sketched(hashes), "block int, cells binary")
     for spread in (F.expr("pmod(hash(cells), 16)"), F.lit(0)):  # the parts of many tasks never meet in one
         parts = parts.withColumn("_s", spread).repartition("block", "_s").sortWithinPartitions("block", "_s").drop("_s").mapInArrow(_merged, "block int, cells binary")
     total = np.zeros((SKETCH_BLOCKS, CELLS // SKETCH_BLOCKS), dtype=np.uint8)
-    for row in parts.collect():  # SKETCH_BLOCKS rows, CELLS bytes
-        total[row.block] = _add(total[row.block], np.frombuffer(zlib.decompress(row.cells), dtype=np.uint8))
+    for row in parts.collect():
+        total[row.block] = _add(total[row.block], HELD[np.frombuffer(zlib.decompress(row.cells), dtype=np.uint8)])
     return total.ravel()
 
 
-class LineOrders(Orders):
-    """Words by the number of their lines, then by hash; known frequent ones last."""
+def _words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for _, _, sets in line_sets(batch.column("text")):
+        yield np.concatenate(sets) if sets else np.zeros(0, dtype=T.U)
 
-    def __init__(self, frequent: np.ndarray, percent: int, sketch: np.ndarray):
-        super().__init__(frequent, percent)
-        self.sketch = sketch
 
-    def lines(self, words: np.ndarray) -> np.ndarray:
-        return self.sketch[_cell(words)]
+def _nodes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column("node").to_numpy().view(T.U)
 
-    def ranks(self, words: np.ndarray, order: int) -> np.ndarray:
-        plain = super().ranks(words, order)
-        rare = plain < FREQUENT_BIT
-        plain[rare] = (self.lines(words[rare]).astype(T.U) << T.U(54)) | (plain[rare] >> T.U(10))
-        return plain
 
+def _lines(shared, percent: int):
+    """node, handle, place and size of each line, and the prefix words of its set.
 
-def _prefixes(orders):
-    """node, word, size and place of the word, for the prefix of each class in a batch."""
+    A word of one line only is null. Of equal sets in one task only the first has words, and
+    sets have none that can only be like an equal one.
+    """
+    names = ["node", "_id", "_key", "line", "size", "words"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = orders.value
+        counts, seen = shared.value, set()
         for batch in batches:
-            for _, _, sets in line_sets(batch.column("text")):
-                # A set of n words can be like another one only if that may be one word larger.
-                sets = [s for s in sets if (len(s) + 1) * order.percent <= len(s) * 100]
+            ids, keys = (batch.column(c).to_numpy() for c in ("_id", "_key"))
+            for row, line, sets in line_sets(batch.column("text")):
                 if not sets:
                     continue
-                node, first = np.unique(_node(sets), return_index=True)
-                sets = [sets[i] for i in first]
-                sizes = np.array([len(s) for s in sets])
+                node, sizes = _node(sets), np.array([len(s) for s in sets])
                 begin = np.concatenate(([0], np.cumsum(sizes)))
                 flat = np.concatenate(sets)
-                rank = order.ranks(flat, 0)
-                length = sizes - (sizes * order.percent + 99) // 100 + 1
+                many = counts[_cell(flat)]
+                rank = (many.astype(T.U) << T.U(54)) | (T.mix(flat) >> T.U(10))
                 out = []
-                for p, n in zip(begin.tolist(), length.tolist()):
-                    q = p + int(sizes[len(out)])
-                    out.append(p + np.argsort(rank[p:q])[:n])
-                at = np.concatenate(out)
-                number = np.repeat(np.arange(len(sets)), length)
-                place = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-                more = order.lines(flat[at]) > 1  # a word of one line meets none
-                at, number, place = at[more], number[more], place[more]
-                yield pa.RecordBatch.from_arrays([pa.array(node[number]), pa.array(T.signed(flat[at])), pa.array(sizes[number].astype(np.int32)), pa.array(place.astype(np.int32))], names=["node", "word", "size", "place"])
+                for n, p, q in zip(node.tolist(), begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+                    if n in seen or (q - p + 1) * percent > (q - p) * 100:
+                        out.append(flat[:0].astype(np.int64))
+                        continue
+                    seen.add(n)
+                    out.append(p + np.argsort(rank[p:q])[: q - p - ((q - p) * percent + 99) // 100 + 1])
+                at, cut = np.concatenate(out), np.concatenate(([0], np.cumsum([len(x) for x in out])))
+                words = pa.array(T.signed(flat[at]), mask=many[at] <= 1)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(ids[row]), pa.array(keys[row]), pa.array(line), pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words)], names=names)
 
     return task
 
 
-def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node and words of the lines listed in `lines`."""
-    for batch in batches:
-        listed = [set(x) for x in batch.column("lines").to_pylist()]
-        for row, line, sets in line_sets(batch.column("text")):
-            use = [i for i, (r, n) in enumerate(zip(row.tolist(), line.tolist(), strict=True)) if n in listed[r]]
-            chosen = [sets[i] for i in use]
-            cut = np.concatenate(([0], np.cumsum([len(s) for s in chosen])))
-            yield pa.RecordBatch.from_arrays([pa.array(_node(chosen)), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(np.concatenate(chosen)) if chosen else [], pa.int64()))], names=["node", "words"])
+def _texts(shared):
+    """node and text of the lines that the sketch of nodes may hold, each once a task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, seen = shared.value, set()
+        for batch in batches:
+            for texts in (batch.column("text").slice(p, 512) for p in range(0, batch.num_rows, 512)):
+                found: dict[int, str] = {}
+                for row, line, sets in line_sets(texts):
+                    node = _node(sets)
+                    use = np.flatnonzero(wanted[_cell(node.view(T.U))] > 0) if sets else []
+                    lines: tuple[int, list[str]] = (-1, [])
+                    for i in use:
+                        if node[i] not in seen:
+                            if lines[0] != row[i]:
+                                lines = (row[i], texts[int(row[i])].as_py().split("\n"))
+                            seen.add(node[i])
+                            found[int(node[i])] = lines[1][line[i]]
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], names=["node", "text"])
+
+    return task
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,51 +206,48 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))], names=["row", *out])
 
 
-def kept_lines(docs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Handle and `kept`, the places of the lines with words that stay.
-
-    `texts` (handle, row, text) is joined with the same columns each time and nothing is
-    written in between, so that Spark shuffles the texts once for all of the plan.
-    """
-    orders = docs.sparkSession.sparkContext.broadcast(LineOrders(frequent_tokens(docs, 1, lower=False), percent, rarity(docs)))
-    plain = T.handled(docs, "text")
-    classes = plain.mapInArrow(_lines, "node long, _id long, _key long, line long")
-    classes = materialize(classes.groupBy("node").agg(F.min(F.struct("_id", "_key", "line")).alias("at")), "classes")
-    posted = docs.select("text").mapInArrow(_prefixes(orders), "node long, word long, size int, place int")
-    again = posted.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").select("word")
+def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
+    """Handle and `kept`, the places of the lines with words that stay."""
+    context = docs.sparkSession.sparkContext
+    counts = context.broadcast(sketch(docs.select("text"), _words))
+    lines = T.handled(docs, "text").mapInArrow(_lines(counts, percent), "node long, _id long, _key long, line long, size int, words array<long>")
+    lines = materialize(lines, "lines")
+    classes = materialize(lines.groupBy("node").agg(F.min(F.struct("_id", "_key", "line")).alias("at")), "classes")
+    posted = lines.select("node", "size", F.posexplode("words").alias("place", "word")).where("word is not null")
+    again = materialize(posted.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").select("word"), "words")
     held = posted.join(again, "word").groupBy("word", "node").agg(F.first("size").alias("size"), F.first("place").alias("place"))
     held = materialize(held.join(classes, "node"), "postings")
     first = held.groupBy("word").agg(F.min(F.struct("at", "node", "size", "place")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    held = held.join(first, "word")
+    held = materialize(held.join(materialize(first, "leads"), "word"), "postings")
 
     def fitting(pairs: DataFrame) -> DataFrame:
-        """Pairs (node, lead) of classes whose sizes and places of a shared word allow the threshold."""
+        """Pairs (a, b) of classes whose sizes and places of a shared word allow the threshold."""
         both = F.least(F.col("size") - F.col("place"), F.col("lead_size") - F.col("lead_place")) + F.least("place", "lead_place")
         fits = (F.least("size", "lead_size") * 100 >= F.greatest("size", "lead_size") * percent) & (both * (100 + percent) >= (F.col("size") + F.col("lead_size")) * percent)
-        return pairs.where(fits).select("node", "at", "lead", "lead_at").distinct()
+        return materialize(pairs.where(fits).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+
+    one = held.where("node <> lead.node").select("node", "size", "place", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"), F.col("lead.place").alias("lead_place"))
+    one = fitting(one)
+    wanted = one.select(F.col("a").alias("node")).union(one.select("b")).union(held.where("n > 2").select("node")).distinct()
+    screen = context.broadcast(sketch(wanted, _nodes))
+    texts = docs.select("text").mapInArrow(_texts(screen), "node long, text string").groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialize(texts, "texts")
 
     def alike(pairs: DataFrame) -> DataFrame:
-        """The nodes of the pairs that are alike; their words come from their lines."""
-        lines = pairs.select("at").union(pairs.select("lead_at")).distinct()
-        wanted = lines.groupBy("at._id", "at._key").agg(F.collect_set("at.line").alias("lines"))
-        sets = texts.join(wanted, ["_id", "_key"]).select("row", "text", "lines").mapInArrow(_wanted, "node long, words array<long>").groupBy("node").agg(F.first("words").alias("words"))
-        pairs = pairs.select("node", "lead").join(sets, "node").join(sets.withColumnsRenamed({"node": "lead", "words": "lead_words"}), "lead")
-        common = F.size(F.array_intersect("words", "lead_words"))
-        return pairs.where(common * 100 >= (F.size("words") + F.size("lead_words") - common) * percent).select("node").distinct()
-
-    one = held.where("node <> lead.node").select("node", "size", "place", "at", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"), F.col("lead.place").alias("lead_place"), F.col("lead.at").alias("lead_at"))
-    one = alike(fitting(one))
+        found = verified(pairs, texts, 1, False, percent)
+        return materialize(found.where("linked").select(F.col("b").alias("node")).distinct(), "removed")
+
+    one = alike(one)
     left = held.where("n > 2 and node <> lead.node").select("word", "node", "size", "place", "at")
     earlier = left.withColumnsRenamed({"node": "lead", "size": "lead_size", "place": "lead_place", "at": "lead_at"})
     two = alike(fitting(left.join(one, "node", "left_anti").join(earlier, "word").where("lead_at < at")))
-    gone = one.union(two)
-    return classes.join(gone, "node", "left_anti").groupBy("at._id", "at._key").agg(F.collect_list("at.line").alias("kept"))
+    return classes.join(one.union(two), "node", "left_anti").groupBy("at._id", "at._key").agg(F.collect_list("at.line").alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """row (the other columns of docs), text without the repeated lines, n_lines, n_removed, kept_sha256."""
     rows = T.handled(docs, "text", T.boxed(docs, but="text"))
-    kept = kept_lines(docs, rows, percent)
+    kept = kept_lines(docs, percent)
     rows = rows.join(kept, ["_id", "_key"], "left").drop("_id", "_key")
     schema = StructType([rows.schema["row"], StructField("text", StringType()), StructField("n_lines", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())])
     return rows.select("row", "text", "kept").mapInArrow(_without, schema)

@@ -37,7 +37,7 @@ PART = 1 << 22
 FREQUENT_BIT = T.U(1 << 63)
 
 
-def frequent_tokens(docs: DataFrame, k: int, lower: bool = True) -> np.ndarray:
+def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
     """Frequent tokens, least frequent first."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,7 +50,7 @@ def frequent_tokens(docs: DataFrame, k: int, lower: bool = True) -> np.ndarray:
         size = 0
         for whole in batches:
             for p in range(0, whole.num_rows, 1024):
-                held += shingle_sets(whole.column("text").slice(p, 1024), k, lower)
+                held += shingle_sets(whole.column("text").slice(p, 1024), k, True)
                 size = sum(map(len, held))
                 if size > PART:
                     yield out()
