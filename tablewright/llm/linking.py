@@ -124,6 +124,11 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
     # One row for each node of a key; keys of one node only are done.
     held = posted.join(again, "key").groupBy("key", "node").agg(F.first("n_shingles").alias("n"))
     held = materialize(held, "postings")
+    # In order of size, a node that fits none of its two neighbours fits no other node of the key.
+    by_size = Window.partitionBy("key").orderBy("n", "node")
+    fits = F.coalesce(F.lag("n").over(by_size) * 100 >= F.col("n") * percent, F.lit(False))
+    fits = fits | F.coalesce(F.col("n") * 100 >= F.lead("n").over(by_size) * percent, F.lit(False))
+    held = materialize(held.select("key", "node", "n", fits.alias("fits")).where("fits").drop("fits"), "postings")
     shared = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low <> high").select("key", F.col("low").alias("pivot"), "size")
     held = materialize(held.join(shared, "key"), "postings")
     rows = materialize(rows.drop("keys"), "nodes")
