@@ -12,11 +12,11 @@ earlier line (by doc_id, then by place in the document) has a Jaccard similarity
    among the first |x| - ceil(t |x|) + 1 of each, so classes meet by these prefix words if a
    word occurs in more than one prefix; words of one line only cannot. Classes of so few
    words that only equal sets are alike (under 9 at 90 percent) need not meet.
-3. Every class is compared with the earliest class of each of its words; one that is alike
-   is removed. The classes that are left over in a word are compared with all earlier ones
-   of the word. Pairs whose sizes, or whose words after the shared one (positions), cannot
-   reach the threshold are not compared. Large groups of variants so need about one
-   comparison per class.
+3. In a word, classes are compared with all earlier ones, but in words of more than MANY with
+   the first one only; there, a class that is not alike after all is compared with the
+   others in a second turn. So large groups of variants need about one comparison a class.
+   Pairs are not compared where their sizes, their words after the shared one (positions) or
+   64-bit maps of their words (bits that differ are words that differ) rule the threshold out.
 
 Texts are shuffled once, where lines are removed. The lines to compare are found by a second
 scan, screened by a sketch of their hashes (lines let through by chance are not used).
@@ -45,6 +45,8 @@ PERCENT = 90
 #: Counters of a sketch, one byte each; broadcast.
 CELLS = 1 << 24
 SKETCH_BLOCKS = 64
+#: Classes of one word that are compared with each other at once.
+MANY = 64
 #: The number that each value of a counter stands for.
 HELD = np.concatenate([np.arange(16.0), 2 ** (4 + np.arange(240) / 8)])
 
@@ -133,15 +135,14 @@ def _nodes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def _lines(shared, percent: int):
-    """node, handle, place and size of each line, and the prefix words of its set.
+    """node, handle, place, size and map of each line, and the prefix words of its set.
 
-    A word of one line only is null. Of equal sets in one task only the first has words, and
-    sets have none that can only be like an equal one.
+    A word of one line only is null; sets that can only be like an equal one have no words.
     """
-    names = ["node", "_id", "_key", "line", "size", "words"]
+    names = ["node", "_id", "_key", "line", "size", "map", "words"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = shared.value, set()
+        counts = shared.value
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy() for c in ("_id", "_key"))
             for row, line, sets in line_sets(batch.column("text")):
@@ -151,21 +152,90 @@ def _lines(shared, percent: int):
                 begin = np.concatenate(([0], np.cumsum(sizes)))
                 flat = np.concatenate(sets)
                 many = counts[_cell(flat)]
+                bits = np.bitwise_or.reduceat(T.U(1) << ((flat >> T.U(20)) & T.U(63)), begin[:-1])
                 rank = (many.astype(T.U) << T.U(54)) | (T.mix(flat) >> T.U(10))
                 out = []
-                for n, p, q in zip(node.tolist(), begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-                    if n in seen or (q - p + 1) * percent > (q - p) * 100:
-                        out.append(flat[:0].astype(np.int64))
-                        continue
-                    seen.add(n)
-                    out.append(p + np.argsort(rank[p:q])[: q - p - ((q - p) * percent + 99) // 100 + 1])
+                for p, q in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+                    n = q - p - ((q - p) * percent + 99) // 100 + 1 if (q - p + 1) * percent <= (q - p) * 100 else 0
+                    out.append(p + np.argsort(rank[p:q])[:n])
                 at, cut = np.concatenate(out), np.concatenate(([0], np.cumsum([len(x) for x in out])))
                 words = pa.array(T.signed(flat[at]), mask=many[at] <= 1)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(ids[row]), pa.array(keys[row]), pa.array(line), pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(ids[row]), pa.array(keys[row]), pa.array(line), pa.array(sizes.astype(np.int32)), pa.array(T.signed(bits)), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words)], names=names)
 
     return task
 
 
+def _fit(size, place, bits, i, j, percent: int) -> np.ndarray:
+    """Whether the rows i and j of one word can be alike."""
+    n, m = size[i], size[j]
+    most = np.minimum(n - place[i], m - place[j]) + np.minimum(place[i], place[j])
+    need = ((n + m) * percent + 99 + percent) // (100 + percent)  # least number of common words
+    apart = np.bitwise_count(bits[i] ^ bits[j])
+    return (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (most >= need) & (apart <= n + m - 2 * need)
+
+
+def _pairs(percent: int):
+    """a, b, first: pairs of classes to compare, from rows sorted by word and place.
+
+    `first` is true where b was compared with the first class of a large word only.
+    """
+
+    def paired(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        word, node = rows["word"], rows["node"]
+        size, place, bits = rows["size"].astype(np.int64), rows["place"].astype(np.int64), rows["map"].view(T.U)
+        heads = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, dtype=np.int64)
+        length = np.diff(np.append(heads, len(word)))
+        behind = np.arange(len(word)) - np.repeat(heads, length)
+        large = np.repeat(length > MANY, length)
+        lead = np.repeat(heads, length)
+        i = np.flatnonzero(large & (behind > 0))
+        met = i[_fit(size, place, bits, i, lead[i], percent)]
+        found = [(lead[met], met, np.ones(len(met), dtype=bool))]
+        open_ = np.ones(len(word), dtype=bool)
+        open_[met] = False
+        step, rest = 1, np.flatnonzero(behind >= 1)
+        rest = rest[open_[rest]]
+        while len(rest):
+            hit = rest[_fit(size, place, bits, rest, rest - step, percent)]
+            found.append((hit - step, hit, np.zeros(len(hit), dtype=bool)))
+            step += 1
+            rest = rest[behind[rest] >= step]
+        a, b, first = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b]), pa.array(first)], names=["a", "b", "first"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        for batch in batches:
+            rows = {c: batch.column(c).to_numpy() for c in ("word", "node", "size", "place", "map")}
+            last = rows["word"][-1] if batch.num_rows else None
+            if last is None:
+                continue
+            cut = int(np.flatnonzero(np.append(True, rows["word"][1:] != rows["word"][:-1]))[-1])
+            if cut or (held and held[-1]["word"][-1] != last):  # a word ends in this batch
+                held.append({c: v[:cut] for c, v in rows.items()})
+                yield paired({c: np.concatenate([h[c] for h in held]) for c in rows})
+                held = []
+            held.append({c: v[cut:] for c, v in rows.items()})
+        if held:
+            yield paired({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+
+    return task
+
+
+def _screened(shared):
+    """The rows whose word the sketch may hold."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value[_cell(batch.column("word").to_numpy().view(T.U))] > 0))
+
+    return task
+
+
+def _word_column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column("word").to_numpy().view(T.U)
+
+
 def _texts(shared):
     """node and text of the lines that the sketch of nodes may hold, each once a task."""
 
@@ -210,38 +280,39 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
     """Handle and `kept`, the places of the lines with words that stay."""
     context = docs.sparkSession.sparkContext
     counts = context.broadcast(sketch(docs.select("text"), _words))
-    lines = T.handled(docs, "text").mapInArrow(_lines(counts, percent), "node long, _id long, _key long, line long, size int, words array<long>")
-    lines = materialize(lines, "lines")
-    classes = materialize(lines.groupBy("node").agg(F.min(F.struct("_id", "_key", "line")).alias("at")), "classes")
-    posted = lines.select("node", "size", F.posexplode("words").alias("place", "word")).where("word is not null")
-    again = materialize(posted.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").select("word"), "words")
-    held = posted.join(again, "word").groupBy("word", "node").agg(F.first("size").alias("size"), F.first("place").alias("place"))
-    held = materialize(held.join(classes, "node"), "postings")
-    first = held.groupBy("word").agg(F.min(F.struct("at", "node", "size", "place")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    held = materialize(held.join(materialize(first, "leads"), "word"), "postings")
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of classes whose sizes and places of a shared word allow the threshold."""
-        both = F.least(F.col("size") - F.col("place"), F.col("lead_size") - F.col("lead_place")) + F.least("place", "lead_place")
-        fits = (F.least("size", "lead_size") * 100 >= F.greatest("size", "lead_size") * percent) & (both * (100 + percent) >= (F.col("size") + F.col("lead_size")) * percent)
-        return materialize(pairs.where(fits).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-
-    one = held.where("node <> lead.node").select("node", "size", "place", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"), F.col("lead.place").alias("lead_place"))
-    one = fitting(one)
-    wanted = one.select(F.col("a").alias("node")).union(one.select("b")).union(held.where("n > 2").select("node")).distinct()
-    screen = context.broadcast(sketch(wanted, _nodes))
-    texts = docs.select("text").mapInArrow(_texts(screen), "node long, text string").groupBy("node").agg(F.first("text").alias("text"))
-    texts = materialize(texts, "texts")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        found = verified(pairs, texts, 1, False, percent)
-        return materialize(found.where("linked").select(F.col("b").alias("node")).distinct(), "removed")
-
-    one = alike(one)
-    left = held.where("n > 2 and node <> lead.node").select("word", "node", "size", "place", "at")
-    earlier = left.withColumnsRenamed({"node": "lead", "size": "lead_size", "place": "lead_place", "at": "lead_at"})
-    two = alike(fitting(left.join(one, "node", "left_anti").join(earlier, "word").where("lead_at < at")))
-    return classes.join(one.union(two), "node", "left_anti").groupBy("at._id", "at._key").agg(F.collect_list("at.line").alias("kept"))
+    lines = T.handled(docs, "text").mapInArrow(_lines(counts, percent), "node long, _id long, _key long, line long, size int, map long, words array<long>")
+    classes = lines.groupBy("node").agg(F.min(F.struct("_id", "_key", "line", "size", "map", "words")).alias("c"))
+    classes = materialize(classes.select("node", F.struct("c._id", "c._key", "c.line").alias("at"), "c.size", "c.map", "c.words"), "classes")
+    posted = classes.select("node", F.col("at._id").alias("id"), "size", "map", F.posexplode("words").alias("place", "word")).where("word is not null")
+    pairs = posted.repartition("word").sortWithinPartitions("word", "id", "node").select("word", "node", "size", "place", "map").mapInArrow(_pairs(percent), "a long, b long, first boolean")
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.min("first").alias("first")), "pairs")
+    places = classes.select("node", "at")
+
+    def removed(pairs: DataFrame) -> DataFrame:
+        """The later one of each pair that is alike."""
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        screen = context.broadcast(sketch(ends, _nodes))
+        texts = docs.select("text").mapInArrow(_texts(screen), "node long, text string").join(ends, "node", "left_semi")
+        texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+        found = verified(pairs.select("a", "b"), texts, 1, False, percent).where("linked")
+        found = found.join(places.withColumnsRenamed({"node": "a", "at": "at_a"}), "a").join(places.withColumnsRenamed({"node": "b", "at": "at_b"}), "b")
+        return materialize(found.select(F.when(F.col("at_a") < F.col("at_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct(), "removed")
+
+    gone = removed(pairs)
+    # Classes that were compared with the first of a large word only, and are not removed.
+    left = materialize(pairs.where("first").select(F.col("b").alias("node")).distinct().join(gone, "node", "left_anti"), "left")
+    if not left.isEmpty():
+        own = materialize(posted.join(left, "node"), "left")
+        screen = context.broadcast(sketch(own.select("word"), _word_column))
+        other = posted.mapInArrow(_screened(screen), posted.schema).withColumnsRenamed({"node": "other", "size": "m", "map": "other_map", "place": "other_place"})
+        met = own.join(other.drop("id"), "word").where("node <> other")
+        most = F.least(F.col("size") - F.col("place"), F.col("m") - F.col("other_place")) + F.least("place", "other_place")
+        need = F.ceil((F.col("size") + F.col("m")) * percent / (100 + percent))
+        apart = F.bit_count(F.col("map").bitwiseXOR(F.col("other_map")))
+        met = met.where((F.least("size", "m") * 100 >= F.greatest("size", "m") * percent) & (most >= need) & (apart <= F.col("size") + F.col("m") - 2 * need))
+        more = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        gone = gone.union(removed(materialize(more, "pairs"))).distinct()
+    return classes.join(gone, "node", "left_anti").groupBy("at._id", "at._key").agg(F.collect_list("at.line").alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

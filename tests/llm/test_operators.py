@@ -280,6 +280,19 @@ def test_line_dedup(spark, seed, percent):
     assert line_dedup.without_repeated_lines(empty(spark)).count() == 0
 
 
+def test_line_dedup_of_large_words(spark, monkeypatch):
+    """Words of more than two classes take two turns."""
+    monkeypatch.setattr(line_dedup, "MANY", 2)
+    rows = line_corpus(3)
+    base = [f"b{i}" for i in range(30)]
+    rows += [(600 + i, " ".join(base[: 30 - i % 5] + [f"x{i % 7}"]), "en", "s", 0) for i in range(30)]
+    batches = [pa.RecordBatch.from_pylist([{"word": w, "node": 10 * w + k, "size": 20, "place": 0, "map": 7} for w in ws for k in range(4)]) for ws in ([1, 2], [2], [2, 3], [4])]
+    pairs = [(r["a"], r["b"]) for b in line_dedup._pairs(90)(batches) for r in b.to_pylist()]
+    assert {(a // 10, b // 10) for a, b in pairs} == {(w, w) for w in (1, 2, 3, 4)} and len(pairs) == 3 * 3 + 11
+    got = line_dedup.without_repeated_lines(frame(spark, rows), 80).select("row.doc_id", "n_lines", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_lines(rows, 80)
+
+
 # op6
 
 
