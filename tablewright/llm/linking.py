@@ -80,28 +80,40 @@ def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int, agree: Callable | None = None) -> DataFrame:
-    """pairs (a, b) with `linked` and `distance` (Jaccard, null where a filter ruled the pair out)."""
+    """pairs (a, b) with `linked` and `distance` (Jaccard).
+
+    `agree` marks the prefix tokens of sets (flat, sizes) under each further order; a pair that
+    shares none under one of them is not linked.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, kept = None, np.zeros(0, dtype=T.U)
+        lead, kept, marks = None, np.zeros(0, dtype=T.U), None
         for whole in batches:
             for p in range(0, whole.num_rows, 1024):
                 batch = whole.slice(p, 1024)
                 sets = shingle_sets(batch.column("text"), k, lower)
-                out: list[tuple] = []
-                for a, b, own in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), sets, strict=True):
-                    if b is None:
-                        lead, kept = a, own
-                    elif lead == a:
-                        if agree and not agree(kept, own):
-                            out.append((a, b, False, None))
-                            continue
-                        at = np.searchsorted(kept, own)
-                        both = int((kept[np.minimum(at, len(kept) - 1)] == own).sum())
-                        either = len(kept) + len(own) - both
-                        out.append((a, b, 100 * both >= percent * either, 1 - both / either))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.bool_(), pa.float64()), strict=True)], names=["a", "b", "linked", "distance"])
+                a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+                heads = [i for i, x in enumerate(b) if x is None]
+                # Runs of rows that belong to one pivot; each is compared with it as a whole.
+                for i, j in zip([-1, *heads], [*heads, len(b)], strict=True):
+                    if i >= 0:
+                        lead, kept = a[i], sets[i]
+                        marks = agree(kept, np.array([len(kept)])) if agree else None
+                    own = [x for x in range(i + 1, j) if a[x] == lead]
+                    if not own:
+                        continue
+                    flat, sizes = np.concatenate([sets[x] for x in own]), np.array([len(sets[x]) for x in own])
+                    begin = np.cumsum(sizes) - sizes
+                    at = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
+                    same = kept[at] == flat
+                    both = np.add.reduceat(same.astype(np.int64), begin)
+                    either = len(kept) + sizes - both
+                    passed = np.ones(len(own), dtype=bool)
+                    if marks is not None:  # a shared token that is in both prefixes, under each further order
+                        for mine, theirs in zip(marks, agree(flat, sizes), strict=True):
+                            passed &= np.bitwise_or.reduceat(same & theirs & mine[at], begin)
+                    linked = passed & (100 * both >= percent * either)
+                    yield pa.RecordBatch.from_arrays([pa.array([a[x] for x in own]), pa.array([b[x] for x in own]), pa.array(linked), pa.array(1 - both / either)], names=["a", "b", "linked", "distance"])
 
     spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_PIVOT).cast("int").alias("parts"))
     few = pairs.join(spread, "a").select("a", "b", F.pmod(F.hash("b"), "parts").alias("part"))

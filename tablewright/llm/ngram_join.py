@@ -89,15 +89,22 @@ class Orders:
         out = [self.prefix(s, 0, ranks[p : p + len(s)]) for s, p in zip(sets, begin[:-1].astype(int).tolist(), strict=True)]
         return np.concatenate(out) if out else flat, np.concatenate(([0], np.cumsum([len(x) for x in out])))
 
-    def agree(self, one: np.ndarray, other: np.ndarray) -> bool:
-        """Whether two sets share prefix tokens under each further order."""
-        return all(len(np.intersect1d(self.prefix(one, i), self.prefix(other, i), assume_unique=True)) for i in range(1, ORDERS))
+    def marks(self, flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """Whether each token of the sets is in its set's prefix, under each further order."""
+        length = sizes - (sizes * self.percent + 99) // 100 + 1
+        begin = (np.cumsum(sizes) - sizes).tolist()
+        out = []
+        for order in range(1, ORDERS):
+            ranks = self.ranks(flat, order)
+            last = np.array([np.partition(ranks[p : p + n], m - 1)[m - 1] for p, n, m in zip(begin, sizes.tolist(), length.tolist(), strict=True)], dtype=T.U)
+            out.append(ranks <= np.repeat(last, sizes))
+        return out
 
 
 def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, handle, n_shingles, component_id of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(Orders(frequent_tokens(docs, k), percent))
-    return linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, lambda a, b: shared.value.agree(a, b))
+    return linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, lambda flat, sizes: shared.value.marks(flat, sizes))
 
 
 def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
