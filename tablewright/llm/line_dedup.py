@@ -285,7 +285,8 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
     classes = materialize(classes.select("node", F.struct("c._id", "c._key", "c.line").alias("at"), "c.size", "c.map", "c.words"), "classes")
     posted = classes.select("node", F.col("at._id").alias("id"), "size", "map", F.posexplode("words").alias("place", "word")).where("word is not null")
     pairs = posted.repartition("word").sortWithinPartitions("word", "id", "node").select("word", "node", "size", "place", "map").mapInArrow(_pairs(percent), "a long, b long, first boolean")
-    pairs = materialize(pairs.groupBy("a", "b").agg(F.min("first").alias("first")), "pairs")
+    # Another word of a pair says nothing of the rest of its large word: one mark is enough.
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("first").alias("first")), "pairs")
     places = classes.select("node", "at")
 
     def removed(pairs: DataFrame) -> DataFrame:

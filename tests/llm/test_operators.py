@@ -293,6 +293,19 @@ def test_line_dedup_of_large_words(spark, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == brute_lines(rows, 80)
 
 
+def removed_lines_of(spark, rows, percent):
+    got = line_dedup.without_repeated_lines(frame(spark, rows), percent).select("row.doc_id", "n_lines", "n_removed", "kept_sha256").collect()
+    return sorted(map(tuple, got), key=repr)
+
+
+def test_line_dedup_of_a_lead_met_in_a_small_word_too(spark, monkeypatch):
+    """A class met with the lead of a large word takes its second turn, also if another word has the same pair."""
+    monkeypatch.setattr(line_dedup, "MANY", 2)
+    lines = "17 22 4 2 22 11 20;9 0 22 13 10;23 19 4 2 6 11 20;12 23 19 0 4 0 22;9 1 22 9 3;12 19 3 9 4 0 22;10 1 22 10 5;19 23 15 1 6 7 10 12;8 19 21 9 8 0 22;12 19 21 9 4 8 20;12 19 21 18 4 0 8;12 19 21 9 4 14 22;19 23 15 6 16 7 10 12;17 19 21 9 12 0 22;9 1 22 12 5;9 16 7 8 5"
+    rows = [(i, " ".join("v" + w for w in line.split()), "en", "s", 0) for i, line in enumerate(lines.split(";"))]
+    assert removed_lines_of(spark, rows, 50) == brute_lines(rows, 50)
+
+
 # op6
 
 
