@@ -283,8 +283,9 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
     lines = T.handled(docs, "text").mapInArrow(_lines(counts, percent), "node long, _id long, _key long, line long, size int, map long, words array<long>")
     classes = lines.groupBy("node").agg(F.min(F.struct("_id", "_key", "line", "size", "map", "words")).alias("c"))
     classes = materialize(classes.select("node", F.struct("c._id", "c._key", "c.line").alias("at"), "c.size", "c.map", "c.words"), "classes")
-    posted = classes.select("node", F.col("at._id").alias("id"), "size", "map", F.posexplode("words").alias("place", "word")).where("word is not null")
-    pairs = posted.repartition("word").sortWithinPartitions("word", "id", "node").select("word", "node", "size", "place", "map").mapInArrow(_pairs(percent), "a long, b long, first boolean")
+    posted = classes.select("node", F.col("at._id").alias("id"), F.col("at._key").alias("key"), F.col("at.line").alias("line"), "size", "map", F.posexplode("words").alias("place", "word")).where("word is not null")
+    # The order in which lines are removed: a class of a large word meets all that stand before it.
+    pairs = posted.repartition("word").sortWithinPartitions("word", "id", "key", "line").select("word", "node", "size", "place", "map").mapInArrow(_pairs(percent), "a long, b long, first boolean")
     # Another word of a pair says nothing of the rest of its large word: one mark is enough.
     pairs = materialize(pairs.groupBy("a", "b").agg(F.max("first").alias("first")), "pairs")
     places = classes.select("node", "at")
@@ -303,10 +304,11 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
     # Classes that were compared with the first of a large word only, and are not removed.
     left = materialize(pairs.where("first").select(F.col("b").alias("node")).distinct().join(gone, "node", "left_anti"), "left")
     if not left.isEmpty():
-        own = materialize(posted.join(left, "node"), "left")
+        own = materialize(posted.drop("id", "key", "line").join(left, "node"), "left")
         screen = context.broadcast(sketch(own.select("word"), _word_column))
-        other = posted.mapInArrow(_screened(screen), posted.schema).withColumnsRenamed({"node": "other", "size": "m", "map": "other_map", "place": "other_place"})
-        met = own.join(other.drop("id"), "word").where("node <> other")
+        other = posted.drop("id", "key", "line")
+        other = other.mapInArrow(_screened(screen), other.schema).withColumnsRenamed({"node": "other", "size": "m", "map": "other_map", "place": "other_place"})
+        met = own.join(other, "word").where("node <> other")
         most = F.least(F.col("size") - F.col("place"), F.col("m") - F.col("other_place")) + F.least("place", "other_place")
         need = F.ceil((F.col("size") + F.col("m")) * percent / (100 + percent))
         apart = F.bit_count(F.col("map").bitwiseXOR(F.col("other_map")))

@@ -306,6 +306,15 @@ def test_line_dedup_of_a_lead_met_in_a_small_word_too(spark, monkeypatch):
     assert removed_lines_of(spark, rows, 50) == brute_lines(rows, 50)
 
 
+def test_line_dedup_of_large_words_in_one_document(spark, monkeypatch):
+    """Classes of one document, or of rows without an id, are compared in the order of their places."""
+    monkeypatch.setattr(line_dedup, "MANY", 2)
+    lines = "1 6 8 7 9 5 4;6 9 0 13 11 1 12 2;11 8 0 5 9 6 3 1;7 3 0 8 5 9 10;3 12 11 0 2 5;5 9 6 8 10;1 10 3 5 11 7 13;9 5 10 4 3 8 11 2;7 4 9 6 12;9 1 10 3 6 7;9 8 2 7 0 11 1;4 8 9 12 7;5 12 0 9 4 8 7 13;13 0 9 3 10 5 6;2 7 3 13 1 10;8 6 1 4 7 0 11"
+    text = "\n".join(" ".join("v" + w for w in line.split()) for line in lines.split(";"))
+    for doc in (1, None):
+        assert removed_lines_of(spark, [(doc, text, "en", "s", 0)], 60) == brute_lines([(doc, text, "en", "s", 0)], 60)
+
+
 # op6
 
 
