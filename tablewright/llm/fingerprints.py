@@ -7,9 +7,10 @@ estimates the Jaccard similarity of the shingle sets. Texts under `k` words have
 texts without words none: their fingerprint is all ones bits, and alike only to each other.
 
 `near_duplicates` joins bands of the signature in Spark and verifies Jaccard on the shingle
-sets. `edited_fingerprints` compares each document with its successor in descending doc_id:
+sets; op2 has both. `edited_fingerprints` compares each document with its successor in descending doc_id:
 documents go to ranges of doc_id, and the largest of each range goes along to the next
-range as well, so no order over all documents is needed in one task.
+range as well, so no order over all documents is needed in one task. In op2 the components
+go to the same ranges, one small row a handle, so texts are not shuffled once more.
 
 Null text is empty. A null doc_id sorts as the smallest. Rows with one doc_id follow each
 other by the hash of their text; an only document is its own successor.
@@ -38,6 +39,7 @@ _draw = np.random.Generator(np.random.PCG64(7))
 A = _draw.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * T.U(2) + T.U(1)
 B = _draw.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_LINKED = ", n_shingles long, component_id long"
 
 
 def signatures(texts: pa.Array, k: int = K) -> np.ndarray:
@@ -99,19 +101,20 @@ def near_duplicates(docs: DataFrame, k: int = K, near: int = NEAR) -> DataFrame:
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by range, own rows before the guest, descending order: each own row with its successor."""
-    held: tuple | None = None  # block, doc_id, text, signature
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    held: tuple | None = None  # block, doc_id, text, signature, n_shingles and component_id
+    handle, component = None, (None, None)  # the last row of `near_duplicates`
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_shingles", "component_id"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
 
     def out(pairs: list[tuple]) -> pa.RecordBatch:
         edited = []
-        for (_, _, text, _), (_, _, after, _) in pairs:
+        for (_, _, text, *_), (_, _, after, *_) in pairs:
             half = len(text) // 2
             edited.append(text[: len(text) - half] + after[:half])
         prints = signatures(pa.array(edited, pa.large_string()))
         rows = [
-            (doc, len(text), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), as_text(own), as_text(p), likeness(own, p), likeness(own, after))
-            for ((_, doc, text, own), (_, _, _, after)), e, p in zip(pairs, edited, prints, strict=True)
+            (doc, len(text), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), as_text(own), as_text(p), likeness(own, p), likeness(own, after), *found)
+            for ((_, doc, text, own, found), (_, _, _, after, _)), e, p in zip(pairs, edited, prints, strict=True)
         ]
         return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
@@ -119,8 +122,12 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in range(0, batch.num_rows, 512):
             part = batch.slice(p, 512)
             prints, pairs = signatures(part.column("text")), []
-            for code, doc, text, own in zip(part.column("code").to_pylist(), part.column("doc_id").to_pylist(), part.column("text").to_pylist(), prints, strict=True):
-                row = (code // 2, doc, text or "", own)
+            columns = [part.column(c).to_pylist() for c in ("code", "doc_id", "_key", "text", "kind", "n_shingles", "component_id")]
+            for code, doc, key, text, kind, n, root, own in zip(*columns, prints, strict=True):
+                if not kind:
+                    handle, component = (doc, key), (n, root)
+                    continue
+                row = (code // 2, doc, text or "", own, component if handle == (doc, key) else (None, None))
                 if held and held[0] == row[0]:
                     pairs.append((held, row))
                 held = None if code % 2 else row
@@ -128,8 +135,11 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield out(pairs)
 
 
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """Each document with its edited text (see op2) and the likeness to it and to its successor."""
+def edited_fingerprints(docs: DataFrame, near: DataFrame | None = None) -> DataFrame:
+    """Each document with its edited text (see op2) and the likeness to it and to its successor.
+
+    With the rows of `near_duplicates`, n_shingles and component_id of the document as well.
+    """
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     rows = T.handled(docs, F.col("doc_id").cast("long").alias("doc_id"), "text", place.alias("place"))
     number = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -143,11 +153,18 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         last = bounds[block] == at.to_numpy()
         return pd.Series([[2 * b, 2 * ((b + 1) % len(bounds)) + 1] if x else [2 * b] for b, x in zip(block.tolist(), last, strict=True)])
 
-    rows = rows.withColumn("code", F.explode(codes("place"))).withColumn("block", F.expr("code div 2"))
-    rows = rows.repartition("block").sortWithinPartitions("block", "code", F.desc("place"), F.desc("_key"))
+    none = F.lit(None).cast("long")
+    rows = rows.select(F.explode(codes("place")).alias("code"), "doc_id", "place", "_key", "text", F.lit(1).alias("kind"), none.alias("n_shingles"), none.alias("component_id"))
+    if near is not None:  # rows of one handle have one component, which stands before them
+        each = near.groupBy("doc_id", "_key").agg(F.first("n_shingles").alias("n_shingles"), F.first("component_id").alias("component_id")).withColumn("place", place)
+        rows = rows.unionByName(each.select(F.get(codes("place"), F.lit(0)).alias("code"), "doc_id", "place", "_key", F.lit(None).cast("string").alias("text"), F.lit(0).alias("kind"), "n_shingles", "component_id"))
+    rows = rows.withColumn("block", F.expr("code div 2"))
+    rows = rows.repartition("block").sortWithinPartitions("block", "code", F.desc("place"), F.desc("_key"), "doc_id", "kind")
     # After a range's own rows (even code) comes its guest (odd code); only the first guest counts.
-    return rows.select("code", "doc_id", "text").mapInArrow(_pairs, _EDITED)
+    found = rows.select("code", "doc_id", "_key", "text", "kind", "n_shingles", "component_id").mapInArrow(_pairs, _EDITED + _LINKED)
+    return found if near is not None else found.drop("n_shingles", "component_id")
 
 
 def op2_fingerprints(spark, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(T.documents(spark, sf_dir))
+    docs = T.documents(spark, sf_dir)
+    return edited_fingerprints(docs, near_duplicates(docs))

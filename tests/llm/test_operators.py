@@ -233,6 +233,18 @@ def test_near_duplicates_by_bands(spark):
     assert sorted(map(tuple, got)) == brute_components(rows, 5, 80, lower=False)
 
 
+def test_op2_has_the_components_of_near_copies(spark, tmp_path):
+    rows = corpus(seed=3, n=40)
+    rows += [rows[1], (rows[1][0], "a text of its own", "en", "s", 0), (None, rows[2][1], "en", "s", 0), (None, "", "en", "s", 0), (-1, "", "en", "s", 0), (None, None, "en", "s", 0)]
+    docs = frame(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = fingerprints.op2_fingerprints(spark, str(tmp_path))
+    assert got.columns[:7] == fingerprints.edited_fingerprints(docs).columns
+    near = fingerprints.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.select(near.columns).collect()), key=repr) == sorted(map(tuple, near.collect()), key=repr)
+    assert any(r.component_id not in (None, r.doc_id) for r in got.collect())
+
+
 # op5
 
 
