@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.catalogue.registry import Tables, query
+from tablewright.catalogue.registry import ORACLES, Tables, query
 from tablewright.operators import derived, state
 from tablewright.session import scratch_path
 from tablewright.streaming import changes as logs
@@ -22,7 +22,12 @@ def _log(t: Tables) -> DataFrame:
 
 
 def _base(t: Tables) -> DataFrame:
-    return t.customer.where("c_custkey < 100").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("value"))
+    return _whole(t).where("k < 100")
+
+
+def _whole(t: Tables) -> DataFrame:
+    """All customers; the queries whose names end in _all work on them."""
+    return t.customer.select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("value"))
 
 
 def _applied_sql(where: str = "true") -> str:
@@ -83,9 +88,13 @@ def cdc_apply(t: Tables) -> DataFrame:
 @query(_applied_sql("event_id >= 500").replace("from customer where c_custkey < 100", "from customer where false"))
 def cdc_truncate(t: Tables) -> DataFrame:
     """A truncate in the log empties the table; what follows it counts."""
+    return _truncated(t, _base(t))
+
+
+def _truncated(t: Tables, base: DataFrame) -> DataFrame:
     log = _log(t)
     cut = log.where("lsn = 500").select(F.lit(499).cast("bigint").alias("lsn"), "commit_ts", "tx", F.lit("T").alias("op"), F.when(F.lit(False), F.col("old")).alias("old"), F.when(F.lit(False), F.col("new")).alias("new"))
-    return logs.apply_changes(_base(t), log.where("lsn <> 499").unionByName(cut), "k")
+    return logs.apply_changes(base, log.where("lsn <> 499").unionByName(cut), "k")
 
 
 @query("""with moved as (select c_custkey as k, c_custkey + 1000000 as to_k from customer where c_custkey % 7 = 0 and c_custkey < 200)
@@ -94,22 +103,31 @@ union all select to_k, -1.0 from moved where k < 100""")
 def cdc_key_change(t: Tables) -> DataFrame:
     """Updates that change the key: rows move, and moves of rows that are not there are skipped."""
     keys = t.customer.where("c_custkey % 7 = 0 and c_custkey < 200")
+    return logs.apply_changes(_base(t), _moves(keys, 1000000), "k", truncates=False)
+
+
+def _moves(keys: DataFrame, by: int) -> DataFrame:
     old = F.struct(F.col("c_custkey").alias("k"), F.lit(0.0).alias("value"))
-    new = F.struct((F.col("c_custkey") + 1000000).alias("k"), F.lit(-1.0).alias("value"))
-    return logs.apply_changes(_base(t), keys.select(F.col("c_custkey").alias("lsn"), F.lit("U").alias("op"), old.alias("old"), new.alias("new")), "k", truncates=False)
+    new = F.struct((F.col("c_custkey") + by).alias("k"), F.lit(-1.0).alias("value"))
+    return keys.select(F.col("c_custkey").alias("lsn"), F.lit("U").alias("op"), old.alias("old"), new.alias("new"))
 
 
 @query(_applied_sql())
 def cdc_apply_stream(t: Tables) -> DataFrame:
     """The same log as a stream of files, applied batch by batch."""
+    return _streamed(t, _base(t))
+
+
+def _streamed(t: Tables, base: DataFrame) -> DataFrame:
     folder = scratch_path(t.spark, "stream")
-    # Three files, in the order of the log; the stream takes one a batch.
+    follower = Subscriber(t.spark, f"{folder}/to", "k", base.schema)
+    follower.start_from(base)
+    # Three pieces, in the order of the log, each of as many files as it has tasks; the stream takes one piece a batch.
     last = t.events.agg(F.max("event_id")).first()[0] or 0
     for piece in range(3):
-        _log(t).where(F.expr(f"lsn * 3 div {last + 1} = {piece}")).coalesce(1).write.mode("append").parquet(f"{folder}/log")
-    follower = Subscriber(t.spark, f"{folder}/to", "k", _base(t).schema)
-    follower.start_from(_base(t))
-    follower.follow(f"{folder}/log", _log(t).schema)
+        _log(t).where(F.expr(f"lsn * 3 div {last + 1} = {piece}")).write.mode("append").parquet(f"{folder}/log")
+        files = len(t.spark.read.parquet(f"{folder}/log").inputFiles())  # as many as the piece has, or more
+        follower.follow(f"{folder}/log", _log(t).schema, files)
     return follower.read()
 
 
@@ -183,8 +201,12 @@ def drifted_columns(t: Tables) -> DataFrame:
 @query("select c_custkey as k, c_acctbal as value from customer where c_custkey < 100")
 def resync(t: Tables) -> DataFrame:
     """A subscriber out of step takes only the differences from its source."""
-    behind = state.delete(state.update(_base(t), {"value": F.lit(0.0)}, F.col("k") % 3 == 0).state, F.col("k") % 5 == 0).state
-    steps = logs.diff(behind, _base(t), "k").withColumn("lsn", F.lit(0).cast("bigint"))
+    return _resynced(_base(t))
+
+
+def _resynced(source: DataFrame) -> DataFrame:
+    behind = state.delete(state.update(source, {"value": F.lit(0.0)}, F.col("k") % 3 == 0).state, F.col("k") % 5 == 0).state
+    steps = logs.diff(behind, source, "k").withColumn("lsn", F.lit(0).cast("bigint"))
     return logs.apply_changes(behind, steps, "k", truncates=False)
 
 
@@ -197,3 +219,63 @@ def offload_copy(t: Tables) -> DataFrame:
     steps = first.changes.withColumn("lsn", F.lit(1).cast("bigint")).unionByName(second.changes.withColumn("lsn", F.lit(2).cast("bigint")))
     copied = derived.fire({"supplier": steps}, [derived.Rule("copy", "supplier", lambda changed: {"second": changed})])["second"][0]
     return logs.apply_changes(rows, copied, "s_suppkey", truncates=False).drop("s_nationkey")
+
+
+# -- the same over all customers -------------------------------------------
+
+_ALL = _applied_sql().replace(" where c_custkey < 100", "")
+
+
+@query(_ALL)
+def cdc_apply_all(t: Tables) -> DataFrame:
+    return logs.apply_changes(_whole(t), _log(t), "k", truncates=False)
+
+
+@query(_ALL)
+def cdc_apply_stream_all(t: Tables) -> DataFrame:
+    return _streamed(t, _whole(t))
+
+
+@query(ORACLES["cdc_truncate"])
+def cdc_truncate_all(t: Tables) -> DataFrame:
+    return _truncated(t, _whole(t))
+
+
+@query("""select case when c_custkey % 7 = 0 then c_custkey + 1000000000000 else c_custkey end as k, case when c_custkey % 7 = 0 then -1.0 else c_acctbal end as value from customer""")
+def cdc_key_change_all(t: Tables) -> DataFrame:
+    """Every seventh row moves, to a key above all others."""
+    return logs.apply_changes(_whole(t), _moves(t.customer.where("c_custkey % 7 = 0"), 1000000000000), "k", truncates=False)
+
+
+_CLASSES_ALL = _CLASSES.replace("k < 100 and ", "")
+
+
+@query(f"{_CLASSES_ALL} select lsn, conflict from c")
+def cdc_conflicts_all(t: Tables) -> DataFrame:
+    return logs.conflicts(_whole(t), _log(t), "k").select("lsn", "conflict")
+
+
+@query(f"{_CLASSES_ALL} select 'sub' as subscription, conflict, count(*) as n from c where conflict is not null group by 2")
+def conflict_counts_all(t: Tables) -> DataFrame:
+    return logs.conflict_counts(logs.conflicts(_whole(t), _log(t), "k"), "sub")
+
+
+@query(_applied_sql("ts <= timestamp '2024-01-15 00:00:00'").replace(" where c_custkey < 100", ""))
+def pitr_state_all(t: Tables) -> DataFrame:
+    return logs.recover(_whole(t), _log(t), "k", commit_ts="2024-01-15 00:00:00")
+
+
+@query(_applied_sql("event_id // 10 <= 42").replace(" where c_custkey < 100", ""))
+def pitr_transaction_all(t: Tables) -> DataFrame:
+    return logs.recover(_whole(t), _log(t), "k", tx=42)
+
+
+@query(_applied_sql("ts <= timestamp '2024-01-20 00:00:00' - interval 36 hours").replace(" where c_custkey < 100", ""))
+def delayed_state_all(t: Tables) -> DataFrame:
+    late = logs.delayed(_log(t), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"), "36 HOURS")
+    return logs.apply_changes(_whole(t), late, "k", truncates=False)
+
+
+@query("select c_custkey as k, c_acctbal as value from customer")
+def resync_all(t: Tables) -> DataFrame:
+    return _resynced(_whole(t))
