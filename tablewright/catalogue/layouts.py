@@ -45,11 +45,21 @@ def inverted_search(t: Tables) -> DataFrame:
 select vec_id, round(list_distance(cast(embedding as double[]), cast(q as double[])), 6) as distance
 from embeddings, p order by distance, vec_id limit 10""")
 def knn_topk(t: Tables) -> DataFrame:
-    point = t.embeddings.where("vec_id = 7").first().embedding
-    near = layout.nearest(t.embeddings, "embedding", "vec_id", point, 10)
+    row = t.embeddings.where("vec_id = 7").first()
+    near = layout.nearest(t.embeddings if row else t.embeddings.limit(0), "embedding", "vec_id", row.embedding if row else [], 10)
     return near.select("vec_id", F.round("distance", 6).alias("distance"))
 
 
+@query("""with d as (select p.vec_id as query, e.vec_id, list_distance(cast(e.embedding as double[]), cast(p.embedding as double[])) as distance from embeddings e, embeddings p where p.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query order by distance, vec_id) as rank from d)
+select query, rank, vec_id, round(distance, 6) as distance from r where rank <= 10""")
+def knn_each(t: Tables) -> DataFrame:
+    """The ten nearest rows, itself included, of every row whose id is divisible by 100."""
+    points = {r.vec_id: r.embedding for r in t.embeddings.where("vec_id % 100 = 0").select("vec_id", "embedding").toLocalIterator()}
+    near = layout.nearest_each(t.embeddings, "embedding", "vec_id", points, 10)
+    return near.withColumn("distance", F.round("distance", 6))
+
+
 @query("select * from customer")
 def copy_roundtrip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "copy")

@@ -107,9 +107,11 @@ def nearest_each(
     import pandas as pd
 
     names = sorted(queries)
+    key_type = df.schema[key].dataType.simpleString()
+    if not names:
+        return df.sparkSession.createDataFrame([], f"query bigint, rank int, `{key}` {key_type}, distance double")
     dims = len(queries[names[0]])
     per_slice = max(1, most_bytes // (8 * dims))
-    key_type = df.schema[key].dataType.simpleString()
     out = None
     for at in range(0, len(names), per_slice):
         ids = names[at : at + per_slice]

@@ -249,3 +249,12 @@ def test_drift_stops_the_stream(spark):
     log = spark.createDataFrame([(0, "I", None, (1, 5))], LOG)
     with pytest.raises(logs.SchemaDrift):
         logs.check_drift(log, spark.createDataFrame([], "id int, other int").schema)
+
+
+def test_neighbours_without_query_rows(spark, tmp_path):
+    """No row 7 and no id divisible by 100: no neighbours, and no error."""
+    from tablewright.catalogue import QUERIES
+
+    spark.createDataFrame([(1, [0.0, 1.0], 0)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert QUERIES["knn_topk"](spark, str(tmp_path)).count() == 0
+    assert QUERIES["knn_each"](spark, str(tmp_path)).count() == 0
