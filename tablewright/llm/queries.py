@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import exact_dedup, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_codec, source_mixing, substring_dedup, toxicity
+from . import decontamination, exact_dedup, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_codec, source_mixing, substring_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_source_mixing": source_mixing.op8_source_mixing,
     "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "op13_decontamination": decontamination.op13_decontamination,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -26,4 +27,5 @@ ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_source_mixing": source_mixing.ORACLE,
     "op10_secret_scan": secret_scan.ORACLE,
+    "op13_decontamination": decontamination.ORACLE,
 }

@@ -1,12 +1,14 @@
 """Words and hashes of whole batches of texts, in numpy, and row handles in Spark.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D, as `bytes.split()`
-cuts it. Word and shingle identity is a 64-bit hash; where a wrong match would change a
-result, operators compare two of them (128 bits) or the texts.
+cuts it. `words` gives one polynomial hash for features and sketches; certain pairs of unlike
+words share it. Where identity decides, operators take `identities`: two hashes by mixing
+steps, independent of each other (128 bits), or compare the texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,12 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Letters and digits: 0-9, A-Z, a-z and every byte beyond ASCII.
+ALNUM = np.zeros(256, dtype=bool)
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
+#: Longer words are hashed one by one.
+LONG_WORD = 256
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 _seeds = np.random.Generator(np.random.PCG64(20240229))
 BYTE = _seeds.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -61,6 +69,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def mix2(x: np.ndarray) -> np.ndarray:
+    """Another such bijection."""
+    x = x ^ (x >> U(32))
+    x *= U(0xD6E8FEB86659FD93)
+    x ^= x >> U(32)
+    x *= U(0xA0761D6478BD642F)
+    x ^= x >> U(32)
+    return x
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -98,19 +116,42 @@ def blocks(offsets: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and 64-bit hash of each word of the rows, and first word of each row (one more than rows)."""
-    solid = ~SPACE[data]
-    edge = np.zeros(len(data) + 1, dtype=bool)
+    start, end, first = runs(~SPACE[data], offsets)
+    return start, end, spans(LOWER[data] if lower else data, start, end), first
+
+
+def runs(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each maximal run of marked bytes inside a row, and first run of each row."""
+    edge = np.zeros(len(solid) + 1, dtype=bool)
     edge[offsets] = True
     before = np.empty_like(solid)
     after = np.empty_like(solid)
-    if len(data):
+    if len(solid):
         before[0] = after[-1] = False
         before[1:] = solid[:-1]
         after[:-1] = solid[1:]
     start = np.flatnonzero(solid & (~before | edge[:-1]))
     end = np.flatnonzero(solid & (~after | edge[1:])) + 1
-    first = np.searchsorted(start, offsets)
-    return start, end, spans(LOWER[data] if lower else data, start, end), first
+    return start, end, np.searchsorted(start, offsets)
+
+
+def identities(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of data[start:end] for each span: a mixing step for every 8 bytes."""
+    size = end - start
+    a, b = mix(size.astype(U) + U(0x51)), mix2(size.astype(U) + U(0xC3))
+    padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    live = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    at, left = start[live], size[live]
+    while len(live):
+        piece = eight[at] & _KEEP[np.minimum(left, 8)]
+        a[live] = mix(a[live] ^ piece)
+        b[live] = mix2(b[live] ^ (piece * U(0x9E3779B97F4A7C15)))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        a[i], b[i] = np.frombuffer(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=16).digest(), dtype="<u8")
+    return a, b
 
 
 def spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
