@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontamination, exact_dedup, fingerprints, line_dedup, ngram_join, quality, secret_scan, sentencepiece_codec, source_mixing, substring_dedup, toxicity
+from . import decontamination, exact_dedup, fingerprints, line_dedup, ngram_join, quality, ranked_search, secret_scan, sentencepiece_codec, source_mixing, spelling, substring_dedup, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -17,6 +17,8 @@ QUERIES = {
     "op8_source_mixing": source_mixing.op8_source_mixing,
     "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
     "op13_decontamination": decontamination.op13_decontamination,
     "pipeline": corpus_pipeline.run,
 }
@@ -27,5 +29,7 @@ ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_source_mixing": source_mixing.ORACLE,
     "op10_secret_scan": secret_scan.ORACLE,
+    "op11_spelling": spelling.ORACLE,
+    "op12_ranked_search": ranked_search.ORACLE,
     "op13_decontamination": decontamination.ORACLE,
 }
