@@ -278,12 +278,12 @@ def op11_spelling(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE = f"""
-with recursive k as (select i, list_reduce(list_prepend(i, range(8)), (c, x) -> case when c & 1 = 1 then xor(c >> 1, {_POLYNOMIAL}) else c >> 1 end) as v from range(256) t(i)),
+with recursive k as (select i, list_reduce(list_prepend(i, range(8)), lambda c, x: case when c & 1 = 1 then xor(c >> 1, {_POLYNOMIAL}) else c >> 1 end) as v from range(256) t(i)),
 t as (select list(v order by i) as crc from k),
 r as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents),
 c as (select doc_id, run, count(*) as n from r where len(run) >= {SIZE} group by all),
-b as (select doc_id, run, n, flatten(list_transform(string_split(doc_id::varchar || ':' || run, ''), x -> case when ord(x) < 128 then [ord(x)] else [195, ord(x) - 64] end)) as bytes from c),
-h as (select run, n, xor(list_reduce(list_prepend(4294967295::bigint, bytes), (s, x) -> xor(crc[(xor(s, x) & 255) + 1], s >> 8)), 4294967295) as h from b, t),
+b as (select doc_id, run, n, flatten(list_transform(string_split(doc_id::varchar || ':' || run, ''), lambda x: case when ord(x) < 128 then [ord(x)] else [195, ord(x) - 64] end)) as bytes from c),
+h as (select run, n, xor(list_reduce(list_prepend(4294967295::bigint, bytes), lambda s, x: xor(crc[(xor(s, x) & 255) + 1], s >> 8)), 4294967295) as h from b, t),
 w as (select case when h % {MISPRINT} = 0 then left(run, (h % len(run))::int) || substr(run, (h % len(run))::int + 2) else run end as word, n from h),
 v as (select word, sum(n)::bigint as n from w where len(word) >= {SIZE} group by 1 having sum(n) >= {COUNT}),
 e as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest from (select word, n, unnest(range(1, len(word) + 1)) as i from v)),

@@ -110,7 +110,9 @@ def variant_rows(seed, n=40):
     for i in range(n):
         text = " ".join(x.upper() if draw.random() < 0.1 else x for x in (draw.choice(family if draw.random() < 0.4 else base[:6]) for _ in range(200)))
         rows.append((i, text, "en", "s", len(text)))
-    return rows
+    # Forms in a chain: each word is near the next one, which occurs over five times as often.
+    chain = " ".join(["abcdefgh"] * 400 + ["abcdefgx"] * 60 + ["abcdefyx"] * 9)
+    return [*rows, (n, chain, "en", "s", len(chain))]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
