@@ -11,12 +11,15 @@ Repetitions of one value meet in partial counts first; the join back is an equi-
 hot keys Spark splits.
 
 Positions come from splitting the text at the matches: a match starts after the lengths of
-all parts and matches before it. Null text is empty; null repository or owner counts as one
+all parts and matches before it; the lengths are summed in chunks, so that long texts with
+very many matches cost in proportion. Null text is empty; null repository or owner counts as one
 of its own; rows repeated as a whole have the same counts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,32 +33,60 @@ BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}
 ADDED = {
     "forge": r"gh[pousr]_[A-Za-z0-9]{36,}",
     "jwt": r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{5,}",
-    "pem": r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----",
+    # Single blanks only, told by looking ahead: a repeated group would cost stack for each word.
+    "pem": r"-----BEGIN (?! )(?![A-Z ]*  )(?:[A-Z ]* )?PRIVATE KEY-----",
     "chat": r"xox[abprs]-[A-Za-z0-9-]{10,}",
 }
 KINDS = [*BASE, *ADDED]
 ASSIGN_LEAST = 12
+#: Matches of a text whose positions are summed at once.
+CHUNK = 256
 EXAMPLE_OWNERS = 3
 _SPAN = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, also where `use` has it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _sums(sizes: Column, begin: Column) -> Column:
+    """begin and the running sums after it."""
+    return F.aggregate(sizes, F.array(begin), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
+
+
+def _ends(sizes: Column) -> Column:
+    """Running sums of an array, taken in chunks so that a fold never copies more than a chunk or their sums."""
+
+    def chunked(sizes: Column) -> Column:
+        numbers = F.when(F.size(sizes) > 0, F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / CHUNK).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+        chunks = F.transform(numbers, lambda c: F.slice(sizes, c * CHUNK + 1, F.lit(CHUNK)))
+        return _let(chunks, whole)
+
+    def whole(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda done, n: done + n))
+        begins = F.slice(_sums(totals, F.lit(0)), 1, F.size(chunks))
+        both = F.arrays_zip(chunks.alias("sizes"), begins.alias("begin"))
+        return F.flatten(F.transform(both, lambda b: F.slice(_sums(b["sizes"], b["begin"]), 2, F.size(b["sizes"]))))
+
+    return _let(sizes, chunked)
+
+
 def _found(text: Column, kind: str) -> Column:
     """Array of (start, rank, end, value) of the matches of a kind, in order of start."""
     pattern = F.lit({**BASE, **ADDED}[kind])
     hits = F.regexp_extract_all(text, pattern, F.lit(0))
     values = F.regexp_extract_all(text, pattern, F.lit(2)) if kind == "assign" else hits
     parts = F.split(text, {**BASE, **ADDED}[kind], -1)
-    rows = F.arrays_zip(hits.alias("hit"), values.alias("value"), parts.alias("part"))
-    rows = F.slice(rows, 1, F.size(hits))
-    zero = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("out"))
+    rows = F.slice(F.arrays_zip(hits.alias("hit"), values.alias("value"), parts.alias("part")), 1, F.size(hits))
+    rank = F.lit(KINDS.index(kind))
 
-    def step(done: Column, row: Column) -> Column:
-        start = done["at"] + F.length(row["part"])
-        end = start + F.length(row["hit"])
-        one = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), row["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(one).cast(_SPAN)).alias("out"))
+    def placed(rows: Column) -> Column:
+        ends = _ends(F.transform(rows, lambda r: F.length(r["part"]) + F.length(r["hit"])))
+        pairs = F.arrays_zip(rows.alias("row"), ends.alias("end"))
+        return F.transform(pairs, lambda p: F.struct((p["end"] - F.length(p["row"]["hit"])).alias("start"), rank.alias("rank"), p["end"].alias("end"), p["row"]["value"].alias("value")))
 
-    spans = F.aggregate(rows, zero, step, lambda done: done["out"])
+    spans = _let(rows, placed).cast(_SPAN)
     if kind == "assign":
         spans = F.filter(spans, lambda s: F.length(s["value"]) >= ASSIGN_LEAST)
     return F.when(text.rlike({**BASE, **ADDED}[kind]), spans).otherwise(F.expr(f"cast(array() as {_SPAN})"))
@@ -106,7 +137,7 @@ def _matches_sql() -> str:
     """Rows (rid, rank, start, end, value) of all kinds, from the parts and hits of each text."""
     one = """select rid, {rank} as rank, unnest(range(1, len(hits) + 1)) as i, unnest(hits) as hit, unnest(vals) as value, unnest(parts[1:len(hits)]) as part
       from (select rid, regexp_extract_all(t, '{p}') as hits, regexp_extract_all(t, '{p}', {group}) as vals, string_split_regex(t, '{p}') as parts from d)"""
-    kinds = {**BASE, **ADDED}
+    kinds = {**BASE, **ADDED, "pem": r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"}
     return " union all ".join(one.format(rank=r, p=kinds[k].replace("'", "''"), group=2 if k == "assign" else 0) for r, k in enumerate(KINDS))
 
 

@@ -624,6 +624,19 @@ def test_secret_scan_of_random_text(spark):
         assert got[doc].base_sha256 == sha(joined.encode()), text
 
 
+def test_secret_scan_of_long_texts_and_key_headers(spark):
+    headers = ["-----BEGIN ", "RSA ", "A ", " ", "X", "PRIVATE KEY-----", "PRIVATE ", "é"]
+    draw = np.random.default_rng(11)
+    texts = ["-----BEGIN " + "A " * 500_000, " ".join(f"{i:016x}" for i in range(5000)), *("".join(draw.choice(headers, 12, p=[0.25, 0.1, 0.1, 0.1, 0.05, 0.25, 0.1, 0.05])) for _ in range(300))]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in secret_scan.scan_documents(frame(spark, rows), F.col("source"), F.col("source")).collect()}
+    assert got[0].spans == ""
+    assert got[1].spans == ",".join(f"hex:{17 * i}:{17 * i + 16}" for i in range(5000))
+    pem = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
+    want = [",".join(f"pem:{m.start()}:{m.end()}" for m in pem.finditer(t)) for t in texts[2:]]
+    assert [got[i].spans for i in range(2, len(texts))] == want and sum(map(bool, want)) > 20
+
+
 def test_secret_scan_of_nothing(spark):
     assert secret_scan.scan_documents(empty(spark), F.col("source"), F.col("source")).count() == 0
 
