@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.catalogue.registry import Tables, query
-from tablewright.operators import layout, state
+from tablewright.operators import layout, neighbours, state
 from tablewright.session import materialize, scratch_path
 from tablewright.sources import copy_text, export
 
@@ -55,8 +55,8 @@ r as (select *, row_number() over (partition by query order by distance, vec_id)
 select query, rank, vec_id, round(distance, 6) as distance from r where rank <= 10""")
 def knn_each(t: Tables) -> DataFrame:
     """The ten nearest rows, itself included, of every row whose id is divisible by 100."""
-    points = {r.vec_id: r.embedding for r in t.embeddings.where("vec_id % 100 = 0").select("vec_id", "embedding").toLocalIterator()}
-    near = layout.nearest_each(t.embeddings, "embedding", "vec_id", points, 10)
+    points = t.embeddings.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    near = neighbours.nearest_each(t.embeddings, "embedding", "vec_id", points, 10)
     return near.withColumn("distance", F.round("distance", 6))
 
 

@@ -289,6 +289,14 @@ def recursive_tree(t: Tables) -> DataFrame:
     return recursion.hierarchy(parts, "p_partkey", "parent").select("p_partkey", "path", "depth", "root", "parent")
 
 
+@query("""with o as (select o_orderkey as k, row_number() over (partition by o_orderkey // 10000 order by o_orderkey) as depth from orders)
+select k, depth, k - k % 10000 as root, case when depth > 1 then k - 1 end as parent from o where depth = k % 10000 + 1""")
+def deep_chain(t: Tables) -> DataFrame:
+    """Chains of 10,000 orders, each below the one before it: a deep hierarchy, in 14 rounds."""
+    orders = t.orders.select(F.col("o_orderkey").alias("k"), F.expr("case when o_orderkey % 10000 > 0 then o_orderkey - 1 end").alias("parent"))
+    return recursion.hierarchy(orders, "k", "parent", path=None)
+
+
 @query("""with recursive e as (select distinct p_partkey % 100 as src, (p_partkey * 7 + 1) % 100 as dst from part),
 r as (select cast(3 as bigint) as node union select dst from r join e on src = node) select node from r""")
 def recursive_graph(t: Tables) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Recursive queries: level by level, each level one distributed job."""
+"""Recursive queries: level by level, or by doubling; each round is one distributed job."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.scale import hot_keys, is_hot, slots_of
 from tablewright.session import materialize, scratch_path
 
 
@@ -62,40 +61,38 @@ def hierarchy(
     parent: str,
     carry: list[str] | None = None,
     separator: str = "->",
-    path: str = "path",
+    path: str | None = "path",
     depth: str = "depth",
     root: str = "root",
 ) -> DataFrame:
     """Every row with its path to the root, its depth and its root key.
 
-    ``df`` must be free of cycles, as a path makes each row a new one. A parent
-    with very many children is spread over salted groups.
-    """
-    carry = carry or []
-    hot = hot_keys(df.where(F.col(parent).isNotNull()), parent)
-    salts = slots_of(hot)
-    zero = F.lit(0).cast("bigint")
-    spread = F.pmod(F.xxhash64("_key"), F.lit(salts))
-    children = materialize(
-        df.where(F.col(parent).isNotNull())
-        .select(F.col(key).alias("_key"), F.col(parent).alias("_up"), *carry)
-        .withColumn("_salt", F.when(is_hot("_up", hot), spread).otherwise(zero)),
-        "children",
-    )
-    all_salts = F.sequence(zero, F.lit(salts - 1).cast("bigint"))
+    By pointer doubling: each row knows the piece of its path up to some ancestor; a round
+    joins it with that ancestor's piece, so pieces double and the rounds number the
+    logarithm of the depth. Rows that have reached their root are not written again. The
+    join is a plain one: a parent with very many children is split by Spark's skew join.
 
-    def step(last: DataFrame) -> DataFrame:
-        above = last.select(F.col(key).alias("_up"), F.col(path).alias("_path"), F.col(depth).alias("_depth"), F.col(root).alias("_root"))
-        salt = F.explode(F.when(is_hot("_up", hot), all_salts).otherwise(F.array(zero))) if hot else zero
-        return children.join(above.withColumn("_salt", salt), ["_up", "_salt"]).select(
-            F.col("_key"), F.concat(F.col("_key").cast("string"), F.lit(separator), F.col("_path")), F.col("_depth") + 1, F.col("_root"), F.col("_up"), *carry
-        )
-
-    anchor = df.where(F.col(parent).isNull()).select(
-        key, F.col(key).cast("string").alias(path), F.lit(1).alias(depth), F.col(key).alias(root), parent, *carry
-    )
-    # Without cycles a path is reached once, so the levels need no comparison.
-    return recurse(anchor, step, distinct=False)
+    Rows that reach no root (their parent is missing) are left out; a cycle is an error.
+    ``path=None`` leaves out the paths, whose total length is the square of a chain's.
+    """
+    own = F.struct(F.col(parent).alias(parent), *(carry or [])).alias("_own")
+    piece = F.col(key).cast("string") if path else F.lit(None).cast("string")
+    rows = df.select(F.col(key).alias("_key"), F.col(parent).alias("_up"), F.lit(1).alias("_depth"), F.col(key).alias("_top"), piece.alias("_path"), own)
+    step = materialize(rows, "pieces")
+    most, length = step.count(), 1
+    done, open_ = step.where("_up is null"), step.where("_up is not null")
+    while not open_.isEmpty():
+        if length > most:  # pieces longer than the table
+            raise RecursionError(f"a cycle in {parent}")
+        above = done.unionByName(open_).select(F.col("_key").alias("_up"), F.struct("_up", "_depth", "_top", "_path").alias("_a"))
+        longer = open_.join(above, "_up").select(
+            "_key", F.col("_a._up").alias("_up"), (F.col("_depth") + F.col("_a._depth")).alias("_depth"), F.col("_a._top").alias("_top"),
+            F.concat("_path", F.lit(separator), "_a._path").alias("_path"), "_own",
+        )
+        step = materialize(longer, "pieces")
+        done, open_, length = done.unionByName(step.where("_up is null")), step.where("_up is not null"), length * 2
+    paths = [F.col("_path").alias(path)] if path else []
+    return done.select(F.col("_key").alias(key), *paths, F.col("_depth").alias(depth), F.col("_top").alias(root), "_own.*")
 
 
 def reachable(edges: DataFrame, start: DataFrame, src: str = "src", dst: str = "dst", node: str = "node") -> DataFrame:

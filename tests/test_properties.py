@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions.aggregates import weighted_mean
-from tablewright.operators import layout, policies, replicas, scale, state
+from tablewright.operators import layout, neighbours, policies, replicas, scale, state
 from tablewright.sources import copy_text, export
 from tablewright.streaming import changes as logs
 from tablewright.streaming.jobs import Subscriber
@@ -201,7 +201,8 @@ def test_nearest_for_several_points(spark):
     draw = random.Random(4)
     df = spark.createDataFrame([(i, [draw.random() for _ in range(4)]) for i in range(60)], "id int, v array<float>").repartition(5)
     points = {1: [0.0, 0, 0, 0], 2: [1.0, 1, 1, 1]}
-    got = layout.nearest_each(df, "v", "id", points, 5).collect()
+    asked = spark.createDataFrame(list(points.items()), "query int, vector array<float>")
+    got = neighbours.nearest_each(df, "v", "id", asked, 5).collect()
     for q, p in points.items():
         want = [r.id for r in layout.nearest(df, "v", "id", p, 5).collect()]
         assert [r.id for r in sorted((r for r in got if r.query == q), key=lambda r: r["rank"])] == want
