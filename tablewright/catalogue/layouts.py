@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.catalogue.registry import Tables, query
 from tablewright.operators import layout, neighbours, state
 from tablewright.session import materialize, scratch_path
-from tablewright.sources import copy_text, export
+from tablewright.sources import copy_text, export, versions
 
 
 @query("select o_orderkey, o_totalprice from orders where o_totalprice between 150000 and 160000")
@@ -36,9 +36,31 @@ def stored_subset(t: Tables) -> DataFrame:
     return held.where("o_custkey < 100")
 
 
-@query("select doc_id from documents where list_contains(regexp_split_to_array(lower(text), '[ \\t\\r\\n]+'), 'the') and list_contains(regexp_split_to_array(lower(text), '[ \\t\\r\\n]+'), 'license')")
+def _postings(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "postings")
+    layout.store_postings(layout.postings(t.documents, "doc_id", "text"), "doc_id", path)
+    return t.spark.read.parquet(path)
+
+
+_TOKENS = "regexp_split_to_array(lower(text), '[ \\t\\r\\n]+')"
+
+
+@query(f"select doc_id from documents where list_contains({_TOKENS}, 'the') and list_contains({_TOKENS}, 'by')")
 def inverted_search(t: Tables) -> DataFrame:
-    return layout.contains_all(layout.postings(t.documents, "doc_id", "text"), "doc_id", ["the", "license"])
+    wanted = t.spark.sql("select 1 as query, explode(array('the', 'by')) as token")
+    return layout.search_postings(_postings(t), wanted, "doc_id").select("doc_id")
+
+
+@query(f"""with w as (select distinct doc_id, unnest({_TOKENS}) as token from documents),
+q as (select doc_id as query, token from (select *, row_number() over (partition by doc_id order by length(token) desc, token) as r from w where doc_id % 100 = 0 and token <> '') where r <= 3),
+n as (select query, count(*) as n from q group by 1)
+select query, w.doc_id from q join w using (token) join n using (query) group by query, w.doc_id, n.n having count(*) = n.n""")
+def inverted_search_each(t: Tables) -> DataFrame:
+    """For every document whose id is divisible by 100: the documents that hold its three longest words."""
+    words = F.array_distinct(layout.tokens(F.col("text")))
+    longest = F.slice(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("token")))), 1, 3)
+    wanted = t.documents.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query"), F.explode(longest["token"]).alias("token"))
+    return layout.search_postings(_postings(t), wanted, "doc_id")
 
 
 @query("""with p as (select embedding as q from embeddings where vec_id = 7)
@@ -91,8 +113,9 @@ def incremental_combine(t: Tables) -> DataFrame:
     added = first.where("s_suppkey % 4 = 0").withColumn("s_suppkey", F.col("s_suppkey") + 50000)
     second = state.insert(state.update(first, {"s_nationkey": F.lit(0)}, F.col("s_suppkey") % 3 == 0).state, added).state
     third = state.delete(second, F.col("s_suppkey") % 10 == 1).state
-    steps = [export.increment(a, b, "s_suppkey", i) for i, (a, b) in enumerate([(first, second), (second, third)])]
-    return export.combine(first, steps, "s_suppkey")
+    kept = [versions.store(v, scratch_path(t.spark, "version"), "s_suppkey", 64) for v in (first, second, third)]
+    steps = [export.increment(a, b, i) for i, (a, b) in enumerate(zip(kept, kept[1:]))]
+    return export.combine(kept[0].rows, steps, "s_suppkey")
 
 
 @query("select 'all' as copy, count(*) as n from orders union all select 'filtered', count(*) from orders where o_orderstatus = 'F' union all select 'structure', 0")

@@ -42,9 +42,9 @@ def in_list(t: Tables) -> DataFrame:
     return t.orders.where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW")).select("o_orderkey", "o_orderpriority")
 
 
-@query("select c_custkey, c_name from customer where c_name like '%1_' and c_name not like '%00_1%'")
+@query("select c_custkey, c_name from customer where c_name like '%1_' and c_name not like '%11_'")
 def like_match(t: Tables) -> DataFrame:
-    return t.customer.where(F.col("c_name").like("%1_") & ~F.col("c_name").like("%00_1%")).select("c_custkey", "c_name")
+    return t.customer.where(F.col("c_name").like("%1_") & ~F.col("c_name").like("%11_")).select("c_custkey", "c_name")
 
 
 @query("select o_orderkey, nullif(o_orderstatus, 'P') is null as is_open from orders where nullif(o_orderstatus, 'F') is not null")
@@ -129,9 +129,9 @@ def semi_any(t: Tables) -> DataFrame:
     return relational.any_of(t.orders, "o_custkey", t.customer.where("c_acctbal < 0"), "c_custkey").select("o_orderkey", "o_custkey")
 
 
-@query("select c_custkey from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey)")
+@query("select c_custkey from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey and o.o_totalprice > 400000)")
 def anti_missing(t: Tables) -> DataFrame:
-    return relational.missing(t.customer, t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey").select("c_custkey")
+    return relational.missing(t.customer, t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey").select("c_custkey")
 
 
 # -- groups

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.catalogue.registry import Tables, query
-from tablewright.operators import relational, rules, state
+from tablewright.operators import deltas, relational, rules, state
 from tablewright.plans.tabledef import Check, ForeignKey, Serial, TableDef, Unique, table
 
 
@@ -228,3 +228,25 @@ def cross_table_rule(t: Tables) -> DataFrame:
 def exactly_one(t: Tables) -> DataFrame:
     row = relational.strict_one(t.nation.where("n_name = 'NATION_7'").select("n_nationkey", "n_name"))
     return t.nation.where(F.col("n_nationkey") == row.n_nationkey).select("n_nationkey", "n_name")
+
+
+_CHANGED = """with o as (select case when o_orderkey % 50 = 13 then o_orderkey + 1 when o_orderkey % 50 in (21, 22) then 43 - o_orderkey % 50 + o_orderkey // 50 * 50 else o_orderkey end as k from orders where o_orderkey % 50 <> 7 union all select o_orderkey + 10000000 from orders where o_orderkey % 50 = 5),
+l as (select case when l_orderkey % 50 = 7 and l_linenumber = 1 then l_orderkey + 1 when l_orderkey % 50 = 5 then l_orderkey + 10000000 when l_orderkey % 50 = 6 then l_orderkey + 20000000 else l_orderkey end as k from lineitem where l_orderkey % 50 <> 9)"""
+
+
+@query(f"""{_CHANGED} select 'orders' as "table", k, count(*) as n from o group by k having count(*) > 1
+union all select 'lineitem', k, count(*) from l where k not in (select k from o) group by k""")
+def delta_rules(t: Tables) -> DataFrame:
+    """Unique and foreign keys after inserts, key updates, swaps and deletes in two tables, looked up for touched keys only."""
+    at = F.col("o_orderkey") % 50
+    moved = F.when(at == 13, F.col("o_orderkey") + 1).when(at.isin(21, 22), F.lit(43) - at + F.expr("o_orderkey div 50 * 50"))
+    none, own = F.lit(None).cast("struct<k:bigint>"), F.struct(F.col("o_orderkey").alias("k"))
+    orders = t.orders.where(at.isin(7, 13, 21, 22)).select(own.alias("old"), F.when(at != 7, F.struct(moved.alias("k"))).alias("new"))
+    orders = orders.unionByName(t.orders.where(at == 5).select(none.alias("old"), F.struct((F.col("o_orderkey") + 10000000).alias("k")).alias("new")))
+    line = F.col("l_orderkey") % 50
+    to = F.when(line == 7, F.col("l_orderkey") + 1).when(line == 5, F.col("l_orderkey") + 10000000).when(line == 6, F.col("l_orderkey") + 20000000)
+    changed = t.lineitem.where(line.isin(5, 6, 9) | ((line == 7) & (F.col("l_linenumber") == 1)))
+    lines_ = changed.select(F.struct(F.col("l_orderkey").alias("k")).alias("old"), F.when(line != 9, F.struct(to.alias("k"))).alias("new"))
+    before, below = t.orders.select(F.col("o_orderkey").alias("k")), t.lineitem.select(F.col("l_orderkey").alias("k"))
+    twice = deltas.unique_violations(before, orders, "k").select(F.lit("orders").alias("table"), "k", "n")
+    return twice.unionByName(deltas.foreign_key_violations(below, lines_, before, orders, "k", "k").select(F.lit("lineitem").alias("table"), "k", "n"))

@@ -45,6 +45,9 @@ def subset(df: DataFrame, where: Column, key: Sequence[str]) -> DataFrame:
     return df.where(where).select(*key)
 
 
+POSTING_WIDTH = 4096
+
+
 # -- postings -----------------------------------------------------------
 
 def tokens(text: Column) -> Column:
@@ -62,16 +65,44 @@ def postings(df: DataFrame, key: str, text: str | None = None, array: str | None
     return df.select(F.explode(F.array_distinct(terms)).alias("token"), key)
 
 
-def write_postings(df: DataFrame, path: str) -> None:
-    """Store postings sorted by token, so a search reads few row groups."""
-    clustered(df, ["token"], [c for c in df.columns if c != "token"]).write.parquet(path)
+def store_postings(index: DataFrame, key: str, path: str, width: int = POSTING_WIDTH) -> None:
+    """Store rows ``(token, key)`` as blocks ``(token, part, n, offsets)``, sorted by token.
+
+    A block holds the keys of one token in one range of ``width`` keys (``part``), as
+    offsets from the start of the range, two bytes each. So no block has more than
+    ``width`` keys, however frequent its token.
+    """
+    if width > 1 << 15:
+        raise ValueError("offsets of two bytes take ranges of at most 32,768 keys")
+    part = F.floor(F.col(key) / width).cast("bigint")
+    offset = (F.col(key) - part * width).cast("smallint")
+    blocks = index.groupBy("token", part.alias("part")).agg(F.array_sort(F.collect_set(offset)).alias("offsets"))
+    rows = blocks.select("token", "part", F.size("offsets").alias("n"), "offsets", F.lit(width).alias("width"))
+    clustered(rows, ["token"], ["part"]).write.parquet(path)
+
 
+def search_postings(blocks: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``query, key``: the rows that hold all tokens of each query, from ``wanted`` (``query, token``).
 
-def contains_all(index: DataFrame, key: str, terms: Sequence[str]) -> DataFrame:
-    """Keys whose text has all the terms."""
-    wanted = sorted(set(terms))
-    hits = index.where(F.col("token").isin(wanted))
-    return hits.groupBy(key).agg(F.count_distinct("token").alias("n")).where(F.col("n") == len(wanted)).select(key)
+    Rarest first: the rarest token of a query names the ranges of keys; the blocks of its
+    other tokens are taken in these ranges only, and a range is done when one of them has
+    no block there. Blocks of one range meet, so a task holds a few blocks at a time.
+    """
+    wanted = wanted.distinct()
+    known = blocks.join(wanted.select("token").distinct(), "token", "left_semi")
+    counts = known.groupBy("token").agg(F.sum("n").alias("n"))
+    # A query with a token that no row has is dropped here.
+    terms = wanted.join(counts, "token", "left").groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("terms"))
+    terms = terms.where(F.forall("terms", lambda t: t["n"].isNotNull()))
+    rarest = terms.select("query", F.col("terms")[0]["token"].alias("token"), F.size("terms").alias("_terms"))
+    places = rarest.join(known.select("token", "part"), "token").select("query", "part", "_terms")
+    asked = terms.select("query", F.explode("terms.token").alias("token")).join(places, "query")
+    met = asked.join(known.select("token", "part", "n", "offsets", "width"), ["token", "part"])
+    smallest = F.array_sort(F.collect_list(F.struct("n", "offsets")))
+    met = met.groupBy("query", "part", "_terms", "width").agg(smallest.alias("_b")).where(F.size("_b") == F.col("_terms"))
+    common = F.aggregate(F.slice("_b", 2, F.size("_b")), F.col("_b")[0]["offsets"], lambda done, b: F.array_intersect(done, b["offsets"]))
+    found = met.select("query", "part", "width", F.explode(common).alias("_offset"))
+    return found.select("query", (F.col("part") * F.col("width") + F.col("_offset")).alias(key))
 
 
 # -- neighbours -----------------------------------------------------------

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,8 +160,8 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "rn",
     """Number rows 1, 2, 3 .. in a total order without one big window.
 
     The rows are range partitioned and sorted, written once, and each row then
-    gets its place in its partition plus the size of the partitions before. Only
-    the partition sizes reach the driver. Nulls come last when rising and first
+    gets its place in its partition plus the size of the partitions before, which come
+    from a frame of one row per partition. Nulls come last when rising and first
     when falling, as in the rest of the package.
     """
     order = [pg_order(o) for o in order]
@@ -171,12 +170,13 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "rn",
         "numbered",
     )
     part = F.shiftright(F.col("_at"), 33).cast("int")
-    sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
-    # One literal number per partition: no join, so the numbered rows are not shuffled again.
-    before = list(accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0) + 1)), initial=start))
-    first = F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), part)
+    # One small row per partition: the numbered rows are not shuffled again, and the plan does not grow.
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + start).alias("_first"))
     place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(name, first + place).select(*df.columns, name)
+    rows = placed.withColumn("_part", part).join(F.broadcast(first), "_part")
+    return rows.withColumn(name, F.col("_first") + place).select(*df.columns, name)
 
 
 def pg_order(item: str | Column) -> Column:

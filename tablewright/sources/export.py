@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablewright.sources import copy_text
+from tablewright.sources.versions import Version
 from tablewright.streaming import changes
 
 
@@ -26,9 +27,9 @@ def restore(spark: SparkSession, path: str, name: str) -> DataFrame:
     return copy_text.read(spark, f"{path}/{name}/rows", StructType.fromJson(json.loads(schema)))
 
 
-def increment(before: DataFrame, after: DataFrame, key: str | Sequence[str], number: int) -> DataFrame:
-    """What changed between two versions, as the increment with a number."""
-    return changes.diff(before, after, key).withColumn("lsn", F.lit(number).cast("bigint"))
+def increment(before: Version, after: Version, number: int) -> DataFrame:
+    """What changed between two stored versions, as the increment with a number."""
+    return changes.diff_versions(before, after).withColumn("lsn", F.lit(number).cast("bigint"))
 
 
 def combine(full: DataFrame, increments: Sequence[DataFrame], key: str | Sequence[str]) -> DataFrame:

@@ -22,6 +22,7 @@ from tablewright.operators.recursion import components
 from tablewright.operators.relational import is_true
 from tablewright.operators.scale import cols, hot_keys, previous_value, spread_join
 from tablewright.session import materialize
+from tablewright.sources.versions import Version, differing
 
 ALL_OPS = ("I", "U", "D", "T")
 Predicate = Callable[[Column], Column]
@@ -353,6 +354,12 @@ def diff(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataF
     return both.where(~F.col("old").eqNullSafe(F.col("new"))).select(op.alias("op"), "old", "new")
 
 
+def diff_versions(before: Version, after: Version) -> DataFrame:
+    """The same for stored versions: only ranges of keys whose digests differ are read and joined."""
+    ranges = differing(before, after)
+    return diff(before.within(ranges), after.within(ranges), before.key)
+
+
 def initial_copy(source: DataFrame, where: Predicate | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows a new subscriber starts with: filtered rows, listed columns."""
     # A field of a struct of plain columns is that column to the optimizer, so the filter reaches the scan.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.aggregates import weighted_mean
 from tablewright.operators import layout, neighbours, policies, replicas, scale, state
-from tablewright.sources import copy_text, export
+from tablewright.sources import copy_text, export, versions
 from tablewright.streaming import changes as logs
 from tablewright.streaming.jobs import Subscriber
 
@@ -61,10 +61,11 @@ def test_any_split_of_a_log_gives_the_replayed_state(spark, seed):
         assert got == want
 
 
-def test_a_difference_applied_gives_the_new_version(spark):
+def test_a_difference_applied_gives_the_new_version(spark, tmp_path):
     a = spark.createDataFrame([(i, i % 3) for i in range(20)], FIELDS)
     b = spark.createDataFrame([(i, i % 4) for i in range(5, 30)], FIELDS)
-    step = export.increment(a, b, "id", 1)
+    two = [versions.store(v, str(tmp_path / n), "id", 4) for n, v in (("a", a), ("b", b))]
+    step = export.increment(*two, 1)
     assert rows(export.combine(a, [step], "id")) == rows(b)
     assert logs.diff(a, a, "id").isEmpty()
 
@@ -187,7 +188,8 @@ def test_filters_reach_the_scan(spark, stored):
 
 def test_numbering_shuffles_once(spark, stored):
     numbered = scale.number_rows(stored, ["id"])
-    assert "Exchange" not in plan(numbered) and "Join" not in plan(numbered)
+    # Only the frame of partition sizes, one row each, moves: the rows are read and numbered where they are.
+    assert "BroadcastHashJoin" in plan(numbered) and "SortMergeJoin" not in plan(numbered) and "rangepartitioning" not in plan(numbered)
 
 
 def test_semi_join_and_columns(spark, stored):
@@ -200,7 +202,7 @@ def test_semi_join_and_columns(spark, stored):
 def test_nearest_for_several_points(spark):
     draw = random.Random(4)
     df = spark.createDataFrame([(i, [draw.random() for _ in range(4)]) for i in range(60)], "id int, v array<float>").repartition(5)
-    points = {1: [0.0, 0, 0, 0], 2: [1.0, 1, 1, 1]}
+    points = {1: [0.0] * 4, 2: [1.0] * 4}
     asked = spark.createDataFrame(list(points.items()), "query int, vector array<float>")
     got = neighbours.nearest_each(df, "v", "id", asked, 5).collect()
     for q, p in points.items():
