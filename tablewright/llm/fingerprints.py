@@ -47,7 +47,7 @@ def signatures(texts: pa.Array, k: int = K) -> np.ndarray:
     data, offsets = T.buffers(texts)
     out = np.full((len(offsets) - 1, PERMUTATIONS), 0xFFFFFFFF, dtype=np.uint32)
     for a, b in T.blocks(offsets, T.BLOCK // 4):
-        _, _, hashes, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        _, _, hashes, _, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         grams, begin = T.shingles(hashes, first, k)
         rows = np.flatnonzero(np.diff(begin))
         if not len(rows):

@@ -22,7 +22,8 @@ Texts are shuffled once, where lines are removed. The lines to compare are found
 scan, screened by a sketch of their hashes (lines let through by chance are not used).
 
 A null text stays null. A null doc_id sorts as -1. Rows repeated as a whole keep and lose the
-same lines. Word and set identity are 64-bit hashes.
+same lines. Sets are known by 128 bits, of two independent hashes of each word; words of one
+pair of lines are told apart by 64 mixed bits.
 """
 
 from __future__ import annotations
@@ -51,28 +52,21 @@ MANY = 64
 HELD = np.concatenate([np.arange(16.0), 2 ** (4 + np.arange(240) / 8)])
 
 
-def line_sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For runs of texts: row and place (line number) of each line with words, and its sorted distinct word hashes."""
+def line_sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of texts: row and place (line number) of each line with words, the sorted distinct word
+    hashes of all its lines, their number per line, and the identities of the sets."""
     data, offsets = T.buffers(texts)
     for a, b in T.blocks(offsets):
         part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-        start, _, hashes, _ = T.words(part, at)
+        start, _, hashes, others, _ = T.words(part, at)
         breaks = np.flatnonzero(part == 10)
         text = np.searchsorted(at, start, "right") - 1
         before = np.searchsorted(breaks, start)  # newlines of the block before the word
-        heads = np.flatnonzero(np.append(True, (before[1:] != before[:-1]) | (text[1:] != text[:-1]))) if len(start) else np.zeros(0, dtype=np.int64)
+        head = np.append(True, (before[1:] != before[:-1]) | (text[1:] != text[:-1])) if len(start) else np.zeros(0, dtype=bool)
+        heads = np.flatnonzero(head)
         own = text[heads]
         line = before[heads] - np.searchsorted(breaks, at[own])
-        sets = []
-        for p, q in zip(heads.tolist(), [*heads[1:].tolist(), len(start)] if len(heads) else [], strict=True):
-            one = np.sort(hashes[p:q])
-            sets.append(one[np.append(True, one[1:] != one[:-1])])
-        yield a + own, line, sets
-
-
-def _node(sets: list[np.ndarray]) -> np.ndarray:
-    begin = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int64)
-    return T.signed(T.ranges(np.concatenate(sets) if sets else np.zeros(0, dtype=T.U), begin[:-1], begin[1:], T.WORDS_1))
+        yield a + own, line, *T.distinct(hashes, others, np.cumsum(head) - 1, len(heads))
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
@@ -126,12 +120,12 @@ def sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarr
 
 
 def _words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    for _, _, sets in line_sets(batch.column("text")):
-        yield np.concatenate(sets) if sets else np.zeros(0, dtype=T.U)
+    for _, _, flat, _, _ in line_sets(batch.column("text")):
+        yield flat
 
 
 def _nodes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    yield batch.column("node").to_numpy().view(T.U)
+    yield T.halves(batch.column("node"))[:, 0]
 
 
 def _lines(shared, percent: int):
@@ -145,22 +139,20 @@ def _lines(shared, percent: int):
         counts = shared.value
         for batch in batches:
             ids, keys = (batch.column(c).to_numpy() for c in ("_id", "_key"))
-            for row, line, sets in line_sets(batch.column("text")):
-                if not sets:
+            for row, line, flat, sizes, node in line_sets(batch.column("text")):
+                if not len(row):
                     continue
-                node, sizes = _node(sets), np.array([len(s) for s in sets])
-                begin = np.concatenate(([0], np.cumsum(sizes)))
-                flat = np.concatenate(sets)
+                begin = np.cumsum(sizes) - sizes
                 many = counts[_cell(flat)]
-                bits = np.bitwise_or.reduceat(T.U(1) << ((flat >> T.U(20)) & T.U(63)), begin[:-1])
+                bits = np.bitwise_or.reduceat(T.U(1) << ((flat >> T.U(20)) & T.U(63)), begin)
                 rank = (many.astype(T.U) << T.U(54)) | (T.mix(flat) >> T.U(10))
-                out = []
-                for p, q in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-                    n = q - p - ((q - p) * percent + 99) // 100 + 1 if (q - p + 1) * percent <= (q - p) * 100 else 0
-                    out.append(p + np.argsort(rank[p:q])[:n])
-                at, cut = np.concatenate(out), np.concatenate(([0], np.cumsum([len(x) for x in out])))
+                # The first words of each line by rank: as many as its prefix has.
+                length = np.where((sizes + 1) * percent <= sizes * 100, sizes - (sizes * percent + 99) // 100 + 1, 0)
+                sort = np.lexsort((rank, np.repeat(np.arange(len(row)), sizes)))
+                at = sort[np.arange(len(flat)) - np.repeat(begin, sizes) < np.repeat(length, sizes)]
+                cut = np.concatenate(([0], np.cumsum(length)))
                 words = pa.array(T.signed(flat[at]), mask=many[at] <= 1)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(ids[row]), pa.array(keys[row]), pa.array(line), pa.array(sizes.astype(np.int32)), pa.array(T.signed(bits)), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words)], names=names)
+                yield pa.RecordBatch.from_arrays([T.binary(node), pa.array(ids[row]), pa.array(keys[row]), pa.array(line), pa.array(sizes.astype(np.int32)), pa.array(T.signed(bits)), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words)], names=names)
 
     return task
 
@@ -180,8 +172,8 @@ def _pairs(percent: int):
     `first` is true where b was compared with the first class of a large word only.
     """
 
-    def paired(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-        word, node = rows["word"], rows["node"]
+    def paired(rows: dict[str, np.ndarray], node: pa.Array) -> pa.RecordBatch:
+        word = rows["word"]
         size, place, bits = rows["size"].astype(np.int64), rows["place"].astype(np.int64), rows["map"].view(T.U)
         heads = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, dtype=np.int64)
         length = np.diff(np.append(heads, len(word)))
@@ -201,23 +193,26 @@ def _pairs(percent: int):
             step += 1
             rest = rest[behind[rest] >= step]
         a, b, first = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b]), pa.array(first)], names=["a", "b", "first"])
+        return pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b)), pa.array(first)], names=["a", "b", "first"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
+        nodes: list[pa.Array] = []
         for batch in batches:
-            rows = {c: batch.column(c).to_numpy() for c in ("word", "node", "size", "place", "map")}
+            rows = {c: batch.column(c).to_numpy() for c in ("word", "size", "place", "map")}
             last = rows["word"][-1] if batch.num_rows else None
             if last is None:
                 continue
             cut = int(np.flatnonzero(np.append(True, rows["word"][1:] != rows["word"][:-1]))[-1])
             if cut or (held and held[-1]["word"][-1] != last):  # a word ends in this batch
                 held.append({c: v[:cut] for c, v in rows.items()})
-                yield paired({c: np.concatenate([h[c] for h in held]) for c in rows})
-                held = []
+                nodes.append(batch.column("node").slice(0, cut))
+                yield paired({c: np.concatenate([h[c] for h in held]) for c in rows}, pa.concat_arrays(nodes))
+                held, nodes = [], []
             held.append({c: v[cut:] for c, v in rows.items()})
+            nodes.append(batch.column("node").slice(cut))
         if held:
-            yield paired({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+            yield paired({c: np.concatenate([h[c] for h in held]) for c in held[0]}, pa.concat_arrays(nodes))
 
     return task
 
@@ -243,18 +238,17 @@ def _texts(shared):
         wanted, seen = shared.value, set()
         for batch in batches:
             for texts in (batch.column("text").slice(p, 512) for p in range(0, batch.num_rows, 512)):
-                found: dict[int, str] = {}
-                for row, line, sets in line_sets(texts):
-                    node = _node(sets)
-                    use = np.flatnonzero(wanted[_cell(node.view(T.U))] > 0) if sets else []
+                found: dict[bytes, str] = {}
+                for row, line, _, _, node in line_sets(texts):
+                    use = np.flatnonzero(wanted[_cell(node[:, 0])] > 0)
                     lines: tuple[int, list[str]] = (-1, [])
-                    for i in use:
-                        if node[i] not in seen:
+                    for i, own in zip(use.tolist(), T.binary(node[use]).to_pylist(), strict=True):
+                        if own not in seen:
                             if lines[0] != row[i]:
                                 lines = (row[i], texts[int(row[i])].as_py().split("\n"))
-                            seen.add(node[i])
-                            found[int(node[i])] = lines[1][line[i]]
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], names=["node", "text"])
+                            seen.add(own)
+                            found[own] = lines[1][line[i]]
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.string())], names=["node", "text"])
 
     return task
 
@@ -280,12 +274,13 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
     """Handle and `kept`, the places of the lines with words that stay."""
     context = docs.sparkSession.sparkContext
     counts = context.broadcast(sketch(docs.select("text"), _words))
-    lines = T.handled(docs, "text").mapInArrow(_lines(counts, percent), "node long, _id long, _key long, line long, size int, map long, words array<long>")
+    lines = T.handled(docs, "text").mapInArrow(_lines(counts, percent), "node binary, _id long, _key long, line long, size int, map long, words array<long>")
     classes = lines.groupBy("node").agg(F.min(F.struct("_id", "_key", "line", "size", "map", "words")).alias("c"))
     classes = materialize(classes.select("node", F.struct("c._id", "c._key", "c.line").alias("at"), "c.size", "c.map", "c.words"), "classes")
+    counts.destroy()
     posted = classes.select("node", F.col("at._id").alias("id"), F.col("at._key").alias("key"), F.col("at.line").alias("line"), "size", "map", F.posexplode("words").alias("place", "word")).where("word is not null")
     # The order in which lines are removed: a class of a large word meets all that stand before it.
-    pairs = posted.repartition("word").sortWithinPartitions("word", "id", "key", "line").select("word", "node", "size", "place", "map").mapInArrow(_pairs(percent), "a long, b long, first boolean")
+    pairs = posted.repartition("word").sortWithinPartitions("word", "id", "key", "line").select("word", "node", "size", "place", "map").mapInArrow(_pairs(percent), "a binary, b binary, first boolean")
     # Another word of a pair says nothing of the rest of its large word: one mark is enough.
     pairs = materialize(pairs.groupBy("a", "b").agg(F.max("first").alias("first")), "pairs")
     places = classes.select("node", "at")
@@ -294,8 +289,9 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
         """The later one of each pair that is alike."""
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         screen = context.broadcast(sketch(ends, _nodes))
-        texts = docs.select("text").mapInArrow(_texts(screen), "node long, text string").join(ends, "node", "left_semi")
+        texts = docs.select("text").mapInArrow(_texts(screen), "node binary, text string").join(ends, "node", "left_semi")
         texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+        screen.destroy()
         found = verified(pairs.select("a", "b"), texts, 1, False, percent).where("linked")
         found = found.join(places.withColumnsRenamed({"node": "a", "at": "at_a"}), "a").join(places.withColumnsRenamed({"node": "b", "at": "at_b"}), "b")
         return materialize(found.select(F.when(F.col("at_a") < F.col("at_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct(), "removed")
@@ -314,7 +310,9 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
         apart = F.bit_count(F.col("map").bitwiseXOR(F.col("other_map")))
         met = met.where((F.least("size", "m") * 100 >= F.greatest("size", "m") * percent) & (most >= need) & (apart <= F.col("size") + F.col("m") - 2 * need))
         more = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        gone = gone.union(removed(materialize(more, "pairs"))).distinct()
+        more = materialize(more, "pairs")
+        screen.destroy()
+        gone = gone.union(removed(more)).distinct()
     return classes.join(gone, "node", "left_anti").groupBy("at._id", "at._key").agg(F.collect_list("at.line").alias("kept"))
 
 

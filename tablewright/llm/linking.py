@@ -14,7 +14,8 @@ share a key. Texts with equal sets are one node, so copies cost one row each.
    that share many keys meet where their keys before the shared one differ, not at each.
 
 Pairs meet by pivot, and the nodes of a pivot are spread over as many tasks as they need.
-Node identity is a 64-bit hash of the set of 64-bit shingle hashes.
+A node is known by 128 bits: two independent hashes of words, of shingles made of them, and of
+the set. Within a verified pair, shingles are told apart by 64 mixed bits.
 """
 
 from __future__ import annotations
@@ -37,17 +38,18 @@ PER_PIVOT = 256
 Keys = Callable[[pa.Array, list[np.ndarray]], tuple[np.ndarray, np.ndarray]]
 
 
-def shingle_sets(texts: pa.Array, k: int, lower: bool) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def shingle_sets(texts: pa.Array, k: int, lower: bool) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sorted distinct shingle hashes of each text, and the identities of the sets."""
     data, offsets = T.buffers(texts)
-    out = []
+    out, nodes = [], [np.zeros((0, 2), dtype=T.U)]
     for a, b in T.blocks(offsets):
-        _, _, hashes, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower)
-        grams, begin = T.shingles(hashes, first, k)
-        for p, q in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-            one = np.sort(grams[p:q])
-            out.append(one[np.append(True, one[1:] != one[:-1])] if q > p else one)
-    return out
+        _, _, one, two, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], lower)
+        grams, begin = T.shingles(one, first, k)
+        other = T.shingles(two, first, k)[0] if k > 1 else two
+        flat, sizes, node = T.distinct(grams, other, np.repeat(np.arange(b - a), np.diff(begin)), b - a)
+        out += np.split(flat, np.cumsum(sizes)[:-1])
+        nodes.append(node)
+    return out, np.concatenate(nodes)
 
 
 def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
@@ -58,25 +60,23 @@ def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
     names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for whole in batches:
             for p in range(0, whole.num_rows, 1024):
                 batch = whole.slice(p, 1024)
-                sets = shingle_sets(batch.column("text"), k, lower)
+                sets, node = shingle_sets(batch.column("text"), k, lower)
                 sizes = np.array([len(s) for s in sets])
-                begin = np.concatenate(([0], np.cumsum(sizes)))
-                flat = np.concatenate(sets) if sets else np.zeros(0, dtype=T.U)
-                node = T.signed(T.ranges(flat, begin[:-1], begin[1:], T.WORDS_1))
+                node = T.binary(node, sizes == 0)
                 found, cut = keys(batch.column("text"), sets)
-                new = np.array([n not in seen and not seen.add(n) for n in node.tolist()], dtype=bool)
+                new = np.array([n not in seen and not seen.add(n) for n in node.to_pylist()], dtype=bool)
                 length = np.diff(cut)
                 found, cut = found[np.repeat(new, length)], np.concatenate(([0], np.cumsum(length * new)))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), pa.array(node, mask=sizes == 0), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(np.ascontiguousarray(found))))], names=names
+                    [*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), node, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(np.ascontiguousarray(found))))], names=names
                 )
 
     rows = T.handled(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node long, keys array<long>")
+    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node binary, keys array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int, agree: Callable | None = None) -> DataFrame:
@@ -91,7 +91,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: i
         for whole in batches:
             for p in range(0, whole.num_rows, 1024):
                 batch = whole.slice(p, 1024)
-                sets = shingle_sets(batch.column("text"), k, lower)
+                sets, _ = shingle_sets(batch.column("text"), k, lower)
                 a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
                 heads = [i for i, x in enumerate(b) if x is None]
                 # Runs of rows that belong to one pivot; each is compared with it as a whole.
@@ -113,14 +113,14 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: i
                         for mine, theirs in zip(marks, agree(flat, sizes), strict=True):
                             passed &= np.bitwise_or.reduceat(same & theirs & mine[at], begin)
                     linked = passed & (100 * both >= percent * either)
-                    yield pa.RecordBatch.from_arrays([pa.array([a[x] for x in own]), pa.array([b[x] for x in own]), pa.array(linked), pa.array(1 - both / either)], names=["a", "b", "linked", "distance"])
+                    yield pa.RecordBatch.from_arrays([pa.array([a[x] for x in own], pa.binary()), pa.array([b[x] for x in own], pa.binary()), pa.array(linked), pa.array(1 - both / either)], names=["a", "b", "linked", "distance"])
 
     spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_PIVOT).cast("int").alias("parts"))
     few = pairs.join(spread, "a").select("a", "b", F.pmod(F.hash("b"), "parts").alias("part"))
     few = few.join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
-    leads = spread.join(texts.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
+    leads = spread.join(texts.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("b"), "text")
     rows = leads.unionByName(few).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
-    return rows.select("a", "b", "text").mapInArrow(task, "a long, b long, linked boolean, distance double")
+    return rows.select("a", "b", "text").mapInArrow(task, "a binary, b binary, linked boolean, distance double")
 
 
 def _alike(n: Column | str, m: Column | str, percent: int) -> Column:

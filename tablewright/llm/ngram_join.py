@@ -50,7 +50,7 @@ def frequent_tokens(docs: DataFrame, k: int) -> np.ndarray:
         size = 0
         for whole in batches:
             for p in range(0, whole.num_rows, 1024):
-                held += shingle_sets(whole.column("text").slice(p, 1024), k, True)
+                held += shingle_sets(whole.column("text").slice(p, 1024), k, True)[0]
                 size = sum(map(len, held))
                 if size > PART:
                     yield out()
@@ -104,7 +104,9 @@ class Orders:
 def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, handle, n_shingles, component_id of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(Orders(frequent_tokens(docs, k), percent))
-    return linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, lambda flat, sizes: shared.value.marks(flat, sizes))
+    found = linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, lambda flat, sizes: shared.value.marks(flat, sizes))
+    shared.destroy()  # linked has written all that needs the orders
+    return found
 
 
 def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:

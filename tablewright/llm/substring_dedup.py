@@ -8,7 +8,8 @@ elect equal anchors. Consecutive windows with one anchor are a run.
 1. Seed: count the runs of each anchor; join the runs with the anchors that occur again.
 2. Extend: if all runs of an anchor have the same words, each of them matches another one
    to both ends. Otherwise runs with equal words are grouped, and one run of each group is
-   extended word by word to both sides: each of its windows is compared by a 128-bit hash.
+   extended word by word to both sides: each of its windows is compared by 128 bits, of two independent hashes of each
+   word; so are the words of runs.
    No pair of a group is ever built, so work is linear in the size of a group.
 3. Keep: overlapping repeated windows form the maximal repeats, which are cut out.
 
@@ -37,7 +38,7 @@ ANCHOR = 8
 #: Words handled at once; positions in a block take PLACE bits of the anchor order.
 WORD_BLOCK = 1 << 20
 PLACE = 22
-_RUN = "anchor long, seg long, _id long, _key long, run long"
+_RUN = "anchor long, seg long, seg2 long, _id long, _key long, run long"
 _WINDOW = "w1 long, w2 long, _id long, _key long, start long"
 _KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, repeats array<struct<start:long,end:long>>"
 
@@ -66,13 +67,13 @@ def _runs(length: int, k: int):
             data, offsets = T.buffers(batch.column("text"))
             ids, keys = (batch.column(c).to_numpy() for c in ("_id", "_key"))
             for a, b in T.blocks(offsets):
-                _, _, hashes, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                _, _, hashes, others, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 parts = []
                 if len(hashes) <= WORD_BLOCK:
-                    parts.append((hashes, 0))
+                    parts.append((hashes, others, 0))
                 else:  # one long document, in blocks that share length - 1 words
-                    parts += [(hashes[p : p + WORD_BLOCK + length - 1], p) for p in range(0, len(hashes) - length + 1, WORD_BLOCK)]
-                for part, base in parts:
+                    parts += [(hashes[p : p + WORD_BLOCK + length - 1], others[p : p + WORD_BLOCK + length - 1], p) for p in range(0, len(hashes) - length + 1, WORD_BLOCK)]
+                for part, other, base in parts:
                     if len(part) < length:
                         continue
                     place, grams = _elected(part, length, k)
@@ -85,9 +86,11 @@ def _runs(length: int, k: int):
                         continue
                     ends = np.flatnonzero(own & np.append(head[1:] | ~own[1:], True)) + 1
                     count = ends - start
-                    seg = T.ranges(part, start, ends + length - 1, T.WORDS_1) ^ T.mix((place[start] - start).astype(T.U) + T.U(1))
+                    offset = (place[start] - start).astype(T.U) + T.U(1)
+                    seg = T.ranges(part, start, ends + length - 1, T.WORDS_1) ^ T.mix(offset)
+                    seg2 = T.ranges(other, start, ends + length - 1, T.WORDS_2) ^ T.mix2(offset)
                     at = row[start]
-                    yield pa.RecordBatch.from_arrays([pa.array(T.signed(grams[place[start]])), pa.array(T.signed(seg)), pa.array(ids[a:b][at]), pa.array(keys[a:b][at]), pa.array((start + base - first[at]) * 64 + count)], names=["anchor", "seg", "_id", "_key", "run"])
+                    yield pa.RecordBatch.from_arrays([pa.array(T.signed(grams[place[start]])), pa.array(T.signed(seg)), pa.array(T.signed(seg2)), pa.array(ids[a:b][at]), pa.array(keys[a:b][at]), pa.array((start + base - first[at]) * 64 + count)], names=["anchor", "seg", "seg2", "_id", "_key", "run"])
 
     return task
 
@@ -103,14 +106,14 @@ def _windows(length: int):
             runs, cut = lists.flatten().to_numpy(), lists.offsets.to_numpy()
             cut = cut - cut[0]
             for a, b in T.blocks(offsets):
-                _, _, hashes, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                _, _, hashes, others, first = T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 own = runs[cut[a] : cut[b]]
                 row = np.repeat(np.arange(b - a), np.diff(cut[a : b + 1]))
                 count = own & 63
                 at = np.repeat(row, count)
                 start = np.repeat(own >> 6, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 begin = first[at] + start
-                w1, w2 = (T.ranges(hashes, begin, begin + length, p) for p in (T.WORDS_1, T.WORDS_2))
+                w1, w2 = (T.ranges(h, begin, begin + length, p) for h, p in ((hashes, T.WORDS_1), (others, T.WORDS_2)))
                 for p in range(0, len(at), T.BLOCK):
                     q = slice(p, p + T.BLOCK)
                     yield pa.RecordBatch.from_arrays([pa.array(T.signed(w1[q])), pa.array(T.signed(w2[q])), pa.array(ids[a:b][at[q]]), pa.array(keys[a:b][at[q]]), pa.array(start[q])], names=["w1", "w2", "_id", "_key", "start"])
@@ -170,14 +173,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         raise ValueError("length must be from anchor to anchor + 62 words")
     texts = T.handled(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
     runs = texts.select("text", "_id", "_key").mapInArrow(_runs(length, anchor), _RUN)
-    seeds = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("seg").alias("low"), F.max("seg").alias("high"))
+    seeds = runs.groupBy("anchor").agg(F.count("*").alias("n"), *[f(c).alias(f"{n}_{c}") for c in ("seg", "seg2") for f, n in ((F.min, "low"), (F.max, "high"))])
     # Written before the join: Spark splits hot keys only where a join reads plain shuffles on both sides.
-    seeds = materialize(seeds.where("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("mixed")), "seeds")
+    seeds = materialize(seeds.where("n > 1").select("anchor", F.expr("low_seg <> high_seg or low_seg2 <> high_seg2").alias("mixed")), "seeds")
     # Written once: the branches below need different columns, and would each shuffle all runs again.
     found = materialize(runs.join(seeds, "anchor"), "runs")
     mixed = found.where("mixed")
-    alike = mixed.groupBy("anchor", "seg").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_key", "run")).alias("first"))
-    mixed = mixed.join(materialize(alike, "alike"), ["anchor", "seg"])
+    alike = mixed.groupBy("anchor", "seg", "seg2").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_key", "run")).alias("first"))
+    mixed = mixed.join(materialize(alike, "alike"), ["anchor", "seg", "seg2"])
     full = found.where("not mixed").unionByName(mixed.where("n > 1"), allowMissingColumns=True).select("_id", "_key", "run")
     probes = mixed.where("n = 1 or first = struct(_id, _key, run)").groupBy("_id", "_key").agg(F.collect_set("run").alias("runs"))
     windows = texts.join(probes, ["_id", "_key"]).mapInArrow(_windows(length), _WINDOW)

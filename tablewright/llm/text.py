@@ -1,9 +1,9 @@
 """Words and hashes of whole batches of texts, in numpy, and row handles in Spark.
 
 A word is a maximal run of bytes other than space and 0x09-0x0D, as `bytes.split()`
-cuts it. `words` gives one polynomial hash for features and sketches; certain pairs of unlike
-words share it. Where identity decides, operators take `identities`: two hashes by mixing
-steps, independent of each other (128 bits), or compare the texts.
+cuts it. It is known by two hashes, independent of each other (128 bits), that mix every 8
+bytes (`identities`); where identity decides, operators take both or compare the texts.
+`spans` gives one polynomial hash for features only: certain pairs of unlike words share it.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,10 +115,37 @@ def blocks(offsets: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
         row = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and 64-bit hash of each word of the rows, and first word of each row (one more than rows)."""
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and two hashes of each word of the rows, and first word of each row (one more than rows)."""
     start, end, first = runs(~SPACE[data], offsets)
-    return start, end, spans(LOWER[data] if lower else data, start, end), first
+    return start, end, *identities(LOWER[data] if lower else data, start, end), first
+
+
+def distinct(hashes: np.ndarray, other: np.ndarray, owner: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The set of hashes of each owner (0 to number - 1): sorted distinct hashes of all, their number
+    per owner, and two 64-bit identities per owner, from the hashes and from their others."""
+    order = np.lexsort((hashes, owner))
+    h, own = hashes[order], owner[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (own[1:] != own[:-1])) if len(h) else np.zeros(0, dtype=bool)
+    h, own, order = h[new], own[new], order[new]
+    sizes = np.bincount(own, minlength=number)
+    live, begin, node = np.flatnonzero(sizes), np.cumsum(sizes) - sizes, np.zeros((number, 2), dtype=U)
+    if len(live):
+        node[live, 0] = np.add.reduceat(mix(h), begin[live])
+        node[live, 1] = np.add.reduceat(mix2(other[order]), begin[live])
+    return h, sizes, node
+
+
+def binary(node: np.ndarray, null: np.ndarray | None = None) -> pa.Array:
+    """Pairs of 64-bit identities as a column of 16 bytes."""
+    out = pa.Array.from_buffers(pa.binary(16), len(node), [None, pa.py_buffer(np.ascontiguousarray(node).tobytes())]).cast(pa.binary())
+    return out if null is None else pc.if_else(pa.array(~null), out, pa.scalar(None, pa.binary()))
+
+
+def halves(column: pa.Array) -> np.ndarray:
+    """The pairs of identities of a column without nulls."""
+    fixed = column.cast(pa.binary(16))
+    return np.frombuffer(fixed.buffers()[1], dtype=U)[2 * fixed.offset : 2 * (fixed.offset + len(fixed))].reshape(-1, 2) if len(fixed) else np.zeros((0, 2), dtype=U)
 
 
 def runs(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -42,7 +42,7 @@ def empty(spark):
 def test_word_hashes_do_not_depend_on_the_batch():
     texts = ["a b  c", None, "", "b\tc d", "é  a", "x" * 50]
     data, offsets = T.buffers(pa.array(texts))
-    start, end, hashes, first = T.words(data, offsets)
+    start, end, hashes, others, first = T.words(data, offsets)
     seen = collections.defaultdict(set)
     for i, text in enumerate(texts):
         own = [bytes(data[s:e]) for s, e in zip(start[first[i] : first[i + 1]], end[first[i] : first[i + 1]])]
@@ -59,6 +59,27 @@ def test_long_texts_hash_like_short_ones():
     assert len(set(T.words(data, offsets)[2].tolist())) == 1
 
 
+def twins():
+    """Two words of 1,024 letters that have one polynomial hash modulo 2**64, whatever its odd base."""
+    parity = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    return parity, parity.translate(str.maketrans("ab", "ba"))
+
+
+def test_no_hash_confuses_the_twins(spark):
+    one, two = twins()
+    data, offsets = T.buffers(pa.array([one, two]))
+    _, _, hashes, others, _ = T.words(data, offsets)
+    assert len(set(hashes.tolist())) == len(set(others.tolist())) == 2
+    common = [f"w{i}" for i in range(34)]
+    rows = [(i, " ".join([*common[:20], word, *common[20:]]), "en", "s", 0) for i, word in enumerate((one, two))]
+    assert {r.n_removed for r in substring_dedup.remove_repeats(frame(spark, rows)).collect()} == {0}
+    got = ngram_join.jaccard_components(frame(spark, rows), 4, 85).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(0, 32, 0), (1, 32, 1)] == brute_components(rows, 4, 85)
+    lines = [(i, f"{word} b c", "en", "s", 0) for i, word in enumerate((one, two))]
+    got = line_dedup.without_repeated_lines(frame(spark, lines)).select("row.doc_id", "n_lines", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_lines(lines, 90)
+
+
 # op1
 
 
