@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +61,25 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 _left_behind: set[str] = set()
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded():
+    """A list of the scratch paths that are made inside the block."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders[:] = [r for r in _recorders if r is not paths]
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch paths that no frame reads any more."""
+    for path in paths:
+        fs, target = hadoop_path(spark, path)
+        fs.delete(target, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -68,7 +88,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if own not in _left_behind:
         _left_behind.add(own)
         atexit.register(_remove, *hadoop_path(spark, own))
-    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+    for paths in _recorders:
+        paths.append(path)
+    return path
 
 
 def _remove(fs, path) -> None:
