@@ -36,6 +36,8 @@ ROUNDS = 2
 PER_PIVOT = 256
 
 Keys = Callable[[pa.Array, list[np.ndarray]], tuple[np.ndarray, np.ndarray]]
+#: Whether each token of sets (flat, sizes) is in its set's prefix, under each further order.
+Marks = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
 
 
 def shingle_sets(texts: pa.Array, k: int, lower: bool) -> tuple[list[np.ndarray], np.ndarray]:
@@ -52,12 +54,14 @@ def shingle_sets(texts: pa.Array, k: int, lower: bool) -> tuple[list[np.ndarray]
     return out, np.concatenate(nodes)
 
 
-def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
-    """doc_id, handle, n_shingles, node (null without shingles) and candidate keys of each row.
+def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool, further: Marks | None = None, orders: int = 0) -> DataFrame:
+    """doc_id, handle, n_shingles, node (null without shingles) and candidate keys of each row, and
+    its prefix tokens under each further order (p0, p1 ..).
 
     Of equal sets in one task only the first has its keys, so copies are few where keys meet.
     """
-    names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys"]
+    prefixes = [f"p{i}" for i in range(orders)]
+    names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys", *prefixes]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -71,23 +75,26 @@ def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
                 new = np.array([n not in seen and not seen.add(n) for n in node.to_pylist()], dtype=bool)
                 length = np.diff(cut)
                 found, cut = found[np.repeat(new, length)], np.concatenate(([0], np.cumsum(length * new)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), node, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(np.ascontiguousarray(found))))], names=names
-                )
+                use = new & (sizes > 0)
+                flat = np.concatenate([x for x, u in zip(sets, use, strict=True) if u] or [np.zeros(0, dtype=T.U)])
+                lists = [(np.ascontiguousarray(found), cut)]
+                for mark in further(flat, sizes[use]) if orders and len(flat) else [np.zeros(0, dtype=bool)] * orders:
+                    marked = np.zeros(len(sizes), dtype=np.int64)
+                    if len(flat):
+                        marked[use] = np.add.reduceat(mark.astype(np.int64), np.cumsum(sizes[use]) - sizes[use])
+                    lists.append((flat[mark], np.concatenate(([0], np.cumsum(marked)))))
+                columns = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(T.signed(values))) for values, at in lists]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), node, *columns], names=names)
 
     rows = T.handled(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node binary, keys array<long>")
+    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node binary, keys array<long>" + "".join(f", {p} array<long>" for p in prefixes))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int, agree: Callable | None = None) -> DataFrame:
-    """pairs (a, b) with `linked` and `distance` (Jaccard).
-
-    `agree` marks the prefix tokens of sets (flat, sizes) under each further order; a pair that
-    shares none under one of them is not linked.
-    """
+def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:
+    """pairs (a, b) with `linked` and `distance` (Jaccard)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, kept, marks = None, np.zeros(0, dtype=T.U), None
+        lead, kept = None, np.zeros(0, dtype=T.U)
         for whole in batches:
             for p in range(0, whole.num_rows, 1024):
                 batch = whole.slice(p, 1024)
@@ -98,7 +105,6 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: i
                 for i, j in zip([-1, *heads], [*heads, len(b)], strict=True):
                     if i >= 0:
                         lead, kept = a[i], sets[i]
-                        marks = agree(kept, np.array([len(kept)])) if agree else None
                     own = [x for x in range(i + 1, j) if a[x] == lead]
                     if not own:
                         continue
@@ -108,11 +114,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: i
                     same = kept[at] == flat
                     both = np.add.reduceat(same.astype(np.int64), begin)
                     either = len(kept) + sizes - both
-                    passed = np.ones(len(own), dtype=bool)
-                    if marks is not None:  # a shared token that is in both prefixes, under each further order
-                        for mine, theirs in zip(marks, agree(flat, sizes), strict=True):
-                            passed &= np.bitwise_or.reduceat(same & theirs & mine[at], begin)
-                    linked = passed & (100 * both >= percent * either)
+                    linked = 100 * both >= percent * either
                     yield pa.RecordBatch.from_arrays([pa.array([a[x] for x in own], pa.binary()), pa.array([b[x] for x in own], pa.binary()), pa.array(linked), pa.array(1 - both / either)], names=["a", "b", "linked", "distance"])
 
     spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_PIVOT).cast("int").alias("parts"))
@@ -128,9 +130,22 @@ def _alike(n: Column | str, m: Column | str, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = False, agree: Callable | None = None) -> DataFrame:
-    """doc_id, handle, n_shingles, component_id (least doc_id of the component; own where unlinked) of each row."""
-    rows = nodes(docs, keys, k, lower)
+def agreeing(pairs: DataFrame, prefixes: DataFrame, orders: int) -> DataFrame:
+    """The pairs (a, b) that share a prefix token under every further order, too."""
+    for side in ("b", "a"):
+        own = prefixes.select(F.col("node").alias(side), *[F.col(f"p{i}").alias(f"{side}{i}") for i in range(orders)])
+        pairs = pairs.join(own, side)
+    for i in range(orders):
+        pairs = pairs.where(F.arrays_overlap(f"a{i}", f"b{i}"))
+    return pairs.select("a", "b")
+
+
+def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = False, further: Marks | None = None, orders: int = 0) -> DataFrame:
+    """doc_id, handle, n_shingles, component_id (least doc_id of the component; own where unlinked) of each row.
+
+    With `further` orders a pair must share prefix tokens under each of them before its texts are fetched.
+    """
+    rows = nodes(docs, keys, k, lower, further, orders)
     posted = rows.where("node is not null").select("node", "n_shingles", F.explode("keys").alias("key"))
     again = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     # One row for each node of a key; keys of one node only are done.
@@ -144,6 +159,9 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
     shared = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low <> high").select("key", F.col("low").alias("pivot"), "size")
     held = materialize(held.join(shared, "key"), "postings")
     rows = materialize(rows.drop("keys"), "nodes")
+    if orders:
+        prefixes = rows.join(held.select("node").distinct(), "node").groupBy("node")
+        prefixes = materialize(prefixes.agg(*[F.max_by(f"p{i}", F.size(f"p{i}")).alias(f"p{i}") for i in range(orders)]), "prefixes")
     first = rows.join(held.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("_id", "_key")).alias("at")).select("node", "at._id", "at._key")
     texts = T.handled(docs, "text").join(first, ["_id", "_key"]).groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(texts, "texts")
@@ -167,7 +185,9 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
         pairs = pairs.where(_alike("n", "lead_n", percent)).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = materialize(verified(materialize(pairs, "pairs"), texts, k, lower, percent, agree), "tested")
+        if orders:
+            pairs = agreeing(pairs, prefixes, orders)
+        found = materialize(verified(materialize(pairs, "pairs"), texts, k, lower, percent), "tested")
         tested = found if tested is None else tested.unionByName(found)
         roots = components(tested.where("linked"))
     low = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))

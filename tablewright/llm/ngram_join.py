@@ -2,11 +2,13 @@
 
 A document's tokens are its distinct word shingles. Under any one order of all tokens, two
 sets of Jaccard t or more share a token among the first |x| - ceil(t |x|) + 1 of each. The
-first order makes the candidates; a candidate pair must also share prefix tokens under
-ORDERS - 1 further orders before its sets are intersected in full.
+first order makes the candidates. Their prefixes under ORDERS - 1 further orders are joined to
+them next, and pairs that share no token under one of them are done; only then are texts
+fetched and sets intersected in full.
 
 All orders put rare tokens first: those not known to be frequent by a hash (another one for
-each order), then the frequent ones by count. Frequent tokens are found over all documents
+each order), then the frequent ones by count; further orders take CLASS of them with like
+counts as a class, ordered by their hash. Frequent tokens are found over all documents
 by counting in parts: a part of PART tokens reports those it has LOCAL times or more. The
 FREQUENT most frequent reported ones are broadcast (8 bytes each). Any order gives the same
 links; this one keeps common passages out of the prefixes.
@@ -34,6 +36,7 @@ ORDERS = 3
 FREQUENT = 1 << 17
 LOCAL = 4
 PART = 1 << 22
+CLASS = 1 << 10
 FREQUENT_BIT = T.U(1 << 63)
 
 
@@ -74,7 +77,8 @@ class Orders:
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
             known = self.frequent[at] == tokens
-            rank[known] = FREQUENT_BIT | self.by_hash[at[known]].astype(T.U)
+            place = self.by_hash[at[known]].astype(T.U)
+            rank[known] = FREQUENT_BIT | (place if order == 0 else (place // T.U(CLASS)) << T.U(32) | rank[known] >> T.U(31))
         return rank
 
     def prefix(self, tokens: np.ndarray, order: int, ranks: np.ndarray | None = None) -> np.ndarray:
@@ -104,7 +108,7 @@ class Orders:
 def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, handle, n_shingles, component_id of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(Orders(frequent_tokens(docs, k), percent))
-    found = linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, lambda flat, sizes: shared.value.marks(flat, sizes))
+    found = linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, lambda flat, sizes: shared.value.marks(flat, sizes), ORDERS - 1)
     shared.destroy()  # linked has written all that needs the orders
     return found
 

@@ -222,6 +222,25 @@ def test_jaccard_components(spark, rows, k, percent):
     assert sorted(map(tuple, got)) == brute_components(rows, k, percent)
 
 
+def test_further_orders_spare_verifications(spark, monkeypatch):
+    """Fewer pairs are verified under three orders than under one, with the same result."""
+    rows = []
+    for i in range(80):  # two documents each share a run of 12 words of 60: candidates, but not alike
+        w = [f"s{i // 2}w{j}" for j in range(12)] + [f"x{i}y{j}" for j in range(48)]
+        rows.append((i, " ".join(w), "en", "s", 0))
+    number = []
+    plain = linking.verified
+    monkeypatch.setattr(linking, "verified", lambda pairs, *rest: number.append(pairs.count()) or plain(pairs, *rest))
+    results = []
+    for orders in (1, 3):
+        monkeypatch.setattr(ngram_join, "ORDERS", orders)
+        results.append(sorted(map(tuple, ngram_join.jaccard_components(frame(spark, rows), 4, 85).select("doc_id", "n_shingles", "component_id").collect())))
+        number.append(-1)
+    assert results[0] == results[1] == brute_components(rows, 4, 85)
+    cut = number.index(-1)
+    assert sum(number[cut + 1 : -1]) < sum(number[:cut])
+
+
 def test_components_close_without_pivots(spark, monkeypatch):
     """The last round alone, and frequent tokens found in small parts."""
     monkeypatch.setattr(linking, "ROUNDS", 1)
