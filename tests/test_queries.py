@@ -40,3 +40,9 @@ def test_query(spark, db, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["c_mktsegment", "n", "total"]
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_anti_missing_looks_at_orders_of_any_price(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,), (3,), (None,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, 500000.0), (2, 10.0), (2, 20.0), (None, 5.0)], "o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    assert {r[0] for r in QUERIES["anti_missing"](spark, str(tmp_path)).collect()} == {3, None}
