@@ -111,7 +111,7 @@ def segment_places(low: np.ndarray, start: np.ndarray, end: np.ndarray, first: n
             np.add.at(cover, stop[long] + k - 1, -1)
         for s, e in zip(*(x.tolist() for x in equal_runs((np.cumsum(cover)[:-1] > 0) * row)), strict=True):
             own = found[row[s] - 1]
-            if own and q + s < own[-1][1]:
+            if own and q + s <= own[-1][1]:
                 own[-1] = (own[-1][0], max(own[-1][1], q + e))
             else:
                 own.append((q + s, q + e))
