@@ -3,8 +3,11 @@
 Used by operators that name candidate keys for a text so that any two texts to be linked
 share a key. Texts with equal sets are one node, so copies cost one row each.
 
-1. Count the keys; join the keys of each node with those that occur more than once.
-2. In rounds, each key with nodes of more than one component elects a pivot, and the other
+1. Sort the keys with the nodes that have them, by size; a node that fits no neighbour in size
+   is done in this key, as are keys of one node.
+2. Nodes of keys of more than LARGE nodes are verified against one pivot, that of their
+   largest key, so a dense group of copies costs one comparison a node and not one a key.
+   Then, in rounds, each key with nodes of more than one component elects a pivot, and the other
    components' nodes are verified against it. Links found join components, so a dense group
    of near copies closes after pivots instead of all its pairs. Keys of two nodes are done
    after the first round.
@@ -13,6 +16,10 @@ share a key. Texts with equal sets are one node, so copies cost one row each.
    Jaccard distance (to the first pivot) or the sizes rule out. So no link is lost. Two nodes
    that share many keys meet where their keys before the shared one differ, not at each.
 
+Before texts are fetched, a pair must pass the parity maps of its sets: MAP bits, each the
+parity of the shingles that fall on it. At most as many bits differ as shingles do, so no link
+is lost.
+
 Pairs meet by pivot, and the nodes of a pivot are spread over as many tasks as they need.
 A node is known by 128 bits: two independent hashes of words, of shingles made of them, and of
 the set. Within a verified pair, shingles are told apart by 64 mixed bits.
@@ -34,6 +41,10 @@ from . import text as T
 ROUNDS = 2
 #: Nodes compared with one copy of a pivot.
 PER_PIVOT = 256
+#: Nodes of a key from which its nodes first meet one pivot only.
+LARGE = 8
+#: Bits of a set's parity map.
+MAP = 1024
 
 Keys = Callable[[pa.Array, list[np.ndarray]], tuple[np.ndarray, np.ndarray]]
 #: Whether each token of sets (flat, sizes) is in its set's prefix, under each further order.
@@ -54,14 +65,19 @@ def shingle_sets(texts: pa.Array, k: int, lower: bool) -> tuple[list[np.ndarray]
     return out, np.concatenate(nodes)
 
 
-def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool, further: Marks | None = None, orders: int = 0) -> DataFrame:
-    """doc_id, handle, n_shingles, node (null without shingles) and candidate keys of each row, and
-    its prefix tokens under each further order (p0, p1 ..).
+def parities(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The parity maps of sets (flat, sizes)."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    odd = np.bincount(row * MAP + (flat >> T.U(20) & T.U(MAP - 1)).astype(np.int64), minlength=len(sizes) * MAP) & 1
+    return pa.array([x.tobytes() for x in np.packbits(odd.astype(np.uint8).reshape(-1, MAP), axis=1)], pa.binary())
+
 
-    Of equal sets in one task only the first has its keys, so copies are few where keys meet.
+def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
+    """doc_id, handle, n_shingles, node (null without shingles), candidate keys and parity map of each row.
+
+    Of equal sets in one task only the first has its keys and map, so copies are few where keys meet.
     """
-    prefixes = [f"p{i}" for i in range(orders)]
-    names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys", *prefixes]
+    names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys", "map"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -77,17 +93,31 @@ def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool, further: Marks | Non
                 found, cut = found[np.repeat(new, length)], np.concatenate(([0], np.cumsum(length * new)))
                 use = new & (sizes > 0)
                 flat = np.concatenate([x for x, u in zip(sets, use, strict=True) if u] or [np.zeros(0, dtype=T.U)])
-                lists = [(np.ascontiguousarray(found), cut)]
-                for mark in further(flat, sizes[use]) if orders and len(flat) else [np.zeros(0, dtype=bool)] * orders:
-                    marked = np.zeros(len(sizes), dtype=np.int64)
-                    if len(flat):
-                        marked[use] = np.add.reduceat(mark.astype(np.int64), np.cumsum(sizes[use]) - sizes[use])
-                    lists.append((flat[mark], np.concatenate(([0], np.cumsum(marked)))))
-                columns = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(T.signed(values))) for values, at in lists]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), node, *columns], names=names)
+                held = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(np.ascontiguousarray(found))))
+                at = pa.array(np.cumsum(use) - 1, mask=~use)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), node, held, parities(flat, sizes[use]).take(at)], names=names)
 
     rows = T.handled(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node binary, keys array<long>" + "".join(f", {p} array<long>" for p in prefixes))
+    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node binary, keys array<long>, map binary")
+
+
+def prefixed(texts: DataFrame, k: int, lower: bool, further: Marks, orders: int) -> DataFrame:
+    """node and its prefix tokens under each further order (p0, p1 ..)."""
+    names = ["node", *[f"p{i}" for i in range(orders)]]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for p in range(0, whole.num_rows, 1024):
+                batch = whole.slice(p, 1024)
+                sets, _ = shingle_sets(batch.column("text"), k, lower)
+                flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
+                columns = []
+                for mark in further(flat, sizes):
+                    cut = np.concatenate(([0], np.cumsum(np.add.reduceat(mark.astype(np.int64), np.cumsum(sizes) - sizes))))
+                    columns.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(flat[mark]))))
+                yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], names=names)
+
+    return texts.select("node", "text").mapInArrow(task, "node binary" + "".join(f", {p} array<long>" for p in names[1:]))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:
@@ -125,11 +155,56 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: i
     return rows.select("a", "b", "text").mapInArrow(task, "a binary, b binary, linked boolean, distance double")
 
 
+def _fitting(percent: int):
+    """One row for each node of a key, from rows sorted by key, size and node.
+
+    In order of size, a node that fits none of its two neighbours fits no other node of the key.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, node = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros((0, 2), dtype=T.U)
+        before = np.zeros(0, dtype=bool)  # whether the last row, which waits for the next, fits the one before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.concatenate((key, batch.column("key").to_numpy()))
+            n, node = np.concatenate((n, batch.column("n").to_numpy())), np.concatenate((node, T.halves(batch.column("node"))))
+            new = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]).any(axis=1))
+            key, n, node = key[new], n[new], node[new]
+            fits = (key[1:] == key[:-1]) & (n[:-1] * 100 >= n[1:] * percent)
+            up = np.concatenate((before if len(before) else [False], fits))
+            use = np.flatnonzero(up[:-1] | fits)
+            yield pa.RecordBatch.from_arrays([pa.array(key[use]), pa.array(n[use]), T.binary(node[use])], names=["key", "n", "node"])
+            key, n, node, before = key[-1:], n[-1:], node[-1:], up[-1:]
+        if before.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), T.binary(node)], names=["key", "n", "node"])
+
+    return task
+
+
 def _alike(n: Column | str, m: Column | str, percent: int) -> Column:
     n, m = F.col(n), F.col(m)
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def close(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parity maps do not rule a link out."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=T.U).reshape(-1, MAP // 64) for c in ("map_a", "map_b"))
+            apart = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            need = (both * percent + 99 + percent) // (100 + percent)  # least number of common shingles
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= both - 2 * need))
+
+    for side in ("a", "b"):
+        pairs = pairs.join(maps.withColumnsRenamed({"node": side, "n": f"n_{side}", "map": f"map_{side}"}), side)
+    return pairs.select("a", "b", "n_a", "n_b", "map_a", "map_b").mapInArrow(task, "a binary, b binary")
+
+
 def agreeing(pairs: DataFrame, prefixes: DataFrame, orders: int) -> DataFrame:
     """The pairs (a, b) that share a prefix token under every further order, too."""
     for side in ("b", "a"):
@@ -140,54 +215,56 @@ def agreeing(pairs: DataFrame, prefixes: DataFrame, orders: int) -> DataFrame:
     return pairs.select("a", "b")
 
 
-def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = False, further: Marks | None = None, orders: int = 0) -> DataFrame:
+def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = False, further: Marks | None = None, orders: int = 0, mapped: bool = True) -> DataFrame:
     """doc_id, handle, n_shingles, component_id (least doc_id of the component; own where unlinked) of each row.
 
-    With `further` orders a pair must share prefix tokens under each of them before its texts are fetched.
+    With `further` orders a pair must share prefix tokens under each of them before it is verified;
+    `mapped` pairs must pass the parity maps before that.
     """
-    rows = nodes(docs, keys, k, lower, further, orders)
-    posted = rows.where("node is not null").select("node", "n_shingles", F.explode("keys").alias("key"))
-    again = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    # One row for each node of a key; keys of one node only are done.
-    held = posted.join(again, "key").groupBy("key", "node").agg(F.first("n_shingles").alias("n"))
-    held = materialize(held, "postings")
-    # In order of size, a node that fits none of its two neighbours fits no other node of the key.
-    by_size = Window.partitionBy("key").orderBy("n", "node")
-    fits = F.coalesce(F.lag("n").over(by_size) * 100 >= F.col("n") * percent, F.lit(False))
-    fits = fits | F.coalesce(F.col("n") * 100 >= F.lead("n").over(by_size) * percent, F.lit(False))
-    held = materialize(held.select("key", "node", "n", fits.alias("fits")).where("fits").drop("fits"), "postings")
-    shared = held.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size")).where("low <> high").select("key", F.col("low").alias("pivot"), "size")
-    held = materialize(held.join(shared, "key"), "postings")
-    rows = materialize(rows.drop("keys"), "nodes")
-    if orders:
-        prefixes = rows.join(held.select("node").distinct(), "node").groupBy("node")
-        prefixes = materialize(prefixes.agg(*[F.max_by(f"p{i}", F.size(f"p{i}")).alias(f"p{i}") for i in range(orders)]), "prefixes")
-    first = rows.join(held.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("_id", "_key")).alias("at")).select("node", "at._id", "at._key")
+    rows = materialize(nodes(docs, keys, k, lower), "nodes")
+    posted = rows.where("node is not null").select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    # One shuffle and one sort; keys of one node are done.
+    held = posted.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node")
+    held = materialize(held.mapInArrow(_fitting(percent), "key long, n long, node binary"), "postings")
+    shared = held.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("size"))
+    held = materialize(held.join(shared.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), "size"), "key"), "postings")
+    met = held.select("node").distinct()
+    maps = rows.where("map is not null").join(met, "node").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("map").alias("map"))
+    maps = materialize(maps, "maps")
+    first = rows.join(met, "node").groupBy("node").agg(F.min(F.struct("_id", "_key")).alias("at")).select("node", "at._id", "at._key")
     texts = T.handled(docs, "text").join(first, ["_id", "_key"]).groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(texts, "texts")
+    if orders:
+        prefixes = materialize(prefixed(texts, k, lower, further, orders), "prefixes")
 
     tested, roots = None, None
-    for turn in range(ROUNDS + 1):
-        now = held if roots is None else held.where("size > 2").join(roots, "node", "left")
-        now = now.withColumn("root", F.coalesce("root", "node") if roots is not None else F.col("node"))
-        if turn:
+    for turn in range(-1, ROUNDS + 1):
+        if turn < 1:
+            now = held.where("node <> pivot")
+            if turn < 0:  # the pivot of each node's largest key
+                now = now.where(F.col("size") > LARGE).groupBy("node").agg(F.max_by(F.struct("pivot", "pivot_n", "n"), F.struct("size", "key")).alias("p")).select("node", "p.*")
+            elif roots is not None:
+                far = roots.withColumnsRenamed({"node": "pivot", "root": "pivot_root"})
+                now = now.join(roots, "node", "left").join(far, "pivot", "left").where(F.coalesce("root", "node") != F.coalesce("pivot_root", "pivot"))
+            pairs = now.withColumnsRenamed({"pivot": "lead", "pivot_n": "lead_n"})
+        else:
+            now = held.where("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             still = now.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.min_by(F.struct("node", "root", "n"), F.xxhash64("node", F.lit(turn))).alias("p")).where("l <> h")
             now = materialize(now.join(still.select("key", F.col("p.node").alias("lead"), F.col("p.root").alias("lead_root"), F.col("p.n").alias("lead_n")), "key"), "open")
             if now.isEmpty():
                 break
-        if turn == 0:
-            leads = held.select(F.col("node").alias("lead"), F.col("n").alias("lead_n")).join(shared.select(F.col("pivot").alias("lead")).distinct(), "lead").distinct()
-            pairs = now.where("node <> pivot").withColumnRenamed("pivot", "lead").select("lead", "node", "n").distinct().join(leads, "lead")
-        elif turn < ROUNDS:
-            pairs = now.where("root <> lead_root")
-        else:
-            pairs = _rest(now, tested, percent)
+            pairs = now.where("root <> lead_root") if turn < ROUNDS else _rest(now, tested, percent)
         pairs = pairs.where(_alike("n", "lead_n", percent)).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        if mapped:
+            pairs = close(pairs, maps, percent)
         if orders:
             pairs = agreeing(pairs, prefixes, orders)
-        found = materialize(verified(materialize(pairs, "pairs"), texts, k, lower, percent), "tested")
+        pairs = materialize(pairs, "pairs")
+        if turn < 0 and pairs.isEmpty():
+            continue
+        found = materialize(verified(pairs, texts, k, lower, percent), "tested")
         tested = found if tested is None else tested.unionByName(found)
         roots = components(tested.where("linked"))
     low = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))

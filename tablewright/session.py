@@ -23,6 +23,9 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: Spark's setting by which the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "tablewright", master: str | None = None, **conf: str) -> SparkSession:
     """Build a session; ``conf`` keys use ``__`` for dots."""
@@ -105,9 +108,15 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage like a checkpoint, computes the frame once, keeps it
-    columnar, and survives the loss of executors.
+    columnar, and survives the loss of executors. Spark removes the shuffle files
+    of the write when it is done, not only when the driver collects its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import duckdb
@@ -687,3 +688,51 @@ def test_secret_scan_of_nothing(spark):
 def test_queries_are_registered():
     assert {re.match(r"op\d+|pipeline", k)[0] for k in queries.QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
     assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_fitting_nodes_do_not_depend_on_the_batches():
+    """Of a key's nodes those stay that fit a neighbour in size, once each, wherever batches end."""
+    draw = np.random.default_rng(5)
+    rows = sorted({(int(k), int(n), int(n) * 7 + int(i)) for k, n, i in zip(draw.integers(0, 40, 300), draw.integers(10, 60, 300), draw.integers(0, 3, 300), strict=True)})
+    rows = sorted(rows + rows[::3])
+    want = {r for r in rows if any(o[0] == r[0] and o != r and min(o[1], r[1]) * 100 >= max(o[1], r[1]) * 85 for o in rows)}
+
+    def batch(part):
+        node = np.array([[x[2], 1] for x in part], dtype=np.uint64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int64()), T.binary(node)], names=["key", "n", "node"])
+
+    for size in (1, 2, 7, 1000):
+        out = [b for b in linking._fitting(85)(batch(rows[p : p + size]) for p in range(0, len(rows), size))]
+        got = [(k, n, int(v[0])) for b in out for k, n, v in zip(b.column("key").to_pylist(), b.column("n").to_pylist(), T.halves(b.column("node")), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_parity_maps_never_part_alike_sets():
+    """At most as many bits of two maps differ as tokens do, and far sets of like size differ in more than a link allows."""
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 2**63, 400, dtype=np.uint64)
+    for changed in (0, 1, 20, 60, 200):
+        other = np.concatenate((base[changed:], draw.integers(0, 2**63, changed, dtype=np.uint64)))
+        maps = linking.parities(np.concatenate((base, other)), np.array([400, 400]))
+        a, b = (np.frombuffer(m.as_py(), dtype=np.uint64) for m in maps)
+        apart = int(np.bitwise_count(a ^ b).sum())
+        assert apart <= 2 * changed and (apart > 64) == (changed >= 60)  # 64 of 800 may differ at 85 percent
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    from tablewright import session
+
+    before = spark.conf.get(session.CLEANUP)
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = tracker.getAllBlocks()
+        return sum(blocks.apply(i).isShuffle() for i in range(blocks.size()))
+
+    held = shuffled()
+    out = session.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    end = time.time() + 10  # Spark removes the files beside the query
+    while shuffled() > held and time.time() < end:
+        time.sleep(0.1)
+    assert shuffled() <= held
+    assert out.count() == 7 and spark.conf.get(session.CLEANUP) == before
