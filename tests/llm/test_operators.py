@@ -719,6 +719,17 @@ def test_parity_maps_never_part_alike_sets():
         assert apart <= 2 * changed and (apart > 64) == (changed >= 60)  # 64 of 800 may differ at 85 percent
 
 
+def test_dense_groups_of_copies_take_few_verifications(spark, monkeypatch):
+    """Copies that all differ a little meet about one pivot each, under signature bands as well."""
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*base[:k], f"x{i}", *base[k + 1 :]]), "en", "s", 0) for i, k in enumerate(range(0, 120, 3))]
+    number, plain = [], linking.verified
+    monkeypatch.setattr(linking, "verified", lambda pairs, *rest: number.append(pairs.count()) or plain(pairs, *rest))
+    got = sorted(map(tuple, fingerprints.near_duplicates(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == brute_components(rows, 5, 80, lower=False)
+    assert sum(number) <= 2 * len(rows)
+
+
 def test_a_written_step_leaves_no_shuffle_files(spark):
     from tablewright import session
 
