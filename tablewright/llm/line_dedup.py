@@ -16,7 +16,8 @@ earlier line (by doc_id, then by place in the document) has a Jaccard similarity
    the first one only; there, a class that is not alike after all is compared with the
    others in a second turn. So large groups of variants need about one comparison a class.
    Pairs are not compared where their sizes, their words after the shared one (positions) or
-   64-bit maps of their words (bits that differ are words that differ) rule the threshold out.
+   64-bit maps of their words rule the threshold out. A bit is the parity of the words that
+   fall on it, so words that two lines share cancel out: at most as many bits differ as words do.
 
 Texts are shuffled once, where lines are removed. The lines to compare are found by a second
 scan, screened by a sketch of their hashes (lines let through by chance are not used).
@@ -144,7 +145,7 @@ def _lines(shared, percent: int):
                     continue
                 begin = np.cumsum(sizes) - sizes
                 many = counts[_cell(flat)]
-                bits = np.bitwise_or.reduceat(T.U(1) << ((flat >> T.U(20)) & T.U(63)), begin)
+                bits = np.bitwise_xor.reduceat(T.U(1) << ((flat >> T.U(20)) & T.U(63)), begin)
                 rank = (many.astype(T.U) << T.U(54)) | (T.mix(flat) >> T.U(10))
                 # The first words of each line by rank: as many as its prefix has.
                 length = np.where((sizes + 1) * percent <= sizes * 100, sizes - (sizes * percent + 99) // 100 + 1, 0)
@@ -289,7 +290,8 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
         """The later one of each pair that is alike."""
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         screen = context.broadcast(sketch(ends, _nodes))
-        texts = docs.select("text").mapInArrow(_texts(screen), "node binary, text string").join(ends, "node", "left_semi")
+        # No join with the ends: it would shuffle the same texts, and scan them twice where Spark broadcasts the ends.
+        texts = docs.select("text").mapInArrow(_texts(screen), "node binary, text string")
         texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
         screen.destroy()
         found = verified(pairs.select("a", "b"), texts, 1, False, percent).where("linked")
