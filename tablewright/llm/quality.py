@@ -41,7 +41,7 @@ HIDDEN = 32
 EPOCHS = 40
 #: The last rows of the vocabulary stand for shapes: lower case, Capital, UPPER, mixed, digits, other.
 SHAPES = 8
-CHUNK = 1 << 15
+CHUNK = 1 << 12
 FEATURES = 3 * SIZE + 4
 
 _draw = np.random.Generator(np.random.PCG64(11))
@@ -147,25 +147,32 @@ def pooled(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """FEATURES numbers for each text."""
     data, offsets = T.buffers(texts)
     out = np.zeros((len(offsets) - 1, FEATURES))
+    # What a word adds to its document's sums, made once for each row of the vocabulary, not for each word.
+    weight = vectors[:, -1:]
+    words = vectors[:, :-1] * weight
+    table = np.column_stack([words, words * words, weight]).astype(np.float64)
+    shapes = vectors[-SHAPES:, :-1].astype(np.float64)
     for a, b in T.blocks(offsets):
         row, shape, first = units(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         n = np.diff(first).astype(float)
         doc = np.repeat(np.arange(b - a), np.diff(first))
         again = [np.bincount(doc[k:][(row[k:] == row[:-k]) & (doc[k:] == doc[:-k])], minlength=b - a) / np.maximum(n, 1) for k in (1, 2)]
-        sums = np.zeros((b - a, 3 * SIZE + 1))
-        for p in range(0, len(row), CHUNK):
-            q = min(p + CHUNK, len(row))
-            docs = np.arange(np.searchsorted(first, p, "right") - 1, np.searchsorted(first, q, "left"))
-            docs = docs[np.diff(first)[docs] > 0]
-            heads = np.maximum(first[docs] - p, 0)
-            weight = vectors[row[p:q], -1:]
-            words = vectors[row[p:q], :-1] * weight
-            shapes = np.add.reduceat(vectors[shape[p:q], :-1], heads, axis=0, dtype=np.float64)
-            sums[docs] += np.column_stack([np.add.reduceat(words, heads, axis=0, dtype=np.float64), np.add.reduceat(words * words, heads, axis=0, dtype=np.float64), shapes, np.add.reduceat(weight, heads, dtype=np.float64)])
+        sums = np.zeros((b - a, 2 * SIZE + 1))
+        # Each word of a document once, with its number.
+        code = np.sort(doc * VOCABULARY + row)
+        heads = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, dtype=np.int64)
+        times, code = np.diff(np.append(heads, len(code))).astype(np.float64), code[heads]
+        for p in range(0, len(code), CHUNK):
+            docs, rows = np.divmod(code[p : p + CHUNK], VOCABULARY)
+            begin = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+            part = table[rows]
+            part *= times[p : p + CHUNK, None]
+            sums[docs[begin]] += np.add.reduceat(part, begin, axis=0)
+        shaped = np.bincount(doc * SHAPES + shape - (VOCABULARY - SHAPES), minlength=(b - a) * SHAPES).reshape(-1, SHAPES) @ shapes
         mass, number = np.maximum(sums[:, -1:], 1e-9), np.maximum(n, 1)[:, None]
         mean = sums[:, :SIZE] / mass
         spread = np.sqrt(np.maximum(sums[:, SIZE : 2 * SIZE] / mass - mean * mean, 0))
-        out[a:b] = np.column_stack([mean, spread, sums[:, 2 * SIZE : 3 * SIZE] / number, np.log1p(n), np.log1p(np.diff(offsets[a : b + 1])), *again])
+        out[a:b] = np.column_stack([mean, spread, shaped / number, np.log1p(n), np.log1p(np.diff(offsets[a : b + 1])), *again])
     return out
 
 
