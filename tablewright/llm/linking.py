@@ -12,9 +12,11 @@ share a key. Texts with equal sets are one node, so copies cost one row each.
    of near copies closes after pivots instead of all its pairs. Keys of two nodes are done
    after the first round.
 3. Keys that are still open after the rounds: nodes outside a key's largest component are
-   verified against the rest of the key, save pairs that the triangle inequality of the
-   Jaccard distance (to the first pivot) or the sizes rule out. So no link is lost. Two nodes
-   that share many keys meet where their keys before the shared one differ, not at each.
+   compared with the rest of the key, in blocks of at most BLOCK of both inside a task. Only
+   pairs that the sizes, the triangle inequality of the Jaccard distance (to the first pivot)
+   and the parity maps let through become rows, and are verified. So no link is lost, and
+   pairs that cannot be links are never shuffled. Two nodes that share many keys meet where
+   their keys before the shared one differ, not at each.
 
 Before texts are fetched, a pair must pass the parity maps of its sets: MAP bits, each the
 parity of the shingles that fall on it. At most as many bits differ as shingles do, so no link
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.recursion import components
-from ..session import materialize
+from ..session import drop, materialize, recorded
 from . import text as T
 
 ROUNDS = 2
@@ -45,6 +47,10 @@ PER_PIVOT = 256
 LARGE = 8
 #: Bits of a set's parity map.
 MAP = 1024
+#: Nodes of a key on each side of a block that a task compares in the last round.
+BLOCK = 2048
+#: Pairs that a task compares at once.
+AT_ONCE = 1 << 16
 
 Keys = Callable[[pa.Array, list[np.ndarray]], tuple[np.ndarray, np.ndarray]]
 #: Whether each token of sets (flat, sizes) is in its set's prefix, under each further order.
@@ -187,18 +193,27 @@ def _alike(n: Column | str, m: Column | str, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def _wide(column: pa.Array) -> np.ndarray:
+    """Parity maps of a column without nulls as rows of 64-bit numbers."""
+    fixed = column.cast(pa.binary(MAP // 8))
+    n = MAP // 64
+    return np.frombuffer(fixed.buffers()[1], dtype=T.U)[n * fixed.offset : n * (fixed.offset + len(fixed))].reshape(-1, n) if len(fixed) else np.zeros((0, n), dtype=T.U)
+
+
+def _near(one: np.ndarray, other: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether parity maps let sets of `both` tokens together be linked."""
+    need = (both * percent + 99 + percent) // (100 + percent)  # least number of common shingles
+    return np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64) <= both - 2 * need
+
+
 def close(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose parity maps do not rule a link out."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=T.U).reshape(-1, MAP // 64) for c in ("map_a", "map_b"))
-            apart = np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
-            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            need = (both * percent + 99 + percent) // (100 + percent)  # least number of common shingles
-            yield batch.select(["a", "b"]).filter(pa.array(apart <= both - 2 * need))
+            if batch.num_rows:
+                both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+                yield batch.select(["a", "b"]).filter(pa.array(_near(_wide(batch.column("map_a")), _wide(batch.column("map_b")), both, percent)))
 
     for side in ("a", "b"):
         pairs = pairs.join(maps.withColumnsRenamed({"node": side, "n": f"n_{side}", "map": f"map_{side}"}), side)
@@ -221,24 +236,36 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
     With `further` orders a pair must share prefix tokens under each of them before it is verified;
     `mapped` pairs must pass the parity maps before that.
     """
-    rows = materialize(nodes(docs, keys, k, lower), "nodes")
-    posted = rows.where("node is not null").select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    # One shuffle and one sort; keys of one node are done.
-    held = posted.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node")
-    held = materialize(held.mapInArrow(_fitting(percent), "key long, n long, node binary"), "postings")
+    with recorded() as steps:
+        found = materialize(_linked(docs, keys, k, percent, lower, further, orders, mapped), "linked")
+    drop(docs.sparkSession, steps[:-1])  # all but the result
+    return found
+
+
+def _linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool, further: Marks | None, orders: int, mapped: bool) -> DataFrame:
+    spark = docs.sparkSession
+    with recorded() as read:  # what the next steps read, and nothing later
+        rows = materialize(nodes(docs, keys, k, lower), "nodes")
+        posted = rows.where("node is not null").select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+        # One shuffle and one sort; keys of one node are done.
+        held = posted.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node")
+        held = materialize(held.mapInArrow(_fitting(percent), "key long, n long, node binary"), "postings")
     shared = held.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("size"))
     held = materialize(held.join(shared.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), "size"), "key"), "postings")
     met = held.select("node").distinct()
     maps = rows.where("map is not null").join(met, "node").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("map").alias("map"))
     maps = materialize(maps, "maps")
+    rows = materialize(rows.drop("keys", "map"), "handles")
+    drop(spark, read)
     first = rows.join(met, "node").groupBy("node").agg(F.min(F.struct("_id", "_key")).alias("at")).select("node", "at._id", "at._key")
     texts = T.handled(docs, "text").join(first, ["_id", "_key"]).groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(texts, "texts")
     if orders:
         prefixes = materialize(prefixed(texts, k, lower, further, orders), "prefixes")
 
-    tested, roots = None, None
+    tested, roots, read = None, None, []
     for turn in range(-1, ROUNDS + 1):
+        drop(spark, read)
         if turn < 1:
             now = held.where("node <> pivot")
             if turn < 0:  # the pivot of each node's largest key
@@ -250,14 +277,17 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
         else:
             now = held.where("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             still = now.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.min_by(F.struct("node", "root", "n"), F.xxhash64("node", F.lit(turn))).alias("p")).where("l <> h")
-            now = materialize(now.join(still.select("key", F.col("p.node").alias("lead"), F.col("p.root").alias("lead_root"), F.col("p.n").alias("lead_n")), "key"), "open")
+            with recorded() as read:
+                now = materialize(now.join(still.select("key", F.col("p.node").alias("lead"), F.col("p.root").alias("lead_root"), F.col("p.n").alias("lead_n")), "key"), "open")
             if now.isEmpty():
                 break
-            pairs = now.where("root <> lead_root") if turn < ROUNDS else _rest(now, tested, percent)
-        pairs = pairs.where(_alike("n", "lead_n", percent)).select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+            pairs = now.where("root <> lead_root") if turn < ROUNDS else _rest(now, tested, maps, mapped, percent)
+        if turn < ROUNDS:
+            pairs = pairs.where(_alike("n", "lead_n", percent))
+        pairs = pairs.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        if mapped:
+        if mapped and turn < ROUNDS:
             pairs = close(pairs, maps, percent)
         if orders:
             pairs = agreeing(pairs, prefixes, orders)
@@ -277,15 +307,84 @@ def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = Fals
     return rows.join(low, "node", "left").select("doc_id", "_id", "_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _rest(now: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of open keys that no earlier test rules out: outsiders against all other components of the key."""
+def _blocks(percent: int, mapped: bool):
+    """lead, node: pairs of a block that nothing rules out, from rows sorted by key, block and n.
+
+    Rows of role 1 lead, those of role 0 are met, those of role 2 do both.
+    """
+
+    def compared(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        n, node, root = rows["n"], rows["node"], rows["root"]
+        new = np.append(True, (rows["key"][1:] != rows["key"][:-1]) | (rows["lead_part"][1:] != rows["lead_part"][:-1]) | (rows["part"][1:] != rows["part"][:-1]))
+        cell = (np.cumsum(new) - 1) << 40
+        leads, others = np.flatnonzero(rows["role"] > 0), np.flatnonzero(rows["role"] != 1)
+        # The rows of the lead's block whose size fits.
+        place = cell[others] + n[others]
+        low = np.searchsorted(place, cell[leads] + (n[leads] * percent + 99) // 100)
+        length = np.searchsorted(place, cell[leads] + n[leads] * 100 // percent, "right") - low
+        end, found, p = np.cumsum(length), [], 0
+        while p < len(leads):
+            before = end[p] - length[p]
+            q = max(p + 1, int(np.searchsorted(end, before + AT_ONCE, "right")))
+            some = length[p:q]
+            i = np.repeat(leads[p:q], some)
+            j = others[np.arange(len(i)) - np.repeat(end[p:q] - some - before, some) + np.repeat(low[p:q], some)]
+            p = q
+            use = (root[i] != root[j]).any(axis=1)
+            # Two outsiders meet in two blocks, or twice in one: it counts once.
+            smaller = (node[j, 0] < node[i, 0]) | ((node[j, 0] == node[i, 0]) & (node[j, 1] < node[i, 1]))
+            use &= ~rows["outer"][j] | smaller
+            use &= ~(rows["again"][i] & rows["again"][j] & (rows["before"][i] == rows["before"][j]))
+            use &= ~(np.abs(rows["distance"][i] - rows["distance"][j]) > (100 - percent) / 100 + 1e-9)
+            i, j = i[use], j[use]
+            if mapped:
+                use = _near(rows["map"][i], rows["map"][j], n[i] + n[j], percent)
+                i, j = i[use], j[use]
+            found.append((i, j))
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (leads, leads)
+        return pa.RecordBatch.from_arrays([T.binary(node[i]), T.binary(node[j])], names=["lead", "node"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "lead_part", "part", "role", "outer", "n", "before", "again", "distance")}
+            rows |= {"node": T.halves(batch.column("node")), "root": T.halves(batch.column("root")), "map": _wide(batch.column("map"))}
+            held = {c: np.concatenate((held[c], v)) for c, v in rows.items()} if held else rows
+            # The last block may go on in the next batch.
+            last = [held[c] != held[c][-1] for c in ("key", "lead_part", "part")]
+            cut = int(np.flatnonzero(np.append(True, last[0] | last[1] | last[2]))[-1])
+            if cut:
+                yield compared({c: v[:cut] for c, v in held.items()})
+                held = {c: v[cut:] for c, v in held.items()}
+        if held:
+            yield compared(held)
+
+    return task
+
+
+def _rest(now: DataFrame, tested: DataFrame, maps: DataFrame, mapped: bool, percent: int) -> DataFrame:
+    """Pairs (lead, node) of open keys that nothing rules out: outsiders against all other components of the key."""
     far = tested.select(F.explode(F.array(F.struct(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance"), F.struct(F.col("b").alias("pivot"), F.col("a").alias("node"), "distance"))).alias("t")).select("t.*")
     now = now.join(far, ["pivot", "node"], "left").withColumn("distance", F.when(F.col("pivot") == F.col("node"), F.lit(0.0)).otherwise(F.col("distance")))
-    sizes = now.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
     # Two nodes that share the key before this one, too, meet there or earlier.
     before = F.lag("key").over(Window.partitionBy("node").orderBy("key"))
-    now = materialize(now.join(sizes, "key").select("key", "node", "root", "n", "distance", "main", before.alias("before")), "open")
-    outer = now.where("root <> main").select("key", F.col("node").alias("lead"), F.col("root").alias("lead_root"), F.col("n").alias("lead_n"), F.col("distance").alias("lead_distance"), F.col("before").alias("lead_before"))
-    meets = F.coalesce(F.col("before") != F.col("lead_before"), F.lit(True))
-    pairs = now.join(outer, "key").where(meets).where("root <> lead_root and (root = main or node < lead)").where(_alike("n", "lead_n", percent))
-    return pairs.where(F.coalesce(F.abs(F.col("distance") - F.col("lead_distance")) <= (100 - percent) / 100 + 1e-9, F.lit(True)))
+    now = materialize(now.select("key", "node", "root", "distance", before.alias("before")), "open")
+    each = now.groupBy("key", "root").agg(F.count("*").alias("c"), F.count("before").alias("again"), F.min("before").alias("l"), F.max("before").alias("h"))
+    sizes = each.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("all"), F.sum("again").alias("again"), F.min("l").alias("l"), F.max("h").alias("h"))
+    sizes = sizes.where("not (again = all and l = h)")  # all of its nodes meet in the key before
+    sizes = sizes.select("key", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("lead_parts"), F.ceil(F.col("all") / BLOCK).cast("int").alias("parts"))
+    rows = now.join(sizes, "key").withColumn("outer", F.expr("root <> main"))
+    part, lead_part = F.pmod(F.hash("node"), "parts"), F.pmod(F.hash("node"), "lead_parts")
+
+    def place(lead: Column, met: Column, role: Column) -> Column:
+        return F.struct(lead.cast("int").alias("lead_part"), met.cast("int").alias("part"), role.cast("int").alias("role"))
+
+    # A node is met in its part by each part of leads; an outsider leads against each part.
+    leading = F.when(F.col("outer"), F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: place(lead_part, p, F.lit(1)))).otherwise(F.array().cast("array<struct<lead_part:int,part:int,role:int>>"))
+    places = F.concat(F.transform(F.sequence(F.lit(0), F.col("lead_parts") - 1), lambda p: place(p, part, F.lit(0))), leading)
+    places = F.when(F.col("parts") == 1, F.array(place(F.lit(0), F.lit(0), F.when(F.col("outer"), 2).otherwise(0)))).otherwise(places)
+    rows = rows.withColumn("p", F.explode(places)).select("key", "p.*", "outer", "node", "root", F.coalesce("before", F.lit(0)).alias("before"), F.col("before").isNotNull().alias("again"), F.coalesce("distance", F.lit(float("nan"))).alias("distance"))
+    rows = rows.join(maps, "node").repartition("key", "lead_part", "part").sortWithinPartitions("key", "lead_part", "part", "n")
+    return rows.mapInArrow(_blocks(percent, mapped), "lead binary, node binary")

@@ -758,6 +758,47 @@ def test_dense_groups_of_copies_take_few_verifications(spark, monkeypatch):
     assert sum(number) <= 2 * len(rows)
 
 
+def variants(n=60, seed=5):
+    """Documents that share most words and signature bands, two by two mostly not alike at 80 percent."""
+    draw = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        w = [f"w{j}" for j in range(120)]
+        for x, k in enumerate(draw.choice(120, 2, replace=False)):
+            w[k] = f"x{i}y{x}"
+        rows.append((i, " ".join(w), "en", "s", 0))
+    return rows
+
+
+def test_unlike_variants_meet_in_blocks_not_as_rows(spark, monkeypatch):
+    """The pairs of a group that are not alike never become rows of a join; no link is lost."""
+    rows, number, plain = variants(100), [], linking.close
+    monkeypatch.setattr(linking, "close", lambda pairs, *rest: number.append(pairs.count()) or plain(pairs, *rest))
+    got = sorted(map(tuple, fingerprints.near_duplicates(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == brute_components(rows, 5, 80, lower=False)
+    assert 5 < len({c for *_, c in got})
+    assert sum(number) <= 15 * len(rows)
+
+
+@pytest.mark.parametrize("block, at_once", [(3, 5), (7, 1 << 16)])
+def test_components_by_small_blocks(spark, monkeypatch, block, at_once):
+    monkeypatch.setattr(linking, "BLOCK", block)
+    monkeypatch.setattr(linking, "AT_ONCE", at_once)
+    monkeypatch.setattr(linking, "ROUNDS", 1)
+    rows = variants(40, seed=6) + [(100 + d, t, *rest) for d, t, *rest in chains()]
+    got = fingerprints.near_duplicates(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute_components(rows, 5, 80, lower=False)
+
+
+def test_linking_leaves_only_its_result(spark):
+    from tablewright import session
+
+    with session.recorded() as paths:
+        found = fingerprints.near_duplicates(frame(spark, corpus(2)))
+    left = [p for p in paths if (at := session.hadoop_path(spark, p))[0].exists(at[1])]
+    assert len(left) == 1 and found.count() == len(corpus(2))
+
+
 def test_unlike_lines_of_many_words_are_not_verified(spark, monkeypatch):
     """Lines of 141 words that share 121: the parity of shared words does not hide those that differ."""
     draw = np.random.default_rng(4)
