@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.recursion import components
-from ..session import drop, materialize, recorded
+from ..session import drop, materialize, recorded, release
 from . import text as T
 
 ROUNDS = 2
@@ -266,6 +266,7 @@ def _linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool, furt
     tested, roots, read = None, None, []
     for turn in range(-1, ROUNDS + 1):
         drop(spark, read)
+        release(spark)
         if turn < 1:
             now = held.where("node <> pivot")
             if turn < 0:  # the pivot of each node's largest key

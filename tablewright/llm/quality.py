@@ -189,7 +189,9 @@ class Network:
         if len(y) < MIN_LABELS or len(set(y.tolist())) < 2:
             return
         self.mean, self.std = x.mean(axis=0, dtype=np.float64), x.std(axis=0, dtype=np.float64) + 1e-6
-        x, order = ((x - self.mean) / self.std).astype(np.float32), draw.permutation(len(y))
+        whole, x, order = x, np.empty(x.shape, dtype=np.float32), draw.permutation(len(y))
+        for p in range(0, len(y), CHUNK):  # in parts: the numbers in between take 8 bytes each
+            x[p : p + CHUNK] = (whole[p : p + CHUNK] - self.mean) / self.std
         held, used = order[: len(y) // 10], order[len(y) // 10 :]
         w = [draw.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), draw.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
         m, v, t = [np.zeros_like(p) for p in w], [np.zeros_like(p) for p in w], 0
@@ -244,7 +246,9 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: i
     shared.destroy()
     rows = rows.take(pc.sort_indices(rows, [("doc_id", "ascending"), ("x", "ascending")])).combine_chunks()
     x = np.concatenate([np.frombuffer(c.cast(pa.binary(4 * FEATURES)).buffers()[1], dtype=np.float32, count=len(c) * FEATURES) for c in rows.column("x").chunks if len(c)] or [np.zeros(0, dtype=np.float32)])
-    return vectors, Network(x.reshape(-1, FEATURES), rows.column("label").to_numpy().astype(float))
+    y = rows.column("label").to_numpy().astype(float)
+    del rows
+    return vectors, Network(x.reshape(-1, FEATURES), y)
 
 
 def score(docs: DataFrame, vectors: np.ndarray, network: Network, *columns: str) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that the operators are written for. The adaptive ones let Spark
@@ -85,6 +87,17 @@ def drop(spark: SparkSession, paths: list[str]) -> None:
         fs.delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver give back what no frame refers to any more.
+
+    Spark frees broadcasts and the state of shuffles only when the driver's JVM collects
+    its garbage; under a small heap that would be late, and the heap would grow until then.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.System.gc()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in this application's part of the shared folder, which goes when the driver ends."""
     own = f"{scratch_dir(spark)}/tablewright-{spark.sparkContext.applicationId}"
