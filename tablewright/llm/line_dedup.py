@@ -5,12 +5,12 @@ earlier line (by doc_id, then by place in the document) has a Jaccard similarity
 `percent`; the earliest line of each kind stays, and so do lines without words.
 
 1. Lines with equal sets are one class, at the place of its earliest line; the others go.
-2. The words of a class are ordered by rarity: by the number of lines they occur in, then by
-   a hash. The numbers come from a sketch over all lines: CELLS one-byte counters, exact up
+2. The words of a class are ordered by rarity: by the number of times they occur, then by
+   a hash. The numbers come from a sketch over all texts: CELLS one-byte counters, exact up
    to 16 and in steps of nine percent beyond, which words may share, so a number may be too high
    but never too low. Any order gives the same result. Two sets alike enough share a word
    among the first |x| - ceil(t |x|) + 1 of each, so classes meet by these prefix words if a
-   word occurs in more than one prefix; words of one line only cannot. Classes of so few
+   word occurs in more than one prefix; words that occur once cannot. Classes of so few
    words that only equal sets are alike (under 9 at 90 percent) need not meet.
 3. In a word, classes are compared with all earlier ones, but in words of more than MANY with
    the first one only; there, a class that is not alike after all is compared with the
@@ -20,7 +20,7 @@ earlier line (by doc_id, then by place in the document) has a Jaccard similarity
    fall on it, so words that two lines share cancel out: at most as many bits differ as words do.
 
 Texts are shuffled once, where lines are removed. The lines to compare are found by a second
-scan, screened by a sketch of their hashes (lines let through by chance are not used).
+scan by their places, screened by a sketch of these (lines let through by chance are not used).
 
 A null text stays null. A null doc_id sorts as -1. Rows repeated as a whole keep and lose the
 same lines. Sets are known by 128 bits, of two independent hashes of each word; words of one
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..session import materialize
+from ..session import materialize, release
 from . import text as T
 from .linking import verified
 
@@ -86,8 +86,9 @@ def _sketched(hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]]):
         total = np.zeros(CELLS, dtype=np.uint8)
         for batch in batches:
             for some in hashes(batch):
-                cell, n = np.unique(_cell(some), return_counts=True)
-                total[cell] = _add(total[cell], n)
+                cells = np.sort(_cell(some).astype(np.uint32))
+                heads = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.zeros(0, dtype=np.int64)
+                total[cells[heads]] = _add(total[cells[heads]], np.diff(np.append(heads, len(cells))))
         if total.any():
             parts = total.reshape(SKETCH_BLOCKS, -1)
             yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())], names=["block", "cells"])
@@ -121,18 +122,24 @@ def sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarr
 
 
 def _words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    for _, _, flat, _, _ in line_sets(batch.column("text")):
-        yield flat
+    data, offsets = T.buffers(batch.column("text"))
+    for a, b in T.blocks(offsets):
+        yield T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[2]
+
+
+def _places(ids: np.ndarray, keys: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """A hash of the handle and the place of lines."""
+    return T.mix(T.mix(T.mix(ids.astype(np.int64).view(T.U)) ^ keys.astype(np.int64).view(T.U)) + lines.astype(T.U))
 
 
-def _nodes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    yield T.halves(batch.column("node"))[:, 0]
+def _wanted(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield _places(*(batch.column(c).to_numpy() for c in ("_id", "_key", "line")))
 
 
 def _lines(shared, percent: int):
     """node, handle, place, size and map of each line, and the prefix words of its set.
 
-    A word of one line only is null; sets that can only be like an equal one have no words.
+    A word that occurs once is null; sets that can only be like an equal one have no words.
     """
     names = ["node", "_id", "_key", "line", "size", "map", "words"]
 
@@ -149,7 +156,7 @@ def _lines(shared, percent: int):
                 rank = (many.astype(T.U) << T.U(54)) | (T.mix(flat) >> T.U(10))
                 # The first words of each line by rank: as many as its prefix has.
                 length = np.where((sizes + 1) * percent <= sizes * 100, sizes - (sizes * percent + 99) // 100 + 1, 0)
-                sort = np.lexsort((rank, np.repeat(np.arange(len(row)), sizes)))
+                sort = T.ordered(rank, np.repeat(np.arange(len(row)), sizes), len(row))
                 at = sort[np.arange(len(flat)) - np.repeat(begin, sizes) < np.repeat(length, sizes)]
                 cut = np.concatenate(([0], np.cumsum(length)))
                 words = pa.array(T.signed(flat[at]), mask=many[at] <= 1)
@@ -233,23 +240,28 @@ def _word_column(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 
 
 def _texts(shared):
-    """node and text of the lines that the sketch of nodes may hold, each once a task."""
+    """Handle, place and text of the lines whose places the sketch may hold; no word is looked at."""
+    names = ["_id", "_key", "line", "text"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, seen = shared.value, set()
+        wanted = shared.value
         for batch in batches:
-            for texts in (batch.column("text").slice(p, 512) for p in range(0, batch.num_rows, 512)):
-                found: dict[bytes, str] = {}
-                for row, line, _, _, node in line_sets(texts):
-                    use = np.flatnonzero(wanted[_cell(node[:, 0])] > 0)
-                    lines: tuple[int, list[str]] = (-1, [])
-                    for i, own in zip(use.tolist(), T.binary(node[use]).to_pylist(), strict=True):
-                        if own not in seen:
-                            if lines[0] != row[i]:
-                                lines = (row[i], texts[int(row[i])].as_py().split("\n"))
-                            seen.add(own)
-                            found[own] = lines[1][line[i]]
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.string())], names=["node", "text"])
+            ids, keys = (batch.column(c).to_numpy() for c in names[:2])
+            data, offsets = T.buffers(batch.column("text"))
+            for a, b in T.blocks(offsets):
+                part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                breaks = np.flatnonzero(part == 10)
+                row = np.concatenate((np.arange(b - a), np.searchsorted(at, breaks, "right") - 1))
+                start = np.concatenate((at[:-1], breaks + 1))
+                order = np.lexsort((start, row))
+                row, start = row[order], start[order]
+                end = np.append(start[1:] - 1, len(part))
+                last = np.append(row[1:] != row[:-1], True)
+                end[last] = at[1:][row[last]]
+                line = np.arange(len(row)) - np.searchsorted(row, row)
+                use = np.flatnonzero(wanted[_cell(_places(ids[a + row], keys[a + row], line))] > 0)
+                texts = [part[i:j].tobytes().decode() for i, j in zip(start[use].tolist(), end[use].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a + row[use]]), pa.array(keys[a + row[use]]), pa.array(line[use]), pa.array(texts, pa.string())], names=names)
 
     return task
 
@@ -288,14 +300,16 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
 
     def removed(pairs: DataFrame) -> DataFrame:
         """The later one of each pair that is alike."""
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        screen = context.broadcast(sketch(ends, _nodes))
-        # No join with the ends: it would shuffle the same texts, and scan them twice where Spark broadcasts the ends.
-        texts = docs.select("text").mapInArrow(_texts(screen), "node binary, text string")
+        ends = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(places, "node"), "ends")
+        screen = context.broadcast(sketch(ends.select("at.*"), _wanted))
+        # The lines are cut out by their places, so that their words need not be hashed again.
+        texts = T.handled(docs, "text").mapInArrow(_texts(screen), "_id long, _key long, line long, text string")
+        texts = texts.join(ends.select("node", "at.*"), ["_id", "_key", "line"])
         texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
         screen.destroy()
         found = verified(pairs.select("a", "b"), texts, 1, False, percent).where("linked")
-        found = found.join(places.withColumnsRenamed({"node": "a", "at": "at_a"}), "a").join(places.withColumnsRenamed({"node": "b", "at": "at_b"}), "b")
+        found = found.join(ends.withColumnsRenamed({"node": "a", "at": "at_a"}), "a").join(ends.withColumnsRenamed({"node": "b", "at": "at_b"}), "b")
+        release(docs.sparkSession)
         return materialize(found.select(F.when(F.col("at_a") < F.col("at_b"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct(), "removed")
 
     gone = removed(pairs)

@@ -121,10 +121,21 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
     return start, end, *identities(LOWER[data] if lower else data, start, end), first
 
 
+def ordered(values: np.ndarray, owner: np.ndarray, number: int) -> np.ndarray:
+    """The order of values by owner (0 to number - 1), then by value.
+
+    One sort of the owner with the upper bits of the value; lexsort if the lower bits decide anywhere.
+    """
+    bits = U(max(1, int(number).bit_length()))
+    order = np.argsort(owner.astype(U) << (U(64) - bits) | values >> bits)
+    v, own = values[order], owner[order]
+    return np.lexsort((values, owner)) if ((v[1:] < v[:-1]) & (own[1:] == own[:-1])).any() else order
+
+
 def distinct(hashes: np.ndarray, other: np.ndarray, owner: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The set of hashes of each owner (0 to number - 1): sorted distinct hashes of all, their number
     per owner, and two 64-bit identities per owner, from the hashes and from their others."""
-    order = np.lexsort((hashes, owner))
+    order = ordered(hashes, owner, number)
     h, own = hashes[order], owner[order]
     new = np.append(True, (h[1:] != h[:-1]) | (own[1:] != own[:-1])) if len(h) else np.zeros(0, dtype=bool)
     h, own, order = h[new], own[new], order[new]

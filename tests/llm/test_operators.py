@@ -810,6 +810,30 @@ def test_unlike_lines_of_many_words_are_not_verified(spark, monkeypatch):
     assert sum(number) <= len(rows)
 
 
+def test_lines_are_fetched_by_place_without_their_words(monkeypatch):
+    texts = ["a b\n\nc é d\n", None, "", "one line", "\n\n", "x\r\ny\n\nz" * 3, "after"]
+    ids, keys = np.arange(7) * 5 - 1, np.arange(7) * 11 - 40
+    all_ = [(int(i), int(k), n, x) for i, k, t in zip(ids, keys, texts, strict=True) for n, x in enumerate((t or "").split("\n"))]
+    asked = all_[::2]
+    wanted = np.zeros(line_dedup.CELLS, dtype=np.uint8)
+    wanted[line_dedup._cell(line_dedup._places(*(np.array([a[c] for a in asked]) for c in range(3))))] = 1
+    shared = type("Shared", (), {"value": wanted})
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(ids), pa.array(keys)], names=["text", "_id", "_key"])
+    monkeypatch.setattr(T, "words", None)  # no word is hashed again
+    plain = T.blocks
+    for size in (1 << 20, 4):
+        monkeypatch.setattr(T, "blocks", lambda offsets, size=size: plain(offsets, size))
+        assert [tuple(r.values()) for b in line_dedup._texts(shared)(iter([batch])) for r in b.to_pylist()] == asked
+
+
+def test_order_within_owners():
+    draw = np.random.default_rng(8)
+    for values in (draw.integers(0, 2**63, 5000, dtype=np.uint64) * T.U(2), draw.integers(0, 50, 5000, dtype=np.uint64), np.zeros(0, dtype=T.U)):
+        owner = np.sort(draw.integers(0, 40, len(values)))
+        order, want = T.ordered(values, owner, 40), np.lexsort((values, owner))
+        assert (values[order] == values[want]).all() and (owner[order] == owner[want]).all()
+
+
 def test_a_written_step_leaves_no_shuffle_files(spark):
     from tablewright import session
 
