@@ -124,7 +124,9 @@ def sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarr
 def _words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     data, offsets = T.buffers(batch.column("text"))
     for a, b in T.blocks(offsets):
-        yield T.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[2]
+        part = data[offsets[a] : offsets[b]]
+        start, end, _ = T.runs(~T.SPACE[part], offsets[a : b + 1] - offsets[a])
+        yield T.identities(part, start, end, both=False)[0]
 
 
 def _places(ids: np.ndarray, keys: np.ndarray, lines: np.ndarray) -> np.ndarray:
@@ -153,7 +155,7 @@ def _lines(shared, percent: int):
                 begin = np.cumsum(sizes) - sizes
                 many = counts[_cell(flat)]
                 bits = np.bitwise_xor.reduceat(T.U(1) << ((flat >> T.U(20)) & T.U(63)), begin)
-                rank = (many.astype(T.U) << T.U(54)) | (T.mix(flat) >> T.U(10))
+                rank = (many.astype(T.U) << T.U(54)) | (flat >> T.U(10))
                 # The first words of each line by rank: as many as its prefix has.
                 length = np.where((sizes + 1) * percent <= sizes * 100, sizes - (sizes * percent + 99) // 100 + 1, 0)
                 sort = T.ordered(rank, np.repeat(np.arange(len(row)), sizes), len(row))

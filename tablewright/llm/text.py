@@ -174,8 +174,11 @@ def runs(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(start, offsets)
 
 
-def identities(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of data[start:end] for each span: a mixing step for every 8 bytes."""
+def identities(data: np.ndarray, start: np.ndarray, end: np.ndarray, both: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of data[start:end] for each span: a mixing step for every 8 bytes.
+
+    The second is left at that of the size where `both` is false.
+    """
     size = end - start
     a, b = mix(size.astype(U) + U(0x51)), mix2(size.astype(U) + U(0xC3))
     padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
@@ -185,7 +188,8 @@ def identities(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     while len(live):
         piece = eight[at] & _KEEP[np.minimum(left, 8)]
         a[live] = mix(a[live] ^ piece)
-        b[live] = mix2(b[live] ^ (piece * U(0x9E3779B97F4A7C15)))
+        if both:
+            b[live] = mix2(b[live] ^ (piece * U(0x9E3779B97F4A7C15)))
         more = left > 8
         live, at, left = live[more], at[more] + 8, left[more] - 8
     for i in np.flatnonzero(size > LONG_WORD).tolist():
