@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import re
 import time
+import tracemalloc
 import zlib
 
 import duckdb
@@ -475,6 +476,19 @@ def test_pooling_takes_each_word_of_a_document_once(monkeypatch):
     assert spent["pooled"] < 6 * spent["units"]
 
 
+def test_training_standardises_in_parts():
+    """The features are never held whole in 8 bytes beside their deviations."""
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(20_000, quality.FEATURES)).astype(np.float32)
+    y = (x[:, 0] > 0).astype(float)
+    tracemalloc.start()
+    try:
+        quality.Network(x, y[:]).score(x[:3])
+        assert tracemalloc.get_traced_memory()[1] < 1.7 * 8 * x.size
+    finally:
+        tracemalloc.stop()
+
+
 def test_classifiers_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = frame(spark, corpus(1, 10))
