@@ -14,13 +14,17 @@ share a key. Texts with equal sets are one node, so copies cost one row each.
 3. Keys that are still open after the rounds: nodes outside a key's largest component are
    compared with the rest of the key, in blocks of at most BLOCK of both inside a task. Only
    pairs that the sizes, the triangle inequality of the Jaccard distance (to the first pivot)
-   and the parity maps let through become rows, and are verified. So no link is lost, and
-   pairs that cannot be links are never shuffled. Two nodes that share many keys meet where
-   their keys before the shared one differ, not at each.
+   and the parity maps let through may become rows, and are verified. Of these, a node leads
+   FEW in a key, those of the closest maps. Their links join components, and keys in which a
+   node had more go into another turn, in which it leads MORE times as many of those that are
+   still in another component. The turns end when no node had more, so no link is lost; links
+   inside a component never become rows, nor do pairs that cannot be links. Two nodes that
+   share many keys meet where their keys before the shared one differ, not at each.
 
 Before texts are fetched, a pair must pass the parity maps of its sets: MAP bits, each the
-parity of the shingles that fall on it. At most as many bits differ as shingles do, so no link
-is lost.
+parity of the shingles that fall on it; large sets have a wider map as well, of two bits a
+shingle or more. At most as many bits differ as shingles do, so no link is lost. Only the texts of nodes of such pairs are fetched, screened by a sketch of their
+handles (what it lets through by chance is not used).
 
 Pairs meet by pivot, and the nodes of a pivot are spread over as many tasks as they need.
 A node is known by 128 bits: two independent hashes of words, of shingles made of them, and of
@@ -38,6 +42,7 @@ from pyspark.sql import functions as F
 
 from ..operators.recursion import components
 from ..session import drop, materialize, recorded, release
+from . import screen
 from . import text as T
 
 ROUNDS = 2
@@ -51,6 +56,8 @@ MAP = 1024
 BLOCK = 2048
 #: Pairs that a task compares at once.
 AT_ONCE = 1 << 16
+#: Pairs that a node leads in a key of the last round, and times as many in each further turn.
+FEW, MORE = 2, 16
 
 Keys = Callable[[pa.Array, list[np.ndarray]], tuple[np.ndarray, np.ndarray]]
 #: Whether each token of sets (flat, sizes) is in its set's prefix, under each further order.
@@ -78,12 +85,25 @@ def parities(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.array([x.tobytes() for x in np.packbits(odd.astype(np.uint8).reshape(-1, MAP), axis=1)], pa.binary())
 
 
+def wide_parities(sets: list[np.ndarray]) -> pa.Array:
+    """Parity maps of two bits or more a shingle, a power of two in all; null where MAP bits are as many.
+
+    A map's blocks of half its size make the map of that size together, one XOR the other.
+    """
+    out: list[bytes | None] = []
+    for s in sets:
+        size = 1 << (2 * len(s) - 1).bit_length() if len(s) else 0
+        at = (s >> T.U(20) & T.U(size - 1)).astype(np.int64) if size > MAP else None
+        out.append(None if at is None else np.packbits((np.bincount(at, minlength=size) & 1).astype(np.uint8)).tobytes())
+    return pa.array(out, pa.binary())
+
+
 def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
-    """doc_id, handle, n_shingles, node (null without shingles), candidate keys and parity map of each row.
+    """doc_id, handle, n_shingles, node (null without shingles), candidate keys and parity maps of each row.
 
     Of equal sets in one task only the first has its keys and map, so copies are few where keys meet.
     """
-    names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys", "map"]
+    names = ["doc_id", "_id", "_key", "n_shingles", "node", "keys", "map", "wide"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -101,33 +121,47 @@ def nodes(docs: DataFrame, keys: Keys, k: int, lower: bool) -> DataFrame:
                 flat = np.concatenate([x for x, u in zip(sets, use, strict=True) if u] or [np.zeros(0, dtype=T.U)])
                 held = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(np.ascontiguousarray(found))))
                 at = pa.array(np.cumsum(use) - 1, mask=~use)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), node, held, parities(flat, sizes[use]).take(at)], names=names)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), pa.array(sizes.astype(np.int64)), node, held, parities(flat, sizes[use]).take(at), wide_parities([x for x, u in zip(sets, use, strict=True) if u]).take(at)], names=names)
 
     rows = T.handled(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node binary, keys array<long>, map binary")
+    return rows.mapInArrow(task, "doc_id long, _id long, _key long, n_shingles long, node binary, keys array<long>, map binary, wide binary")
 
 
-def prefixed(texts: DataFrame, k: int, lower: bool, further: Marks, orders: int) -> DataFrame:
-    """node and its prefix tokens under each further order (p0, p1 ..)."""
-    names = ["node", *[f"p{i}" for i in range(orders)]]
+def _wanted(shared):
+    """The rows whose handles the screen may hold, one of each handle in a batch."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for p in range(0, whole.num_rows, 1024):
-                batch = whole.slice(p, 1024)
-                sets, _ = shingle_sets(batch.column("text"), k, lower)
-                flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
-                columns = []
-                for mark in further(flat, sizes):
-                    cut = np.concatenate(([0], np.cumsum(np.add.reduceat(mark.astype(np.int64), np.cumsum(sizes) - sizes))))
-                    columns.append(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(T.signed(flat[mark]))))
-                yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], names=names)
+        for batch in batches:
+            at = np.flatnonzero(shared.value.test(batch.column("h").to_numpy().view(T.U)))
+            handles = np.stack([batch.column(c).to_numpy()[at] for c in ("_id", "_key")], axis=1)
+            at = at[np.unique(handles, axis=0, return_index=True)[1]]
+            yield batch.select(["_id", "_key", "text"]).take(pa.array(at))
+
+    return task
 
-    return texts.select("node", "text").mapInArrow(task, "node binary" + "".join(f", {p} array<long>" for p in names[1:]))
 
+def texts_of(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """node and text of the rows (node, _id, _key) of ends."""
+    marks = docs.sparkSession.sparkContext.broadcast(screen.build(ends.select(F.xxhash64("_id", "_key").alias("h"))))
+    rows = T.handled(docs, "text").withColumn("h", F.xxhash64("_id", "_key")).mapInArrow(_wanted(marks), "_id long, _key long, text string")
+    # Grouped by the join's columns too, so that texts are shuffled once.
+    texts = materialize(rows.join(ends, ["_id", "_key"]).groupBy("_id", "_key", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
+    marks.destroy()
+    return texts
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int) -> DataFrame:
-    """pairs (a, b) with `linked` and `distance` (Jaccard)."""
+
+def _agreeing(lead: np.ndarray, flat: np.ndarray, sizes: np.ndarray, further: Marks) -> np.ndarray:
+    """Whether each of the sets (flat, sizes) shares a prefix token with the set `lead` under every further order."""
+    begin, use = np.cumsum(sizes) - sizes, np.ones(len(sizes), dtype=bool)
+    for own, other in zip(further(lead, np.array([len(lead)])), further(flat, sizes), strict=True):
+        first = lead[own]
+        at = np.minimum(np.searchsorted(first, flat), len(first) - 1)
+        use &= np.logical_or.reduceat(other & (first[at] == flat), begin)
+    return use
+
+
+def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: int, further: Marks | None = None) -> DataFrame:
+    """pairs (a, b) with `linked` and `distance` (Jaccard); those without a common prefix token under a further order are left out."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead, kept = None, np.zeros(0, dtype=T.U)
@@ -145,6 +179,11 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: i
                     if not own:
                         continue
                     flat, sizes = np.concatenate([sets[x] for x in own]), np.array([len(sets[x]) for x in own])
+                    if further:
+                        use = _agreeing(kept, flat, sizes, further)
+                        if not use.any():
+                            continue
+                        own, flat, sizes = [x for x, u in zip(own, use, strict=True) if u], flat[np.repeat(use, sizes)], sizes[use]
                     begin = np.cumsum(sizes) - sizes
                     at = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
                     same = kept[at] == flat
@@ -154,10 +193,10 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, lower: bool, percent: i
                     yield pa.RecordBatch.from_arrays([pa.array([a[x] for x in own], pa.binary()), pa.array([b[x] for x in own], pa.binary()), pa.array(linked), pa.array(1 - both / either)], names=["a", "b", "linked", "distance"])
 
     spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_PIVOT).cast("int").alias("parts"))
-    few = pairs.join(spread, "a").select("a", "b", F.pmod(F.hash("b"), "parts").alias("part"))
-    few = few.join(texts.withColumnRenamed("node", "b"), "b").select("a", "part", "b", "text")
-    leads = spread.join(texts.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("b"), "text")
-    rows = leads.unionByName(few).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    few = pairs.join(spread, "a").select(F.col("b").alias("node"), "a", F.pmod(F.hash("b"), "parts").alias("part"), "b")
+    leads = spread.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("binary").alias("b"))
+    # Texts meet both sides in one join.
+    rows = leads.unionByName(few).join(texts, "node").repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
     return rows.select("a", "b", "text").mapInArrow(task, "a binary, b binary, linked boolean, distance double")
 
 
@@ -200,10 +239,21 @@ def _wide(column: pa.Array) -> np.ndarray:
     return np.frombuffer(fixed.buffers()[1], dtype=T.U)[n * fixed.offset : n * (fixed.offset + len(fixed))].reshape(-1, n) if len(fixed) else np.zeros((0, n), dtype=T.U)
 
 
-def _near(one: np.ndarray, other: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
-    """Whether parity maps let sets of `both` tokens together be linked."""
+def _apart(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Bits in which parity maps differ."""
+    return np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64)
+
+
+def _near(apart: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether maps so far apart let sets of `both` tokens together be linked."""
     need = (both * percent + 99 + percent) // (100 + percent)  # least number of common shingles
-    return np.bitwise_count(one ^ other).sum(axis=1, dtype=np.int64) <= both - 2 * need
+    return apart <= both - 2 * need
+
+
+def _folded(one: bytes, other: bytes) -> int:
+    """Bits in which two maps differ, the larger one folded to the size of the other."""
+    a, b = sorted((np.frombuffer(x, dtype=T.U) for x in (one, other)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum(dtype=np.int64))
 
 
 def close(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
@@ -213,36 +263,27 @@ def close(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-                yield batch.select(["a", "b"]).filter(pa.array(_near(_wide(batch.column("map_a")), _wide(batch.column("map_b")), both, percent)))
+                apart = np.array([_folded(*pair) for pair in zip(batch.column("map_a").to_pylist(), batch.column("map_b").to_pylist(), strict=True)])
+                yield batch.select(["a", "b"]).filter(pa.array(_near(apart, both, percent)))
 
     for side in ("a", "b"):
-        pairs = pairs.join(maps.withColumnsRenamed({"node": side, "n": f"n_{side}", "map": f"map_{side}"}), side)
+        pairs = pairs.join(maps.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.coalesce("wide", "map").alias(f"map_{side}")), side)
     return pairs.select("a", "b", "n_a", "n_b", "map_a", "map_b").mapInArrow(task, "a binary, b binary")
 
 
-def agreeing(pairs: DataFrame, prefixes: DataFrame, orders: int) -> DataFrame:
-    """The pairs (a, b) that share a prefix token under every further order, too."""
-    for side in ("b", "a"):
-        own = prefixes.select(F.col("node").alias(side), *[F.col(f"p{i}").alias(f"{side}{i}") for i in range(orders)])
-        pairs = pairs.join(own, side)
-    for i in range(orders):
-        pairs = pairs.where(F.arrays_overlap(f"a{i}", f"b{i}"))
-    return pairs.select("a", "b")
-
-
-def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = False, further: Marks | None = None, orders: int = 0, mapped: bool = True) -> DataFrame:
+def linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool = False, further: Marks | None = None, mapped: bool = True) -> DataFrame:
     """doc_id, handle, n_shingles, component_id (least doc_id of the component; own where unlinked) of each row.
 
-    With `further` orders a pair must share prefix tokens under each of them before it is verified;
-    `mapped` pairs must pass the parity maps before that.
+    `mapped` pairs must pass the parity maps before their texts are fetched; with `further` orders a
+    pair must share prefix tokens under each of them before its sets are intersected.
     """
     with recorded() as steps:
-        found = materialize(_linked(docs, keys, k, percent, lower, further, orders, mapped), "linked")
+        found = materialize(_linked(docs, keys, k, percent, lower, further, mapped), "linked")
     drop(docs.sparkSession, steps[:-1])  # all but the result
     return found
 
 
-def _linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool, further: Marks | None, orders: int, mapped: bool) -> DataFrame:
+def _linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool, further: Marks | None, mapped: bool) -> DataFrame:
     spark = docs.sparkSession
     with recorded() as read:  # what the next steps read, and nothing later
         rows = materialize(nodes(docs, keys, k, lower), "nodes")
@@ -253,51 +294,58 @@ def _linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool, furt
     shared = held.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("size"))
     held = materialize(held.join(shared.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), "size"), "key"), "postings")
     met = held.select("node").distinct()
-    maps = rows.where("map is not null").join(met, "node").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("map").alias("map"))
+    maps = rows.where("map is not null").join(met, "node").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first(F.struct("map", "wide")).alias("m")).select("node", "n", "m.*")
     maps = materialize(maps, "maps")
-    rows = materialize(rows.drop("keys", "map"), "handles")
+    rows = materialize(rows.drop("keys", "map", "wide"), "handles")
     drop(spark, read)
     first = rows.join(met, "node").groupBy("node").agg(F.min(F.struct("_id", "_key")).alias("at")).select("node", "at._id", "at._key")
-    texts = T.handled(docs, "text").join(first, ["_id", "_key"]).groupBy("node").agg(F.first("text").alias("text"))
-    texts = materialize(texts, "texts")
-    if orders:
-        prefixes = materialize(prefixed(texts, k, lower, further, orders), "prefixes")
+    first = materialize(first, "handles")
 
-    tested, roots, read = None, None, []
-    for turn in range(-1, ROUNDS + 1):
+    tested, roots, read, most, more, turn = None, None, [], FEW, None, -2
+    while True:
+        turn += 1
         drop(spark, read)
         release(spark)
-        if turn < 1:
-            now = held.where("node <> pivot")
-            if turn < 0:  # the pivot of each node's largest key
-                now = now.where(F.col("size") > LARGE).groupBy("node").agg(F.max_by(F.struct("pivot", "pivot_n", "n"), F.struct("size", "key")).alias("p")).select("node", "p.*")
-            elif roots is not None:
-                far = roots.withColumnsRenamed({"node": "pivot", "root": "pivot_root"})
-                now = now.join(roots, "node", "left").join(far, "pivot", "left").where(F.coalesce("root", "node") != F.coalesce("pivot_root", "pivot"))
-            pairs = now.withColumnsRenamed({"pivot": "lead", "pivot_n": "lead_n"})
-        else:
-            now = held.where("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            still = now.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.min_by(F.struct("node", "root", "n"), F.xxhash64("node", F.lit(turn))).alias("p")).where("l <> h")
-            with recorded() as read:
+        with recorded() as read:
+            if turn < 1:
+                now = held.where("node <> pivot")
+                if turn < 0:  # the pivot of each node's largest key
+                    now = now.where(F.col("size") > LARGE).groupBy("node").agg(F.max_by(F.struct("pivot", "pivot_n", "n"), F.struct("size", "key")).alias("p")).select("node", "p.*")
+                elif roots is not None:
+                    far = roots.withColumnsRenamed({"node": "pivot", "root": "pivot_root"})
+                    now = now.join(roots, "node", "left").join(far, "pivot", "left").where(F.coalesce("root", "node") != F.coalesce("pivot_root", "pivot"))
+                pairs = now.withColumnsRenamed({"pivot": "lead", "pivot_n": "lead_n"})
+            else:
+                now = held.where("size > 2") if more is None else held.join(more, "key", "left_semi")
+                now = now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                still = now.groupBy("key").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.min_by(F.struct("node", "root", "n"), F.xxhash64("node", F.lit(turn))).alias("p")).where("l <> h")
                 now = materialize(now.join(still.select("key", F.col("p.node").alias("lead"), F.col("p.root").alias("lead_root"), F.col("p.n").alias("lead_n")), "key"), "open")
-            if now.isEmpty():
-                break
-            pairs = now.where("root <> lead_root") if turn < ROUNDS else _rest(now, tested, maps, mapped, percent)
-        if turn < ROUNDS:
-            pairs = pairs.where(_alike("n", "lead_n", percent))
-        pairs = pairs.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        if mapped and turn < ROUNDS:
-            pairs = close(pairs, maps, percent)
-        if orders:
-            pairs = agreeing(pairs, prefixes, orders)
-        pairs = materialize(pairs, "pairs")
-        if turn < 0 and pairs.isEmpty():
-            continue
-        found = materialize(verified(pairs, texts, k, lower, percent), "tested")
-        tested = found if tested is None else tested.unionByName(found)
-        roots = components(tested.where("linked"))
+                if now.isEmpty():
+                    break
+                pairs = now.where("root <> lead_root") if turn < ROUNDS else materialize(_rest(now, tested, maps, mapped, percent, most), "met")
+            if turn < ROUNDS:
+                pairs = pairs.where(_alike("n", "lead_n", percent))
+            else:
+                more = pairs.where("more").select("key").distinct()
+            pairs = pairs.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+            if tested is not None:
+                pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+            if mapped:
+                pairs = close(pairs, maps, percent)
+            pairs = materialize(pairs, "pairs")
+            some = turn == 0 or not pairs.isEmpty()
+            if some:
+                ends = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(first, "node"), "ends")
+                texts = texts_of(docs, ends)
+        last = turn >= ROUNDS and more.isEmpty()
+        if turn >= ROUNDS and not last:
+            more, most = materialize(more, "keys"), most * MORE
+        if some:
+            found = materialize(verified(pairs, texts, k, lower, percent, further), "tested")
+            tested = found if tested is None else tested.unionByName(found)
+            roots = components(tested.where("linked"))
+        if last:
+            break
     low = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     if roots is not None:
         low = low.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -308,10 +356,11 @@ def _linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool, furt
     return rows.join(low, "node", "left").select("doc_id", "_id", "_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _blocks(percent: int, mapped: bool):
-    """lead, node: pairs of a block that nothing rules out, from rows sorted by key, block and n.
+def _blocks(percent: int, mapped: bool, most: int):
+    """key, lead, node: pairs of a block that nothing rules out, from rows sorted by key, block and n.
 
-    Rows of role 1 lead, those of role 0 are met, those of role 2 do both.
+    Rows of role 1 lead, those of role 0 are met, those of role 2 do both. Each leads `most` pairs,
+    of the closest maps; `more` is true where it could lead others.
     """
 
     def compared(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -338,12 +387,18 @@ def _blocks(percent: int, mapped: bool):
             use &= ~(rows["again"][i] & rows["again"][j] & (rows["before"][i] == rows["before"][j]))
             use &= ~(np.abs(rows["distance"][i] - rows["distance"][j]) > (100 - percent) / 100 + 1e-9)
             i, j = i[use], j[use]
+            both = n[i] + n[j]
+            apart = _apart(rows["map"][i], rows["map"][j]) if mapped else np.abs(n[i] - n[j])
             if mapped:
-                use = _near(rows["map"][i], rows["map"][j], n[i] + n[j], percent)
-                i, j = i[use], j[use]
-            found.append((i, j))
-        i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (leads, leads)
-        return pa.RecordBatch.from_arrays([T.binary(node[i]), T.binary(node[j])], names=["lead", "node"])
+                use = _near(apart, both, percent)
+                i, j, apart, both = i[use], j[use], apart[use], both[use]
+            order = np.lexsort((node[j, 0], apart / both, i))
+            i, j = i[order], j[order]
+            begin, behind = np.searchsorted(i, i), np.searchsorted(i, i, "right")
+            use = np.arange(len(i)) - begin < most
+            found.append((i[use], j[use], (behind - begin > most)[use]))
+        i, j, more = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (leads, leads, leads > 0)
+        return pa.RecordBatch.from_arrays([pa.array(rows["key"][i]), T.binary(node[i]), T.binary(node[j]), pa.array(more)], names=["key", "lead", "node", "more"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -365,8 +420,8 @@ def _blocks(percent: int, mapped: bool):
     return task
 
 
-def _rest(now: DataFrame, tested: DataFrame, maps: DataFrame, mapped: bool, percent: int) -> DataFrame:
-    """Pairs (lead, node) of open keys that nothing rules out: outsiders against all other components of the key."""
+def _rest(now: DataFrame, tested: DataFrame, maps: DataFrame, mapped: bool, percent: int, most: int) -> DataFrame:
+    """Pairs (key, lead, node, more) of open keys that nothing rules out, `most` of a lead: outsiders against all other components of the key."""
     far = tested.select(F.explode(F.array(F.struct(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance"), F.struct(F.col("b").alias("pivot"), F.col("a").alias("node"), "distance"))).alias("t")).select("t.*")
     now = now.join(far, ["pivot", "node"], "left").withColumn("distance", F.when(F.col("pivot") == F.col("node"), F.lit(0.0)).otherwise(F.col("distance")))
     # Two nodes that share the key before this one, too, meet there or earlier.
@@ -387,5 +442,5 @@ def _rest(now: DataFrame, tested: DataFrame, maps: DataFrame, mapped: bool, perc
     places = F.concat(F.transform(F.sequence(F.lit(0), F.col("lead_parts") - 1), lambda p: place(p, part, F.lit(0))), leading)
     places = F.when(F.col("parts") == 1, F.array(place(F.lit(0), F.lit(0), F.when(F.col("outer"), 2).otherwise(0)))).otherwise(places)
     rows = rows.withColumn("p", F.explode(places)).select("key", "p.*", "outer", "node", "root", F.coalesce("before", F.lit(0)).alias("before"), F.col("before").isNotNull().alias("again"), F.coalesce("distance", F.lit(float("nan"))).alias("distance"))
-    rows = rows.join(maps, "node").repartition("key", "lead_part", "part").sortWithinPartitions("key", "lead_part", "part", "n")
-    return rows.mapInArrow(_blocks(percent, mapped), "lead binary, node binary")
+    rows = rows.join(maps.drop("wide"), "node").repartition("key", "lead_part", "part").sortWithinPartitions("key", "lead_part", "part", "n")
+    return rows.mapInArrow(_blocks(percent, mapped, most), "key long, lead binary, node binary, more boolean")

@@ -2,9 +2,9 @@
 
 A document's tokens are its distinct word shingles. Under any one order of all tokens, two
 sets of Jaccard t or more share a token among the first |x| - ceil(t |x|) + 1 of each. The
-first order makes the candidates. Those that the parity maps of the sets do not rule out are
-joined to their prefixes under ORDERS - 1 further orders, and pairs that share no token under
-one of them are done; only the rest are intersected in full.
+first order makes the candidates. Of those that the parity maps of the sets do not rule out the
+sets' prefixes under ORDERS - 1 further orders are taken where their texts meet, and pairs that
+share no token under one of them are done; only the rest are intersected in full.
 
 All orders put rare tokens first: those not known to be frequent by a hash (another one for
 each order), then the frequent ones by count; further orders take CLASS of them with like
@@ -108,7 +108,7 @@ class Orders:
 def jaccard_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, handle, n_shingles, component_id of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(Orders(frequent_tokens(docs, k), percent))
-    found = linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, lambda flat, sizes: shared.value.marks(flat, sizes), ORDERS - 1, mapped=ORDERS > 1)
+    found = linked(docs, lambda texts, sets: shared.value.keys(texts, sets), k, percent, True, (lambda flat, sizes: shared.value.marks(flat, sizes)) if ORDERS > 1 else None, mapped=ORDERS > 1)
     shared.destroy()  # linked has written all that needs the orders
     return found
 

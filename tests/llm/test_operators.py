@@ -804,6 +804,49 @@ def test_components_by_small_blocks(spark, monkeypatch, block, at_once):
     assert sorted(map(tuple, got)) == brute_components(rows, 5, 80, lower=False)
 
 
+def test_a_block_leads_few_pairs_of_a_dense_group():
+    """Rows of a block grow with its nodes, not with its pairs; what is held back is marked."""
+    n = 200
+    node = np.stack((np.arange(n, dtype=np.uint64), np.ones(n, dtype=np.uint64)), axis=1)
+    maps = linking.parities(np.tile(np.arange(100, dtype=np.uint64) << T.U(20), n), np.full(n, 100))
+    columns = {"key": pa.array([7] * n), "lead_part": pa.array([0] * n, pa.int32()), "part": pa.array([0] * n, pa.int32()), "role": pa.array([2] * n, pa.int32()), "outer": pa.array([True] * n), "node": T.binary(node), "root": T.binary(node), "before": pa.array([0] * n), "again": pa.array([False] * n), "distance": pa.array([float("nan")] * n), "n": pa.array([100] * n), "map": maps}
+    rows = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    few, all_ = (pa.Table.from_batches(linking._blocks(85, True, most)(iter([rows]))) for most in (2, 1000))
+    assert few.num_rows < 2 * n and all_.num_rows == n * (n - 1) // 2
+    assert set(few.column("key").to_pylist()) == {7} and not any(all_.column("more").to_pylist())
+    lead = collections.Counter(few.column("lead").to_pylist())
+    assert max(lead.values()) == 2 and len(lead) == n - 1  # the least node leads none
+    more = {x for x, m in zip(few.column("lead").to_pylist(), few.column("more").to_pylist(), strict=True) if m}
+    assert len(more) == n - 3
+
+
+def test_components_by_few_pairs_a_turn(spark, monkeypatch):
+    """Turns of the last round go on until no node has more pairs to lead."""
+    for name, value in (("FEW", 1), ("MORE", 2), ("ROUNDS", 1)):
+        monkeypatch.setattr(linking, name, value)
+    rows, most, plain = variants(60, seed=7), [], linking._rest
+    monkeypatch.setattr(linking, "_rest", lambda *given: most.append(given[-1]) or plain(*given))
+    got = fingerprints.near_duplicates(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute_components(rows, 5, 80, lower=False)
+    assert len(most) > 1 and most == [1 << i for i in range(len(most))]
+
+
+def test_wide_maps_part_large_sets():
+    """Maps of unlike sizes are compared folded; far large sets differ in more than a link allows, as the narrow maps do not show."""
+    draw = np.random.default_rng(9)
+    base = np.sort(draw.integers(0, 2**63, 6000, dtype=np.uint64))
+    short = np.delete(base, np.arange(0, 6000, 7))
+    far = np.sort(np.concatenate((base[:4200], draw.integers(0, 2**63, 1800, dtype=np.uint64))))
+    own, less, other, small = linking.wide_parities([base, short, far, base[:500]]).to_pylist()
+    assert small is None and len(own) * 8 == 1 << 14 and all(len(x) * 8 >= 2 * 5000 for x in (less, other))
+    assert linking._folded(own, less) <= len(base) - len(short)
+    narrow = linking.parities(base, np.array([len(base)])).to_pylist()[0]
+    assert linking._folded(own, narrow) == 0
+    both = np.array([12000])
+    assert not linking._near(np.array([linking._folded(own, other)]), both, 85)[0]
+    assert linking._near(np.array([linking._folded(narrow, other)]), both, 85)[0]
+
+
 def test_linking_leaves_only_its_result(spark):
     from tablewright import session
 
