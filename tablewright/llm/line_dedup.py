@@ -51,6 +51,8 @@ SKETCH_BLOCKS = 64
 MANY = 64
 #: The number that each value of a counter stands for.
 HELD = np.concatenate([np.arange(16.0), 2 ** (4 + np.arange(240) / 8)])
+#: The counter of the numbers of two counters together, at 256 times the one plus the other.
+BOTH = np.minimum(np.searchsorted(HELD, HELD[:, None] + HELD), 255).astype(np.uint8).ravel()
 
 
 def line_sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -79,6 +81,11 @@ def _add(total: np.ndarray, more: np.ndarray) -> np.ndarray:
     return np.minimum(np.searchsorted(HELD, HELD[total] + more), 255).astype(np.uint8)
 
 
+def _united(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Counters of the numbers of two sketches together."""
+    return BOTH.take(one.astype(np.uint16) << 8 | other)
+
+
 def _sketched(hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]]):
     """block, cells: the sketch of the hashes that a task sees, compressed."""
 
@@ -105,7 +112,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = np.frombuffer(zlib.decompress(cells.as_buffer()), dtype=np.uint8)
             if b != block and block is not None:
                 yield out()
-            block, total = b, part if b != block else _add(total, HELD[part])
+            block, total = b, part if b != block else _united(total, part)
     if block is not None:
         yield out()
 
@@ -117,7 +124,7 @@ def sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarr
         parts = parts.withColumn("_s", spread).repartition("block", "_s").sortWithinPartitions("block", "_s").drop("_s").mapInArrow(_merged, "block int, cells binary")
     total = np.zeros((SKETCH_BLOCKS, CELLS // SKETCH_BLOCKS), dtype=np.uint8)
     for row in parts.collect():
-        total[row.block] = _add(total[row.block], HELD[np.frombuffer(zlib.decompress(row.cells), dtype=np.uint8)])
+        total[row.block] = _united(total[row.block], np.frombuffer(zlib.decompress(row.cells), dtype=np.uint8))
     return total.ravel()
 
 
@@ -125,7 +132,7 @@ def _words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     data, offsets = T.buffers(batch.column("text"))
     for a, b in T.blocks(offsets):
         part = data[offsets[a] : offsets[b]]
-        start, end, _ = T.runs(~T.SPACE[part], offsets[a : b + 1] - offsets[a])
+        start, end, _ = T.runs(T.solid(part), offsets[a : b + 1] - offsets[a])
         yield T.identities(part, start, end, both=False)[0]
 
 
@@ -176,8 +183,8 @@ def _fit(size, place, bits, i, j, percent: int) -> np.ndarray:
     return (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (most >= need) & (apart <= n + m - 2 * need)
 
 
-def _pairs(percent: int):
-    """a, b, first: pairs of classes to compare, from rows sorted by word and place.
+def _pairs(percent: int, order: tuple[str, ...] = ()):
+    """a, b, first: pairs of classes to compare, from rows sorted by word; in large words by the columns `order`.
 
     `first` is true where b was compared with the first class of a large word only.
     """
@@ -189,6 +196,11 @@ def _pairs(percent: int):
         length = np.diff(np.append(heads, len(word)))
         behind = np.arange(len(word)) - np.repeat(heads, length)
         large = np.repeat(length > MANY, length)
+        if order and large.any():
+            some = np.flatnonzero(large)
+            to = np.arange(len(word))
+            to[some] = some[np.lexsort([*(rows[c][some] for c in reversed(order)), word[some]])]
+            size, place, bits, node = size[to], place[to], bits[to], node.take(pa.array(to))
         lead = np.repeat(heads, length)
         i = np.flatnonzero(large & (behind > 0))
         met = i[_fit(size, place, bits, i, lead[i], percent)]
@@ -209,7 +221,7 @@ def _pairs(percent: int):
         held: list[dict[str, np.ndarray]] = []
         nodes: list[pa.Array] = []
         for batch in batches:
-            rows = {c: batch.column(c).to_numpy() for c in ("word", "size", "place", "map")}
+            rows = {c: batch.column(c).to_numpy() for c in ("word", "size", "place", "map", *order)}
             last = rows["word"][-1] if batch.num_rows else None
             if last is None:
                 continue
@@ -228,11 +240,18 @@ def _pairs(percent: int):
 
 
 def _screened(shared):
-    """The rows whose word the sketch may hold."""
+    """One row for each prefix word that the sketch may hold, from rows of classes."""
+    names = ["node", "size", "map"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(shared.value[_cell(batch.column("word").to_numpy().view(T.U))] > 0))
+            words = batch.column("words")
+            flat, length = words.flatten(), np.diff(words.offsets.to_numpy())
+            word = flat.fill_null(0).to_numpy()
+            use = np.flatnonzero((shared.value[_cell(word.view(T.U))] > 0) & flat.is_valid().to_numpy(zero_copy_only=False))
+            row = np.repeat(np.arange(len(length)), length)[use]
+            place = use - (np.cumsum(length) - length)[row]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in names), pa.array(place.astype(np.int32)), pa.array(word[use])], names=[*names, "place", "word"])
 
     return task
 
@@ -293,11 +312,13 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
     classes = lines.groupBy("node").agg(F.min(F.struct("_id", "_key", "line", "size", "map", "words")).alias("c"))
     classes = materialize(classes.select("node", F.struct("c._id", "c._key", "c.line").alias("at"), "c.size", "c.map", "c.words"), "classes")
     counts.destroy()
-    posted = classes.select("node", F.col("at._id").alias("id"), F.col("at._key").alias("key"), F.col("at.line").alias("line"), "size", "map", F.posexplode("words").alias("place", "word")).where("word is not null")
-    # The order in which lines are removed: a class of a large word meets all that stand before it.
-    pairs = posted.repartition("word").sortWithinPartitions("word", "id", "key", "line").select("word", "node", "size", "place", "map").mapInArrow(_pairs(percent), "a binary, b binary, first boolean")
+    posted = classes.select(F.posexplode("words").alias("place", "word"), "node", F.col("at._id").alias("id"), F.col("at._key").alias("key"), F.col("at.line").alias("line"), "size", "map").where("word is not null")
+    # In large words, the order in which lines are removed: a class meets the first that stands before it.
+    # Spark sorts by the word alone, which needs no comparison of rows.
+    pairs = posted.repartition("word").sortWithinPartitions("word").mapInArrow(_pairs(percent, ("id", "key", "line")), "a binary, b binary, first boolean")
     # Another word of a pair says nothing of the rest of its large word: one mark is enough.
-    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("first").alias("first")), "pairs")
+    pairs = pairs.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b"), "late": F.col("first") & (F.col("a") < F.col("b")), "early": F.col("first") & (F.col("a") > F.col("b"))})
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("late").alias("late"), F.max("early").alias("early")), "pairs")
     places = classes.select("node", "at")
 
     def removed(pairs: DataFrame) -> DataFrame:
@@ -316,12 +337,16 @@ def kept_lines(docs: DataFrame, percent: int) -> DataFrame:
 
     gone = removed(pairs)
     # Classes that were compared with the first of a large word only, and are not removed.
-    left = materialize(pairs.where("first").select(F.col("b").alias("node")).distinct().join(gone, "node", "left_anti"), "left")
+    left = pairs.where("late").select(F.col("b").alias("node")).union(pairs.where("early").select("a"))
+    left = materialize(left.distinct().join(gone, "node", "left_anti"), "left")
     if not left.isEmpty():
-        own = materialize(posted.drop("id", "key", "line").join(left, "node"), "left")
+        # Classes are joined or screened before their words become rows.
+        sets = classes.select("node", "size", "map", "words")
+        own = sets.join(left, "node").select("node", "size", "map", F.posexplode("words").alias("place", "word")).where("word is not null")
+        own = materialize(own, "left")
         screen = context.broadcast(sketch(own.select("word"), _word_column))
-        other = posted.drop("id", "key", "line")
-        other = other.mapInArrow(_screened(screen), other.schema).withColumnsRenamed({"node": "other", "size": "m", "map": "other_map", "place": "other_place"})
+        other = sets.mapInArrow(_screened(screen), "node binary, size int, map long, place int, word long")
+        other = other.withColumnsRenamed({"node": "other", "size": "m", "map": "other_map", "place": "other_place"})
         met = own.join(other, "word").where("node <> other")
         most = F.least(F.col("size") - F.col("place"), F.col("m") - F.col("other_place")) + F.least("place", "other_place")
         need = F.ceil((F.col("size") + F.col("m")) * percent / (100 + percent))

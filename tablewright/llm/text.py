@@ -80,6 +80,15 @@ def mix2(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: What the hashes of a span start from, by its size.
+_START = mix(np.arange(LONG_WORD + 1, dtype=U) + U(0x51)), mix2(np.arange(LONG_WORD + 1, dtype=U) + U(0xC3))
+
+
+def solid(data: np.ndarray) -> np.ndarray:
+    """Whether each byte belongs to a word: all that is not in SPACE."""
+    return (data - np.uint8(9) > 4) & (data != 0x20)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -117,7 +126,7 @@ def blocks(offsets: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and two hashes of each word of the rows, and first word of each row (one more than rows)."""
-    start, end, first = runs(~SPACE[data], offsets)
+    start, end, first = runs(solid(data), offsets)
     return start, end, *identities(LOWER[data] if lower else data, start, end), first
 
 
@@ -180,18 +189,19 @@ def identities(data: np.ndarray, start: np.ndarray, end: np.ndarray, both: bool
     The second is left at that of the size where `both` is false.
     """
     size = end - start
-    a, b = mix(size.astype(U) + U(0x51)), mix2(size.astype(U) + U(0xC3))
+    a, b = (x.take(np.minimum(size, LONG_WORD)) for x in _START)
     padded = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
     eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
-    live = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    use = (size > 0) & (size <= LONG_WORD)
+    live = slice(None) if use.all() else np.flatnonzero(use)
     at, left = start[live], size[live]
-    while len(live):
-        piece = eight[at] & _KEEP[np.minimum(left, 8)]
+    while len(at):
+        piece = eight[at] & _KEEP.take(np.minimum(left, 8))
         a[live] = mix(a[live] ^ piece)
         if both:
             b[live] = mix2(b[live] ^ (piece * U(0x9E3779B97F4A7C15)))
-        more = left > 8
-        live, at, left = live[more], at[more] + 8, left[more] - 8
+        more = np.flatnonzero(left > 8)
+        live, at, left = more if isinstance(live, slice) else live[more], at[more] + 8, left[more] - 8
     for i in np.flatnonzero(size > LONG_WORD).tolist():
         a[i], b[i] = np.frombuffer(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=16).digest(), dtype="<u8")
     return a, b

@@ -908,3 +908,53 @@ def test_a_written_step_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert shuffled() <= held
     assert out.count() == 7 and spark.conf.get(session.CLEANUP) == before
+
+
+def test_screened_classes_give_only_the_words_asked_for():
+    """A class's words become rows after the screen, and keep their places."""
+    draw = np.random.default_rng(6)
+    sets = [[int(w) if draw.random() < 0.8 else None for w in draw.integers(-(2**63), 2**63, n)] for n in draw.integers(0, 6, 300)]
+    asked = {w for ws in sets[::7] for w in ws if w is not None}
+    wanted = np.zeros(line_dedup.CELLS, dtype=np.uint8)
+    wanted[line_dedup._cell(np.array(sorted(asked)).view(np.uint64))] = 1
+    rows = pa.Table.from_pylist([{"node": b"%d" % i, "size": len(ws), "map": -i, "words": ws} for i, ws in enumerate(sets)], pa.schema([("node", pa.binary()), ("size", pa.int32()), ("map", pa.int64()), ("words", pa.list_(pa.int64()))]))
+    shared = type("Shared", (), {"value": wanted})
+    got = [tuple(r.values()) for b in line_dedup._screened(shared)(rows.to_batches(max_chunksize=64)) for r in b.to_pylist()]
+    all_ = [(b"%d" % i, len(ws), -i, k, w) for i, ws in enumerate(sets) for k, w in enumerate(ws) if w is not None]
+    assert [r for r in all_ if r[4] in asked] == [r for r in got if r[4] in asked] and set(got) <= set(all_)
+    assert len(got) < len(all_) / 3
+
+
+def test_large_words_are_ordered_where_they_are_compared(monkeypatch):
+    """Rows sorted by the word alone: the first of a large word by id, key and line meets all others."""
+    monkeypatch.setattr(line_dedup, "MANY", 2)
+    rows = [{"word": w, "node": f"{w}{k}".encode(), "size": 20, "place": 0, "map": 7, "id": k // 4, "key": -(k // 2), "line": k % 2} for w in (1, 2, 3) for k in range(9 if w < 3 else 2)]
+    draw = np.random.default_rng(2)
+    rows = [rows[i] for i in sorted(range(len(rows)), key=lambda i: (rows[i]["word"], draw.random()))]
+    first = {w: min((r for r in rows if r["word"] == w), key=lambda r: (r["id"], r["key"], r["line"]))["node"] for w in (1, 2)}
+    for size in (1, 3, 100):
+        batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=size)
+        got = [tuple(r.values()) for b in line_dedup._pairs(90, ("id", "key", "line"))(batches) for r in b.to_pylist()]
+        assert sorted((a, b) for a, b, f in got if f) == sorted((first[w], r["node"]) for w in (1, 2) for r in rows if r["word"] == w and r["node"] != first[w])
+        assert [{a, b} for a, b, f in got if not f] == [{b"30", b"31"}]
+
+
+def test_sketches_are_united_as_numbers_are_added():
+    one, other = (x.ravel().astype(np.uint8) for x in np.meshgrid(np.arange(256), np.arange(256)))
+    assert (line_dedup._united(one, other) == line_dedup._add(one, line_dedup.HELD[other])).all()
+
+
+def test_hashes_of_words_mix_every_eight_bytes():
+    data = np.frombuffer(("a bb  " + "c" * 8 + " é" + "d" * 20 + "\x0b" + "e" * 300 + "\x1f \r\n x").encode(), dtype=np.uint8)
+    assert (T.solid(np.arange(256, dtype=np.uint8)) == ~T.SPACE).all()
+    start, end, one, two, _ = T.words(data, np.array([0, len(data)]))
+    assert [data[i:j].tobytes() for i, j in zip(start, end, strict=True)] == data.tobytes().split()
+    for start, end, one, two in ((start, end, one, two), (start[[0, 1, 1]], np.append(end[:2], start[1]), *T.identities(data, start[[0, 1, 1]], np.append(end[:2], start[1])))):
+        for i, j, x, y in zip(start.tolist(), end.tolist(), one, two, strict=True):
+            a, b = T.mix(np.array([j - i + 0x51], dtype=T.U)), T.mix2(np.array([j - i + 0xC3], dtype=T.U))
+            for p in range(i, j, 8):
+                piece = np.array([int.from_bytes(data[p : min(p + 8, j)].tobytes(), "little")], dtype=T.U)
+                a, b = T.mix(a ^ piece), T.mix2(b ^ piece * T.U(0x9E3779B97F4A7C15))
+            if j - i > T.LONG_WORD:
+                a, b = (np.array([v]) for v in np.frombuffer(hashlib.blake2b(data[i:j].tobytes(), digest_size=16).digest(), dtype="<u8"))
+            assert (x, y) == (a[0], b[0])
