@@ -3,8 +3,8 @@
 Used by operators that name candidate keys for a text so that any two texts to be linked
 share a key. Texts with equal sets are one node, so copies cost one row each.
 
-1. Sort the keys with the nodes that have them, by size; a node that fits no neighbour in size
-   is done in this key, as are keys of one node.
+1. Sort the keys with the nodes that have them, by size, one of PARTS parts of the keys after
+   another; a node that fits no neighbour in size is done in this key, as are keys of one node.
 2. Nodes of keys of more than LARGE nodes are verified against one pivot, that of their
    largest key, so a dense group of copies costs one comparison a node and not one a key.
    Then, in rounds, each key with nodes of more than one component elects a pivot, and the other
@@ -33,6 +33,7 @@ the set. Within a verified pair, shingles are told apart by 64 mixed bits.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -50,6 +51,8 @@ ROUNDS = 2
 PER_PIVOT = 256
 #: Nodes of a key from which its nodes first meet one pivot only.
 LARGE = 8
+#: Parts of the keys whose postings are shuffled one after another, so that a part's files stand at a time.
+PARTS = 4
 #: Bits of a set's parity map.
 MAP = 1024
 #: Nodes of a key on each side of a block that a task compares in the last round.
@@ -288,9 +291,12 @@ def _linked(docs: DataFrame, keys: Keys, k: int, percent: int, lower: bool, furt
     with recorded() as read:  # what the next steps read, and nothing later
         rows = materialize(nodes(docs, keys, k, lower), "nodes")
         posted = rows.where("node is not null").select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-        # One shuffle and one sort; keys of one node are done.
-        held = posted.repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node")
-        held = materialize(held.mapInArrow(_fitting(percent), "key long, n long, node binary"), "postings")
+        parts = []
+        for p in range(PARTS):
+            # One shuffle and one sort; keys of one node are done.
+            part = posted.where(F.pmod("key", F.lit(PARTS)) == p).repartition("key").sortWithinPartitions("key", "n", "node").select("key", "n", "node")
+            parts.append(materialize(part.mapInArrow(_fitting(percent), "key long, n long, node binary"), "postings"))
+        held = functools.reduce(DataFrame.unionByName, parts)
     shared = held.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("size"))
     held = materialize(held.join(shared.select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), "size"), "key"), "postings")
     met = held.select("node").distinct()

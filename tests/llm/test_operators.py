@@ -847,6 +847,28 @@ def test_wide_maps_part_large_sets():
     assert linking._near(np.array([linking._folded(narrow, other)]), both, 85)[0]
 
 
+def test_postings_are_shuffled_in_parts(spark, monkeypatch):
+    """Each part of the keys is shuffled and written on its own, with all nodes of its keys."""
+    rows, held, plain = corpus(1), [], linking.materialize
+
+    def written(df, name="step"):
+        out = plain(df, name)
+        if name == "postings" and out.columns == ["key", "n", "node"]:
+            held.append({(r.key, bytes(r.node)) for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(linking, "materialize", written)
+    found = {}
+    for parts in (1, 4):
+        monkeypatch.setattr(linking, "PARTS", parts)
+        found[parts] = sorted(map(tuple, ngram_join.jaccard_components(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()), key=repr)
+    assert found[1] == found[4]
+    whole, parts = held[0], held[1:]
+    assert len(parts) == 4 and set().union(*parts) == whole
+    assert sum(map(len, parts)) == len(whole) and max(map(len, parts)) < len(whole) / 2
+    assert all({k % 4 for k, _ in part} <= {p} for p, part in enumerate(parts))
+
+
 def test_linking_leaves_only_its_result(spark):
     from tablewright import session
 
